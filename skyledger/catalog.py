@@ -351,7 +351,7 @@ def unknown_routes(spark, sf_dir):
 @query("requests", "distances", sql="""
 SELECT r.UUID, r.Origin, r.Dest, d.Distance FROM requests r JOIN distances d ON r.Origin = d.Origin AND r.Dest = d.Dest""")
 def known_route_requests(spark, sf_dir):
-    return joins.with_known_distance(fixtures.requests(spark, sf_dir), _distances(spark, sf_dir)).select(
+    return joins.with_distance(fixtures.requests(spark, sf_dir), _distances(spark, sf_dir), missing="drop").select(
         "UUID", "Origin", "Dest", "Distance")
 
 
@@ -444,11 +444,11 @@ def flight_page_after(spark, sf_dir):
 
 @query("airplanes", sql="""
 SELECT *, count(*) OVER () AS airplane_count FROM airplanes
-WHERE list_has_any(regexp_split_to_array(lower(Manufacturer), '[^a-z0-9_]+'), ['brand']) AND ManufacturerYear = 1990
+WHERE list_has_any(regexp_split_to_array(lower(Manufacturer), '[^a-z0-9_]+'), ['brand']) AND lower(Model) = 'economy'
 ORDER BY Owner, TailNum LIMIT 10 OFFSET 10""")
 def airplane_search_page(spark, sf_dir):
     return search.airplane_search(
-        fixtures.airplanes(spark, sf_dir), {"Manufacturer": "brand", "ManufacturerYear": "1990", "Owner": None},
+        fixtures.airplanes(spark, sf_dir), {"Manufacturer": "brand", "Model": "economy", "Owner": None},
         schemas.AIRPLANE_SEARCH_FIELDS, ties=("TailNum",), start=10)
 
 
@@ -626,9 +626,9 @@ def responses_compacted(spark, sf_dir):
     return _upserted(spark, sf_dir).compact_to(session.work_folder(spark, "responses")).read()
 
 
-@query("responses", sql=f"SELECT uuid, prediction FROM ({_LATEST_SQL}) WHERE uuid = '70'")
+@query("responses", sql=f"SELECT uuid, prediction FROM ({_LATEST_SQL}) WHERE uuid = '40'")
 def response_lookup(spark, sf_dir):
-    return _upserted(spark, sf_dir).lookup(uuid="70").select("uuid", "prediction")
+    return _upserted(spark, sf_dir).lookup(uuid="40").select("uuid", "prediction")
 
 
 @query("distances", sql="SELECT Origin AS origin, Dest AS dest, CAST(trunc(Distance) AS INT) AS distance FROM distances")
@@ -801,6 +801,15 @@ def io_parquet_convert(spark, sf_dir):
     return _plain(readers.parquet_view(spark, target, "flight_features"))
 
 
+@query("distances", sql="SELECT Origin AS origin, Dest AS dest, CAST(trunc(Distance) AS INT) AS distance FROM distances")
+def io_distance_import(spark, sf_dir):
+    path = session.work_folder(spark, "distances-json")
+    features.write_distances(features.distances(_flights(spark, sf_dir)), path)
+    table = keyed.distances(spark, session.work_folder(spark, "distances"))
+    features.import_distances(spark, path, table)
+    return table.read()
+
+
 _STORED_SQL = """
 SELECT UUID, Carrier, Origin, Dest, FlightNum, FlightDate, DepDelay, CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS dt
 FROM requests"""
@@ -855,6 +864,18 @@ def confusion(spark, sf_dir):
     return aggregates.confusion(_judged(spark, sf_dir), training.LABEL, training.PREDICTION)
 
 
+@query("features", sql=f"""
+SELECT {_md5_bucket('row_key', '5')} = 0 AS held_out, CAST(label AS DOUBLE) AS ArrDelayBucket, count(*) AS "rows" FROM (
+ SELECT *, CASE WHEN ArrDelay < -15 THEN 0 WHEN ArrDelay < 0 THEN 1 WHEN ArrDelay < 30 THEN 2 ELSE 3 END AS label
+ FROM features) GROUP BY 1, 2""")
+def holdout_split(spark, sf_dir):
+    known = _flights(spark, sf_dir).where("ArrDelay IS NOT NULL AND DepDelay IS NOT NULL")
+    labelled = known.select("row_key", aggregates.bucket_delay(F.col("ArrDelay")).alias(training.LABEL))
+    kept, held = ordering.split_by_key(labelled, F.col("row_key"), 5)
+    both = kept.withColumn("held_out", F.lit(False)).unionByName(held.withColumn("held_out", F.lit(True)))
+    return both.groupBy("held_out", training.LABEL).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query()
 def train_score_distribution(spark, sf_dir):
     extracted = features.extract(_flights(spark, sf_dir))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.forms import hash_bucket
+from skyledger.session import staged
 
 PAGE_ROWS = 10_000
 
@@ -19,12 +20,13 @@ def paged(df: DataFrame, key: str, element: Column, spread: Column, array_name:
           page_size: int = PAGE_ROWS) -> DataFrame:
     """``(key, count, Page, array)`` rows; ``count`` is the row count of the whole key.
 
-    ``spread`` is a column that tells the rows of a key apart. The array of a page is sorted.
+    ``spread`` is a column that tells the rows of a key apart. The array of a page is sorted. The counts are written
+    first, so Spark knows their size and joins them without moving the rows when they are small.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
+    sizes = staged(df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(count_name)), "document-sizes")
     page = hash_bucket(F.col("_spread"), F.ceil(F.col(count_name) / page_size)).cast("int")
     placed = df.select(key, element.alias("_element"), spread.alias("_spread")).join(
-        sizes.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")))
+        sizes, F.col(key).eqNullSafe(F.col("_key")))
     return placed.groupBy(key, count_name, page.alias("Page")).agg(
         F.sort_array(F.collect_list("_element")).alias(array_name))
 
@@ -37,7 +39,7 @@ def flights_per_airplane(flights: DataFrame, spread: Column, page_size: int = PA
 
 def fleet_per_carrier(flights: DataFrame, page_size: int = PAGE_ROWS) -> DataFrame:
     """Distinct tail numbers of every carrier and their count. Duplicates go before anything is gathered."""
-    fleet = flights.select("Carrier", "TailNum").where("TailNum IS NOT NULL").distinct()
+    fleet = staged(flights.select("Carrier", "TailNum").where("TailNum IS NOT NULL").distinct(), "fleet")
     return paged(fleet, "Carrier", F.col("TailNum"), F.col("TailNum"), "TailNumbers", "FleetCount", page_size)
 
 

@@ -15,17 +15,21 @@ from skyledger.operators.lookups import latest_per_key
 ROUTE_KEY = ["Origin", "Dest"]
 
 
-def with_distance(requests: DataFrame, distances: DataFrame, integer: bool = False) -> DataFrame:
-    """Add ``Distance`` by route; an unknown route gets 0. ``integer`` truncates as the keyed table does."""
-    known = F.col("Distance").cast("int") if integer else F.col("Distance").cast("double")
-    zero = F.lit(0) if integer else F.lit(0.0)
-    table = distances.select(*ROUTE_KEY, known.alias("Distance"))
-    return requests.join(table, ROUTE_KEY, "left").withColumn("Distance", F.coalesce("Distance", zero))
-
-
-def with_known_distance(requests: DataFrame, distances: DataFrame) -> DataFrame:
-    """Strict form: only requests whose route is known."""
-    return requests.join(distances.select(*ROUTE_KEY, "Distance"), ROUTE_KEY, "inner")
+def with_distance(requests: DataFrame, distances: DataFrame, missing: str = "zero", integer: bool = False) -> DataFrame:
+    """Add ``Distance`` by route.
+
+    ``missing`` says what happens to a route without a distance: ``zero`` gives 0, ``error`` fails the job, ``drop``
+    leaves the request out (``unknown_routes`` lists those). ``integer`` truncates as the keyed table does.
+    """
+    kind = "int" if integer else "double"
+    table = distances.select(*ROUTE_KEY, F.col("Distance").cast(kind).alias("Distance"))
+    if missing == "drop":
+        return requests.join(table, ROUTE_KEY, "inner")
+    otherwise = {
+        "zero": F.lit(0).cast(kind),
+        "error": F.raise_error(F.concat_ws(" ", F.lit("no distance for"), *ROUTE_KEY)).cast(kind),
+    }[missing]
+    return requests.join(table, ROUTE_KEY, "left").withColumn("Distance", F.coalesce("Distance", otherwise))
 
 
 def unknown_routes(requests: DataFrame, distances: DataFrame) -> DataFrame:

@@ -11,8 +11,12 @@ FEATURE_ORDER = ("DayOfYear", "Carrier", "Origin", "Dest", "FlightNum", "CRSDepT
 
 
 def sorted_files(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Rows split into ranges of the sort keys and sorted inside each: the written files are in order one after another."""
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    """Rows split into ranges of the sort keys and sorted inside each: the written files are in order one after another.
+
+    The other columns follow the sort keys, so many rows with equal keys do not end up in one range.
+    """
+    by = [*order, *[name for name in df.columns if name not in order]]
+    return df.repartitionByRange(*by).sortWithinPartitions(*by)
 
 
 def hash_sample(df: DataFrame, key: Column, one_in: int, seed: str = "") -> DataFrame:
@@ -25,6 +29,12 @@ def hash_sample(df: DataFrame, key: Column, one_in: int, seed: str = "") -> Data
     return df.where(hash_bucket(key, one_in) == 0)
 
 
+def split_by_key(df: DataFrame, key: Column, one_in: int) -> tuple[DataFrame, DataFrame]:
+    """Training rows and about one in ``one_in`` held-out rows; all rows with one key are on the same side."""
+    bucket = hash_bucket(key, one_in)
+    return df.where(bucket != 0), df.where(bucket == 0)
+
+
 def random_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     """Seeded row sample without replacement; the chosen rows depend on the partitioning."""
     return df.sample(False, fraction, seed)

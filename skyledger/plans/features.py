@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from skyledger.functions import times
 from skyledger.operators.aggregates import mean_distance
@@ -11,6 +14,7 @@ from skyledger.operators.ordering import FEATURE_ORDER, sorted_files
 from skyledger.schemas import TRAINING_FEATURE
 from skyledger.session import staged
 from skyledger.sources import keyed
+from skyledger.sources.readers import json_lines
 from skyledger.sources.writers import write_json
 
 FEATURE_COLUMNS = ("FlightNum", "FlightDate", "DayOfWeek", "DayOfMonth", "DayOfYear", "Carrier", "Origin", "Dest",
@@ -42,7 +46,7 @@ def with_times(rows: DataFrame) -> DataFrame:
 
 
 def _complete() -> Column:
-    return F.concat(*[F.col(name).cast("string") for name in _NEEDED]).isNotNull()
+    return reduce(lambda left, right: left & right, (F.col(name).isNotNull() for name in _NEEDED))
 
 
 def extract(flights: DataFrame) -> DataFrame:
@@ -74,6 +78,29 @@ def distance_table(flights: DataFrame) -> DataFrame:
     return staged(mean_distance(flights), "distances")
 
 
+def read(spark: SparkSession, path: str, offset_dates: bool = False) -> DataFrame:
+    """Feature files with the fixed layout. ``offset_dates``: the flight date was written as an instant with a zone
+    offset, so it is turned back to UTC before its day is taken."""
+    if not offset_dates:
+        return json_lines(spark, path, TRAINING_FEATURE)
+    as_written = StructType([StructField(f.name, StringType() if f.name == "FlightDate" else f.dataType)
+                             for f in TRAINING_FEATURE])
+    return json_lines(spark, path, as_written).withColumn(
+        "FlightDate", times.iso_instant(F.col("FlightDate")).cast("date"))
+
+
+def write_distances(distances_: DataFrame, path: str, single_file: bool = False) -> None:
+    """Distances as JSON Lines."""
+    write_json(distances_, path, single_file=single_file)
+
+
+def import_distances(spark: SparkSession, path: str, table: keyed.KeyedTable, batch_id: int = 0) -> None:
+    """Distance files into the keyed table."""
+    schema = StructType([StructField("Origin", StringType()), StructField("Dest", StringType()),
+                         StructField("Distance", DoubleType())])
+    load_distances(json_lines(spark, path, schema), table, batch_id)
+
+
 def load_distances(distances_: DataFrame, table: keyed.KeyedTable, batch_id: int = 0) -> None:
-    """Import distances into the keyed table."""
+    """Distances into the keyed table; of several lines with one key the longest distance stays."""
     table.upsert(keyed.distance_rows(distances_), batch_id)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import forms, times
-from skyledger.operators.joins import with_distance, with_known_distance
+from skyledger.operators.joins import with_distance
 
 
 def coerced(raw: DataFrame, delay_type: str = "decimal") -> DataFrame:
@@ -27,14 +27,14 @@ def with_date_parts(rows: DataFrame, numbering: str = "iso") -> DataFrame:
 
 
 def build(raw: DataFrame, distances: DataFrame, *, numbering: str = "iso", as_of: str | Column | None = None,
-          request_id: Column | None = None, strict: bool = False, integer_distance: bool = False,
+          request_id: Column | None = None, missing: str = "zero", integer_distance: bool = False,
           delay_type: str = "decimal") -> DataFrame:
     """Requests ready to store or send: coerced fields, distance, date parts, request time and, if given, an id.
 
     Works on a table and on a stream (the distance join is then stream to table).
     """
     typed = coerced(raw, delay_type)
-    located = with_known_distance(typed, distances) if strict else with_distance(typed, distances, integer_distance)
+    located = with_distance(typed, distances, missing, integer_distance)
     dated = with_date_parts(located, numbering).withColumn("Timestamp", forms.request_time(as_of))
     return dated if request_id is None else dated.withColumn("UUID", request_id)
 

@@ -29,7 +29,7 @@ class KeyedTable:
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Add a batch; duplicates inside it are settled first. Later batches win over earlier ones."""
-        latest = latest_per_key(rows, self.keys, self.order) if self.order else rows.dropDuplicates(self.keys)
+        latest = latest_per_key(rows, self.keys, self.order)
         writer = latest.sortWithinPartitions(*self.keys).write.mode("overwrite")
         for key in self.keys:
             writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")

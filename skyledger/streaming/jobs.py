@@ -97,8 +97,14 @@ def enriched(raw: DataFrame, distances: DataFrame, request_id: Column | None = N
 
 
 def unique_requests(stream: DataFrame, time: str, delay: str, key: str = "UUID") -> DataFrame:
-    """One row per id. Ids are remembered for ``delay`` of event time, which bounds the state."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    """One row per id. Ids are remembered for ``delay`` of event time, which bounds the state.
+
+    Copies that arrive in the same source partition go first, in a step keyed by id and partition. An id with very many
+    copies then reaches the second step with one row per partition at most, instead of filling one task.
+    """
+    marked = stream.withColumn("_part", F.spark_partition_id()).withWatermark(time, delay)
+    local = marked.dropDuplicatesWithinWatermark([key, "_part"])
+    return local.drop("_part").dropDuplicatesWithinWatermark([key])
 
 
 def request_response(requests: DataFrame, responses: DataFrame, request_time: str, response_time: str,
