@@ -278,7 +278,7 @@ def schedule_times(spark, sf_dir):
 
 def _index_of(spark, sf_dir, column):
     rows = training.with_route(_flights(spark, sf_dir).select("Carrier", "Origin", "Dest"))
-    model = training.fit_indexers(rows, [column])
+    [model] = training.fit_indexers(rows, [column])
     return model.transform(rows.groupBy(column).agg(F.count(F.lit(1)).alias("rows")))
 
 

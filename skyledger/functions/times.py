@@ -18,7 +18,7 @@ def clock_text(hhmm: Column) -> Column:
 
 def scheduled_at(iso_date: Column, hhmm: Column) -> Column:
     """Date text and ``HHMM`` text to a UTC timestamp; null when either part is not valid."""
-    return F.concat_ws(" ", iso_day(iso_date).cast("string"), clock_text(hhmm)).try_cast("timestamp")
+    return F.concat(iso_day(iso_date).cast("string"), F.lit(" "), clock_text(hhmm)).try_cast("timestamp")
 
 
 def next_day_if_before(arrival: Column, departure: Column) -> Column:

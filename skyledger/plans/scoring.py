@@ -27,14 +27,14 @@ def score(requests: DataFrame, model: PipelineModel, handle_invalid: str = "erro
     """
     if index_source not in ("request", "message"):
         raise ValueError(f"unknown index source: {index_source}")
-    rows = with_route(requests.drop("Prediction"))
+    sent = index_source == "message"
+    rows = with_route(requests.drop("Prediction", *([] if sent else map(index_name, NOMINAL))))
     for stage in model.copy().stages:
         if isinstance(stage, StringIndexerModel):
-            if index_source == "message":
+            if sent:
                 continue
-            rows = rows.drop(*map(index_name, NOMINAL))
             stage.setHandleInvalid(handle_invalid)
         elif isinstance(stage, VectorAssembler):
-            stage.setHandleInvalid("keep" if index_source == "message" else handle_invalid)
+            stage.setHandleInvalid("keep" if sent else handle_invalid)
         rows = stage.transform(rows)
     return without_working_columns(rows)

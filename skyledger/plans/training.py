@@ -44,8 +44,8 @@ def label_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return pairs.where("label IS NOT NULL").groupBy("column_name", "label").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def fit_indexers(df: DataFrame, columns: list[str] = NOMINAL, max_labels: int = MAX_LABELS) -> StringIndexerModel:
-    """Frequency index of every column: most frequent label first, ties by label.
+def fit_indexers(df: DataFrame, columns: list[str] = NOMINAL, max_labels: int = MAX_LABELS) -> list[StringIndexerModel]:
+    """Frequency index of every column, one model each: most frequent label first, ties by label.
 
     The labels become part of the model and travel to every executor, so their number is checked before they are
     fetched; columns with more than ``max_labels`` labels together are refused.
@@ -55,9 +55,11 @@ def fit_indexers(df: DataFrame, columns: list[str] = NOMINAL, max_labels: int =
     if len(rows) > max_labels:
         raise ValueError(f"more than {max_labels} labels in {columns}")
     rows.sort(key=lambda row: (-row["rows"], row["label"]))
-    labels = [[row["label"] for row in rows if row["column_name"] == name] for name in columns]
-    return StringIndexerModel.from_arrays_of_labels(
-        labels, inputCols=columns, outputCols=[index_name(name) for name in columns], handleInvalid="error")
+    return [
+        StringIndexerModel.from_labels([row["label"] for row in rows if row["column_name"] == name], inputCol=name,
+                                       outputCol=index_name(name), handleInvalid="error")
+        for name in columns
+    ]
 
 
 def assembler(handle_invalid: str = "error") -> VectorAssembler:
@@ -89,16 +91,16 @@ def train(features: DataFrame, max_bins: int | None = None, max_memory_mb: int =
     """
     routed = with_route(features).select(*NUMERIC, *NOMINAL, "ArrDelay")
     indexers = fit_indexers(routed)
-    vectors = assembler()
-    largest = max(len(labels) for labels in indexers.labelsArray)
+    inputs = PipelineModel([*indexers, assembler()])
+    largest = max(len(indexer.labels) for indexer in indexers)
     forest = RandomForestClassifier(
         featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION, maxBins=max_bins or max(32, largest),
         maxMemoryInMB=max_memory_mb, **({} if seed is None else {"seed": seed}))
-    prepared = vectors.transform(indexers.transform(delay_bucketizer().transform(routed))).select(VECTOR, LABEL)
+    prepared = inputs.transform(delay_bucketizer().transform(routed)).select(VECTOR, LABEL)
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = forest.fit(prepared)
-        model = PipelineModel([indexers, vectors, fitted])
+        model = PipelineModel([*inputs.stages, fitted])
         if holdout is None:
             judged = fitted.transform(prepared)
         else:

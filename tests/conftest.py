@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         session.builder("tests", "local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.driver.memory", "6g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
