@@ -20,7 +20,7 @@ DELAY_CLASSES_3 = {
     2: "Very Late (60+ Minute Delay)",
 }
 
-_SEPARATORS = r"[^\p{L}\p{N}_]+"
+_WORD = r"[\p{L}\p{N}_]"
 
 
 def route(origin: Column, dest: Column) -> Column:
@@ -48,14 +48,13 @@ def strip_paging(url: Column) -> Column:
     return F.when(base == "", url).otherwise(base)
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case words of a text; a leading or trailing separator leaves an empty word."""
-    return F.split(F.lower(text.cast("string")), _SEPARATORS)
-
-
 def matches(field: Column, query: str) -> Column:
-    """True when the field and the query share at least one word."""
-    words = [word for word in re.split(r"[^\w]+", query.lower()) if word]
+    """True when the field and the query share at least one word, in any case.
+
+    One regular expression looks for the words between word boundaries; no word list is built per row.
+    """
+    words = re.findall(r"\w+", query.lower())
     if not words:
         return F.lit(False)
-    return F.arrays_overlap(tokens(field), F.array(*[F.lit(word) for word in words]))
+    pattern = f"(?<!{_WORD})(?:{'|'.join(words)})(?!{_WORD})"
+    return F.lower(field.cast("string")).rlike(pattern)

@@ -19,7 +19,6 @@ from skyledger.sources.writers import write_json
 
 FEATURE_COLUMNS = ("FlightNum", "FlightDate", "DayOfWeek", "DayOfMonth", "DayOfYear", "Carrier", "Origin", "Dest",
                    "Distance", "DepDelay", "ArrDelay", "CRSDepTime", "CRSArrTime")
-_NEEDED = ("FlightDate", "DayOfWeek", "DayOfMonth", "CRSDepTime", "CRSArrTime")
 
 
 def selected(flights: DataFrame) -> DataFrame:
@@ -29,36 +28,49 @@ def selected(flights: DataFrame) -> DataFrame:
     return named.where("ArrDelay IS NOT NULL AND DepDelay IS NOT NULL").select(*FEATURE_COLUMNS)
 
 
-def with_times(rows: DataFrame) -> DataFrame:
-    """Text dates and times to typed ones; an arrival before its departure moves to the next day."""
-    day = times.iso_day(F.col("FlightDate"))
-    departure = times.scheduled_at(F.col("FlightDate"), F.col("CRSDepTime"))
-    arrival = times.scheduled_at(F.col("FlightDate"), F.col("CRSArrTime"))
-    typed = {
+def _parsed(rows: DataFrame) -> DataFrame:
+    """Add the day and both clock times as numbers."""
+    return rows.withColumns({
+        "_day": times.iso_day(F.col("FlightDate")),
+        "_departure": times.clock_minutes(F.col("CRSDepTime")),
+        "_arrival": times.clock_minutes(F.col("CRSArrTime")),
+    })
+
+
+def _typed(parsed: DataFrame) -> DataFrame:
+    """Typed dates and times from the numbers; an arrival before its departure moves to the next day."""
+    day, departure, arrival = F.col("_day"), F.col("_departure"), F.col("_arrival")
+    overnight = F.when(arrival < departure, F.lit(24 * 60)).otherwise(F.lit(0))
+    return parsed.withColumns({
         "FlightDate": day,
-        "DayOfWeek": F.col("DayOfWeek").cast("string").try_cast("int"),
-        "DayOfMonth": F.col("DayOfMonth").cast("string").try_cast("int"),
         "DayOfYear": times.day_of_year(day),
-        "CRSDepTime": departure,
-        "CRSArrTime": times.next_day_if_before(arrival, departure),
-    }
-    return rows.withColumns(typed)
+        "DayOfWeek": F.col("DayOfWeek").try_cast("int"),
+        "DayOfMonth": F.col("DayOfMonth").try_cast("int"),
+        "CRSDepTime": times.at_minute(day, departure),
+        "CRSArrTime": times.at_minute(day, arrival + overnight),
+    }).drop("_day", "_departure", "_arrival")
 
 
 def _complete() -> Column:
-    return reduce(lambda left, right: left & right, (F.col(name).isNotNull() for name in _NEEDED))
+    """Conditions on the parsed numbers, so that nothing is parsed twice."""
+    known = ("_day", "_departure", "_arrival")
+    numbers = [F.col(name).try_cast("int").isNotNull() for name in ("DayOfWeek", "DayOfMonth")]
+    return reduce(lambda left, right: left & right, [F.col(name).isNotNull() for name in known] + numbers)
+
+
+def with_times(rows: DataFrame) -> DataFrame:
+    """Text dates and times to typed ones; what does not parse becomes null."""
+    return _typed(_parsed(rows))
 
 
 def extract(flights: DataFrame) -> DataFrame:
     """Model-ready features. Rows whose date or times do not parse are left to ``rejects``."""
-    return with_times(selected(flights)).where(_complete())
+    return _typed(_parsed(selected(flights)).where(_complete()))
 
 
 def rejects(flights: DataFrame) -> DataFrame:
     """The source rows ``extract`` cannot use although their delays are known."""
-    source = selected(flights)
-    typed = source.select(F.struct(*FEATURE_COLUMNS).alias("_source"), *FEATURE_COLUMNS)
-    return with_times(typed).where(~_complete()).select("_source.*")
+    return _parsed(selected(flights)).where(~_complete()).select(*FEATURE_COLUMNS)
 
 
 def write(features: DataFrame, path: str, compression: str | None = "bzip2", single_file: bool = False) -> None:
