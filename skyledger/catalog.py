@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,13 +151,20 @@ def _distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_once(spark, sf_dir, "distances", make))
 
 
-def _model(spark: SparkSession, sf_dir: str):
-    """The trained chain, persisted once; every user loads it from its files."""
+def _trained(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the trained chain and its confusion counts, made once."""
     def make() -> str:
         path = session.work_folder(spark, "model")
-        training.save(training.train(features.extract(_flights(spark, sf_dir))).model, path)
+        trained = training.train(features.extract(_flights(spark, sf_dir)))
+        training.save(trained.model, path)
+        trained.confusion.write.parquet(f"{path}/confusion")
         return path
-    return training.load(spark, _once(spark, sf_dir, "model", make))
+    return _once(spark, sf_dir, "model", make)
+
+
+def _model(spark: SparkSession, sf_dir: str):
+    """The trained chain, loaded from its files."""
+    return training.load(spark, _trained(spark, sf_dir))
 
 
 def _typed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,8 +232,8 @@ FROM features WHERE {_md5_bucket("'18:' || row_key", '1000')} = 0 ORDER BY dep,
 def sample_top6(spark, sf_dir):
     known = _flights(spark, sf_dir).where("ArrDelay IS NOT NULL AND DepDelay IS NOT NULL")
     sampled = ordering.hash_sample(known, F.col("row_key"), 1000, seed="18")
-    top = ordering.top_by(features.with_times(sampled.withColumnRenamed("DayofMonth", "DayOfMonth").withColumn(
-        "DayOfYear", F.lit(None).cast("int"))), ["CRSDepTime", "row_key"], 6)
+    timed = sampled.withColumn("CRSDepTime", times.scheduled_at(F.col("FlightDate"), F.col("CRSDepTime")))
+    top = ordering.top_by(timed, ["CRSDepTime", "row_key"], 6)
     return _plain(top.select("row_key", "CRSDepTime", "Carrier", "Origin", "Dest", "DepDelay", "ArrDelay"))
 
 
@@ -768,9 +776,9 @@ def label_truncated(spark, sf_dir):
 
 # --- files ------------------------------------------------------------------------------------------------------------
 
-def _feature_files(spark, sf_dir, compression, **options) -> str:
+def _feature_files(spark, sf_dir, compression) -> str:
     path = session.work_folder(spark, "features-json")
-    features.write(features.extract(_flights(spark, sf_dir)), path, compression, **options)
+    features.write(features.extract(_flights(spark, sf_dir)), path, compression)
     return path
 
 
@@ -781,8 +789,7 @@ def io_json_bz2(spark, sf_dir):
 
 @query("features", sql=_FEATURES_SELECT)
 def io_json_text(spark, sf_dir):
-    path = _feature_files(spark, sf_dir, None, single_file=True)
-    return _plain(readers.json_text(spark, path, schemas.TRAINING_FEATURE))
+    return _plain(readers.json_text(spark, _feature_files(spark, sf_dir, None), schemas.TRAINING_FEATURE))
 
 
 @query("features", sql="""SELECT FlightNum, FlightDate, DayOfWeek, Carrier, Origin, Dest, Distance, DepDelay, ArrDelay
@@ -883,21 +890,60 @@ def train_score_distribution(spark, sf_dir):
     return aggregates.distribution(scored, training.PREDICTION)
 
 
-@query()
-def daily_score(spark, sf_dir):
+@query("features", sql=f"""
+SELECT CAST(label AS DOUBLE) AS ArrDelayBucket, count(*) AS "rows" FROM {_JUDGED_SQL} GROUP BY 1""")
+def train_label_rows(spark, sf_dir):
+    """Rows per class that went into training and evaluation."""
+    judged = spark.read.parquet(f"{_trained(spark, sf_dir)}/confusion")
+    return judged.groupBy(training.LABEL).agg(F.sum("rows").alias("rows"))
+
+
+def _scored_days(spark, sf_dir) -> DataFrame:
     tasks, results = session.work_folder(spark, "tasks"), session.work_folder(spark, "results")
     daily.fetch_all_requests(_typed_requests(spark, sf_dir), tasks)
     model = _model(spark, sf_dir)
     daily.score_all_days(spark, tasks, results, model, "keep", schemas.STREAM_REQUEST)
     daily.score_day(spark, tasks, results, _DAY, model, "keep", schemas.STREAM_REQUEST)
-    return _plain(readers.day_partition(spark, results, daily.result_schema(schemas.STREAM_REQUEST)))
+    return readers.day_partition(spark, results, daily.result_schema(schemas.STREAM_REQUEST))
+
+
+@query()
+def daily_score(spark, sf_dir):
+    return _plain(_scored_days(spark, sf_dir))
+
+
+_CLASSES = [0.0, 1.0, 2.0, 3.0]
+
+
+@query("requests", sql="""
+SELECT CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS dt, count(*) AS scored, count(*) AS classified,
+ count(DISTINCT Origin || '-' || Dest) AS routes FROM requests GROUP BY 1""")
+def daily_score_days(spark, sf_dir):
+    """Scored requests per day: every request once, with a valid class and its route."""
+    return _plain(_scored_days(spark, sf_dir).groupBy("dt").agg(
+        F.count(F.lit(1)).alias("scored"), F.count_if(F.col("Prediction").isin(_CLASSES)).alias("classified"),
+        F.count_distinct("Route").alias("routes")))
+
+
+def _regressed(spark, sf_dir) -> DataFrame:
+    def make() -> str:
+        path = session.work_folder(spark, "regression")
+        training.train_regression(features.extract(_flights(spark, sf_dir))).write().save(path)
+        return path
+    model = PipelineModel.load(_once(spark, sf_dir, "regression", make))
+    return training.score_regression(_typed_requests(spark, sf_dir), model)
 
 
 @query()
 def regression_score(spark, sf_dir):
-    model = training.train_regression(features.extract(_flights(spark, sf_dir)))
-    return training.score_regression(_typed_requests(spark, sf_dir), model).select(
-        "UUID", "Origin", "Dest", "FlightNum", F.round("Delay", 6).alias("Delay"))
+    return _regressed(spark, sf_dir).select("UUID", "Origin", "Dest", "FlightNum", F.round("Delay", 6).alias("Delay"))
+
+
+@query("requests", sql="SELECT Carrier, count(*) AS scored FROM requests GROUP BY 1")
+def regression_rows(spark, sf_dir):
+    """Requests with a finite predicted delay per carrier: all of them."""
+    finite = F.col("Delay").isNotNull() & ~F.isnan("Delay") & (F.abs("Delay") < 1e6)
+    return _regressed(spark, sf_dir).where(finite).groupBy("Carrier").agg(F.count(F.lit(1)).alias("scored"))
 
 
 @query("requests", sql="SELECT count(*) AS scored, CAST(0 AS BIGINT) AS differing FROM requests")
@@ -953,15 +999,36 @@ def stream_upsert(spark, sf_dir):
     return table.read()
 
 
-@query()
-def stream_scored(spark, sf_dir):
+def _streamed(spark, sf_dir) -> tuple[DataFrame, str]:
+    """Score all request messages as a stream; the response table and the folder of the other outputs."""
     path = session.work_folder(spark, "scored")
     table = keyed.responses(spark, f"{path}/table")
     jobs.score_stream(
         _messages(_event_stream(spark, sf_dir)), _model(spark, sf_dir),
         [writers.message_log(f"{path}/messages"), jobs.response_sink(table)], f"{path}/checkpoint",
         reject_sink=writers.row_log(f"{path}/rejects"), interval=None).awaitTermination()
-    return table.read()
+    return table.read(), path
+
+
+@query()
+def stream_scored(spark, sf_dir):
+    return _streamed(spark, sf_dir)[0]
+
+
+@query("requests", sql="""
+SELECT count(*) FILTER (event_id % 41 <> 0 AND event_id % 43 <> 0) AS answered,
+ count(*) FILTER (event_id % 41 = 0 OR event_id % 43 = 0) AS rejected, CAST(0 AS BIGINT) AS differing FROM requests""")
+def stream_equals_batch(spark, sf_dir):
+    """The streamed classes beside those of a batch over the same messages: none differs."""
+    streamed, path = _streamed(spark, sf_dir)
+    parsed = stream_messages.parsed(_messages(fixtures.table(spark, sf_dir, "events")))
+    batch = scoring.score(stream_messages.requests(parsed), _model(spark, sf_dir), "keep")
+    both = batch.select(F.col("UUID").alias("uuid"), "Prediction").join(
+        streamed.select("uuid", F.col("prediction").alias("streamed")), "uuid", "full_outer")
+    rejected = spark.read.parquet(f"{path}/rejects").agg(F.count(F.lit(1))).scalar()
+    return both.agg(F.count("streamed").alias("answered"),
+                    F.count_if(~F.col("Prediction").eqNullSafe(F.col("streamed"))).alias("differing")
+                    ).withColumn("rejected", rejected)
 
 
 @query("requests", "responses", sql="""

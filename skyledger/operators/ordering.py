@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.forms import hash_bucket
 
+# Sort keys of the feature files.
 FEATURE_ORDER = ("DayOfYear", "Carrier", "Origin", "Dest", "FlightNum", "CRSDepTime", "CRSArrTime")
 
 

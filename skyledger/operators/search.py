@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from skyledger.functions.text import matches
 from skyledger.operators.lookups import with_total
 
-PAGE_SIZE = 10  # fixed value: rows per result page
-
+# Rows per result page and sort keys of both searches.
+PAGE_SIZE = 10
 FLIGHT_ORDER = ("FlightDate", "DepTime", "Carrier", "FlightNum")
 AIRPLANE_ORDER = ("Owner",)
 

@@ -17,6 +17,7 @@ from skyledger.sources import keyed
 from skyledger.sources.readers import json_lines
 from skyledger.sources.writers import write_json
 
+# The columns of interest.
 FEATURE_COLUMNS = ("FlightNum", "FlightDate", "DayOfWeek", "DayOfMonth", "DayOfYear", "Carrier", "Origin", "Dest",
                    "Distance", "DepDelay", "ArrDelay", "CRSDepTime", "CRSArrTime")
 

@@ -56,7 +56,7 @@ RESPONSE = layout(
     route="string",
 )
 
-# Raw form fields: everything arrives as text.
+# Form fields, all text, and the fields of the two searches.
 FORM = layout(
     DepDelay="string", Carrier="string", FlightDate="string", Dest="string", FlightNum="string", Origin="string",
 )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.lookups import latest_per_key
 
-# Column types of the response table, in its order: name in a message, type in the table.
+# Columns of the response table in its order, as name in a message and type in the table.
 RESPONSE_FIELDS = {
     "UUID": "string", "Origin": "string", "Dest": "string", "Carrier": "string", "DepDelay": "double",
     "Prediction": "double", "Timestamp": "string", "FlightDate": "string", "DayOfWeek": "int", "DayOfYear": "int",

@@ -115,16 +115,16 @@ def test_hash_bucket(spark):
 
 
 EXAMPLE = (
-    '{"Dest":"ORD","DayOfYear":360,"FlightDate":"2016-12-25","Distance":606.0,"DayOfMonth":25,'
-    '"UUID":"a01b5ccb-49f1-4c4d-af34-188c6ae0bbf0","FlightNum":"2010","Carrier":"AA","DepDelay":-100.0,'
-    '"DayOfWeek":6,"Timestamp":"2016-12-20T18:06:45.307114","Origin":"ATL"}'
+    '{"UUID":"8e1c0f6e-9b5d-4a53-8b1e-0c5a3f2d7e10","Timestamp":"2017-03-04T09:10:11.123456","Origin":"HNL","Dest":"OGG",'
+    '"Carrier":"HA","FlightNum":"212","FlightDate":"2017-03-05","DepDelay":-7.5,"Distance":100.0,"DayOfYear":64,'
+    '"DayOfMonth":5,"DayOfWeek":7}'
 )
 
 
 def test_parse_example(spark):
     got = column(spark, [EXAMPLE], lambda c: messages.parse(c.cast("binary"), schemas.STREAM_MESSAGE))[0]
-    assert (got.FlightDate, got.DepDelay, got.DayOfWeek) == (dt.date(2016, 12, 25), -100.0, 6)
-    assert got.Timestamp == dt.datetime(2016, 12, 20, 18, 6, 45, 307114)
+    assert (got.FlightDate, got.DepDelay, got.DayOfWeek) == (dt.date(2017, 3, 5), -7.5, 7)
+    assert got.Timestamp == dt.datetime(2017, 3, 4, 9, 10, 11, 123456)
     assert got.Prediction is None and got.Carrier_index is None
 
 

@@ -14,8 +14,8 @@ from skyledger.plans import daily, features, requests, scoring, training
 from skyledger.sources import readers
 from tests.conftest import rows
 
-FLIGHT = dict(FlightNum="6109", FlightDate="2015-12-31", DayOfWeek=4, DayofMonth=31, Month=12, Carrier="WN", Origin="TUS",
-              Dest="SAN", Distance=368.0, DepDelay=14.0, ArrDelay=5.0, CRSDepTime="0305", CRSArrTime="0320")
+FLIGHT = dict(FlightNum="212", FlightDate="2016-12-31", DayOfWeek=6, DayofMonth=31, Month=12, Carrier="HA", Origin="HNL",
+              Dest="OGG", Distance=100.0, DepDelay=3.0, ArrDelay=1.0, CRSDepTime="0630", CRSArrTime="0710")
 TYPES = dict(DayOfWeek="int", DayofMonth="int", Month="int", Distance="double", DepDelay="double", ArrDelay="double")
 
 
@@ -28,9 +28,9 @@ def frame(spark, *changes):
 def test_extract_example(spark):
     row = features.extract(frame(spark, {})).first()
     assert row.asDict() == dict(
-        FlightNum="6109", FlightDate=dt.date(2015, 12, 31), DayOfWeek=4, DayOfMonth=31, DayOfYear=365, Carrier="WN",
-        Origin="TUS", Dest="SAN", Distance=368.0, DepDelay=14.0, ArrDelay=5.0,
-        CRSDepTime=dt.datetime(2015, 12, 31, 3, 5), CRSArrTime=dt.datetime(2015, 12, 31, 3, 20))
+        FlightNum="212", FlightDate=dt.date(2016, 12, 31), DayOfWeek=6, DayOfMonth=31, DayOfYear=366, Carrier="HA",
+        Origin="HNL", Dest="OGG", Distance=100.0, DepDelay=3.0, ArrDelay=1.0,
+        CRSDepTime=dt.datetime(2016, 12, 31, 6, 30), CRSArrTime=dt.datetime(2016, 12, 31, 7, 10))
 
 
 def test_extract_splits_good_and_bad(spark):
@@ -38,9 +38,9 @@ def test_extract_splits_good_and_bad(spark):
                {"CRSArrTime": None}, {"DayOfWeek": None}, {"CRSArrTime": "2400"}, {"CRSDepTime": "2310", "CRSArrTime": "0010"})
     good, bad = features.extract(df).collect(), features.rejects(df).collect()
     assert len(good) == 3 and len(bad) == 4
-    assert good[1].CRSArrTime == dt.datetime(2015, 12, 31, 23, 59)
-    assert good[2].CRSArrTime == dt.datetime(2016, 1, 1, 0, 10)
-    assert {r.CRSDepTime for r in bad} == {"9999", "0305"}
+    assert good[1].CRSArrTime == dt.datetime(2016, 12, 31, 23, 59)
+    assert good[2].CRSArrTime == dt.datetime(2017, 1, 1, 0, 10)
+    assert {r.CRSDepTime for r in bad} == {"9999", "0630"}
 
 
 def test_null_filter_reaches_the_scan(spark, tmp_path):
@@ -53,9 +53,9 @@ def test_null_filter_reaches_the_scan(spark, tmp_path):
 
 def test_distances(spark):
     df = frame(spark, {"Distance": 10.0}, {"Distance": 20.0}, {"Origin": "ATL", "Distance": 5.0})
-    assert [tuple(r) for r in features.distances(df).collect()] == [("ATL", "SAN", 5.0), ("TUS", "SAN", 15.0)]
+    assert [tuple(r) for r in features.distances(df).collect()] == [("ATL", "OGG", 5.0), ("HNL", "OGG", 15.0)]
     assert [r.Distance for r in features.distances(df, descending=True).distinct().orderBy("Distance").collect()] == [5.0, 15.0]
-    assert rows(features.distance_table(df)) == [("ATL", "SAN", 5.0), ("TUS", "SAN", 15.0)]
+    assert rows(features.distance_table(df)) == [("ATL", "OGG", 5.0), ("HNL", "OGG", 15.0)]
 
 
 FORMS = [("5", "AA", "2016-12-25", "SFO", "1519", "ATL"), ("abc", "AA", "2016-12-25", "XXX", "1", "ATL"),

@@ -18,12 +18,10 @@ def base(tmp_path):
     return str(tmp_path / "out")
 
 
-FEATURE = ("5.0", dt.datetime(2015, 12, 31, 3, 20), dt.datetime(2015, 12, 31, 3, 5), "WN", 31, 4, 365, 14.0, "SAN", 368.0,
-           dt.date(2015, 12, 31), "6109", "TUS")
-
-
 def feature_frame(spark, n=20):
-    made = [(float(i), *FEATURE[1:3], "WN", 31, 4, 365 - i, None if i % 5 == 0 else 14.0, *FEATURE[8:]) for i in range(n)]
+    day = dt.date(2017, 3, 5)
+    made = [(float(i), dt.datetime(2017, 3, 5, 7, 10), dt.datetime(2017, 3, 5, 6, 30), "HA", 5, 7, 64 - i,
+             None if i % 5 == 0 else 14.0, "OGG", 100.0, day, "212", "HNL") for i in range(n)]
     return spark.createDataFrame(made, schemas.TRAINING_FEATURE)
 
 
@@ -52,12 +50,12 @@ def test_inferred_schema(spark, base):
 
 
 def test_offset_dates(spark, base):
-    text = ('{"ArrDelay":5.0,"CRSArrTime":"2015-12-31T03:20:00.000-08:00","CRSDepTime":"2015-12-31T03:05:00.000-08:00",'
-            '"Carrier":"WN","DayOfMonth":31,"FlightDate":"2015-12-30T16:00:00.000-08:00"}')
+    text = ('{"ArrDelay":1.0,"CRSDepTime":"2017-03-05T06:30:00.000-10:00","Carrier":"HA",'
+            '"DayOfMonth":5,"FlightDate":"2017-03-04T14:00:00.000-10:00"}')
     spark.createDataFrame([(text,)], "value string").write.text(base)
     row = features.read(spark, base, offset_dates=True).first()
-    assert row.FlightDate == dt.date(2015, 12, 31)
-    assert row.CRSDepTime == dt.datetime(2015, 12, 31, 11, 5)
+    assert row.FlightDate == dt.date(2017, 3, 5)
+    assert row.CRSDepTime == dt.datetime(2017, 3, 5, 16, 30)
 
 
 def test_parquet_conversion_and_view(spark, base):
