@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schemas, session
+from skyledger.operators import aggregates
 from skyledger.operators.ordering import hash_sample
-from skyledger.plans import daily, features, pages, training
+from skyledger.plans import daily, features, pages, requests, training
 from skyledger.sources import keyed, readers, writers
 from skyledger.streaming import jobs
 
@@ -38,12 +40,44 @@ def build_pages(spark: SparkSession, args) -> None:
 
 
 def train(spark: SparkSession, args) -> None:
-    trained = training.train(features.read(spark, args.features, args.offset_dates), args.max_bins)
+    rows = features.read(spark, args.features, args.offset_dates)
+    aggregates.null_profile(rows).show()
+    trained = training.train(rows, args.max_bins)
     training.save(trained.model, args.model)
     print(f"accuracy {trained.accuracy()}")
     trained.distribution().show()
 
 
+def train_regression(spark: SparkSession, args) -> None:
+    model = training.train_regression(features.read(spark, args.features, args.offset_dates))
+    model.write().overwrite().save(args.model)
+
+
+def _forms(spark: SparkSession, args):
+    table = session.staged(keyed.routes(keyed.distances(spark, args.distances)), "routes")
+    return spark.read.schema(schemas.FORM).json(args.forms), table
+
+
+def build_requests(spark: SparkSession, args) -> None:
+    """Form rows to requests: appended to a task table, or sent with an id as messages."""
+    raw, table = _forms(spark, args)
+    if args.topic:
+        made = requests.realtime_requests(raw, table, numbering=args.numbering)
+        writers.write_topic(made, args.servers, args.topic, args.format)
+    else:
+        made = requests.batch_requests(raw, table, numbering=args.numbering)
+        typed = made.withColumns({"FlightDate": F.col("FlightDate").try_cast("date"),
+                                  "Timestamp": F.col("Timestamp").cast("timestamp")})
+        writers.append(typed, "parquet", path=args.out)
+
+
+def regress_requests(spark: SparkSession, args) -> None:
+    """Form rows to predicted delays."""
+    raw, table = _forms(spark, args)
+    asked = requests.regression_requests(raw, table, numbering=args.numbering)
+    writers.write_json(training.score_regression(asked, PipelineModel.load(args.model)), args.out)
+
+
 def fetch_requests(spark: SparkSession, args) -> None:
     tasks = readers.collection(spark, args.format, _pairs(args.option), path=args.tasks)
     daily.fetch_requests(tasks, f"{args.base}/prediction_tasks_daily", args.date, args.lexical)
@@ -67,6 +101,13 @@ def score_stream(spark: SparkSession, args) -> None:
                       writers.row_log(f"{args.table}-rejects"), args.interval, args.handle_invalid).awaitTermination()
 
 
+def listen_responses(spark: SparkSession, args) -> None:
+    schema = None if args.format == "kafka" else schemas.layout(value="string")
+    source = readers.message_stream(spark, args.format, _pairs(args.option), schema, args.input)
+    jobs.listen_responses(source, keyed.responses(spark, args.table), schemas.STREAM_RESPONSE, args.checkpoint,
+                          args.interval).awaitTermination()
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="skyledger", description=__doc__)
     subs = top.add_subparsers(dest="job", required=True)
@@ -88,6 +129,16 @@ def parser() -> argparse.ArgumentParser:
     sub = job(train, "features", "model")
     sub.add_argument("--max-bins", type=int)
     sub.add_argument("--offset-dates", action="store_true")
+    sub = job(train_regression, "features", "model")
+    sub.add_argument("--offset-dates", action="store_true")
+    sub = job(build_requests, "forms", "distances")
+    sub.add_argument("--out", help="task table to append to")
+    sub.add_argument("--topic", help="request topic, in place of the task table")
+    sub.add_argument("--servers", default="")
+    sub.add_argument("--format", default="kafka", help="connector of the topic")
+    sub.add_argument("--numbering", default="iso", choices=["iso", "weekday0"])
+    sub = job(regress_requests, "forms", "distances", "model", "out")
+    sub.add_argument("--numbering", default="iso", choices=["iso", "weekday0"])
     sub = job(fetch_requests, "tasks", "base", "date")
     sub.add_argument("--format", default="parquet")
     sub.add_argument("--option", nargs="*", default=[], help="connector options as name=value")
@@ -103,6 +154,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--topic", help="response topic; without it responses are kept as files")
     sub.add_argument("--interval", help="micro-batch interval; without it the job works off what is there and ends")
     sub.add_argument("--handle-invalid", default="keep", choices=["error", "skip", "keep"])
+    sub = job(listen_responses, "table", "checkpoint")
+    sub.add_argument("--format", default="kafka")
+    sub.add_argument("--input", help="path of a file stream")
+    sub.add_argument("--option", nargs="*", default=[])
+    sub.add_argument("--interval")
     return top
 
 

@@ -75,3 +75,9 @@ def distance_rows(distances: DataFrame) -> DataFrame:
 def distances(spark: SparkSession, path: str) -> KeyedTable:
     """Distances by ``(origin, dest)``."""
     return KeyedTable(spark, path, ["origin", "dest"], ["distance"])
+
+
+def routes(table: KeyedTable) -> DataFrame:
+    """The distance table under the names the request joins use."""
+    return table.read().select(F.col("origin").alias("Origin"), F.col("dest").alias("Dest"),
+                               F.col("distance").alias("Distance"))

@@ -58,7 +58,8 @@ def as_messages(df: DataFrame) -> DataFrame:
 
 def write_topic(df: DataFrame, servers: str, topic: str, fmt: str = "kafka") -> None:
     """Send every row as a JSON message."""
-    as_messages(df).write.format(fmt).option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    options = {"kafka.bootstrap.servers": servers, "topic": topic}
+    as_messages(df).write.format(fmt).options(**options).mode("append").save()
 
 
 # --- sinks of a micro-batch -------------------------------------------------------------------------------------------

@@ -18,7 +18,7 @@ def base(spark, tmp_path_factory):
     for i in range(400):
         delay = float(pick.randrange(-40, 90))
         made.append((pick.choice(["AA", "DL"]), pick.choice(["ATL", "SFO"]), pick.choice(["ORD", "JFK"]), f"N{i % 9}", str(i),
-                     "2015-12-31", 2015, 12, 31, 4, 606.0 + i % 3, delay, delay, "0905", "1010"))
+                     "2015-12-31", 2015, 12, 31, 4, 606.5, delay, delay, "0905", "1010"))
     spark.createDataFrame(made, "Carrier string, Origin string, Dest string, TailNum string, FlightNum string, FlightDate string, "
                                 "Year int, Month int, DayofMonth int, DayOfWeek int, Distance double, DepDelay double, "
                                 "ArrDelay double, CRSDepTime string, CRSArrTime string").write.parquet(f"{base}/flights")
@@ -64,6 +64,24 @@ def test_jobs_in_sequence(spark, base, capsys):
     assert keyed.responses(spark, f"{base}/responses").read().count() == 30
     assert spark.read.parquet(f"{base}/responses-messages").count() == 30
 
+    main(["listen-responses", "--format", "parquet", "--input", f"{base}/responses-messages/batch_id=0",
+          "--table", f"{base}/listened", "--checkpoint", f"{base}/listen-checkpoint"], spark)
+    assert keyed.responses(spark, f"{base}/listened").read().count() == 30
+
+    forms = [("5", "AA", "2016-12-25", "ORD", "1", "ATL"), ("x", "AA", "bad", "XXX", "2", "ATL")]
+    spark.createDataFrame(forms, "DepDelay string, Carrier string, FlightDate string, Dest string, FlightNum string, Origin string"
+                          ).write.json(f"{base}/forms")
+    common = ["--forms", f"{base}/forms", "--distances", f"{base}/distance_table"]
+    for _ in range(2):
+        main(["build-requests", *common, "--out", f"{base}/tasks"], spark)
+    added = spark.read.parquet(f"{base}/tasks").where("Timestamp > '2017-01-01'")
+    assert rows(added.select("FlightNum", "DepDelay", "Distance", "DayOfWeek").distinct()) == [
+        ("1", 5.0, 606.0, 7), ("2", None, 0.0, None)] and added.count() == 4
+    main(["build-requests", *common, "--topic", "requests", "--format", "noop"], spark)
+    main(["train-regression", "--features", f"{base}/features", "--model", f"{base}/regression"], spark)
+    main(["regress-requests", *common, "--model", f"{base}/regression", "--out", f"{base}/delays"], spark)
+    assert spark.read.json(f"{base}/delays").where("Delay IS NOT NULL").count() == 2
+
 
 def test_unknown_job():
     with pytest.raises(SystemExit):

@@ -111,6 +111,12 @@ def test_topic_options_and_messages(spark):
     assert rows(writers.as_messages(df)) == [('{"UUID":"a","DayOfWeek":1}',)]
 
 
+def test_topic_writer_and_replay(spark):
+    writers.write_topic(tasks(spark), "h:1", "responses", fmt="noop")
+    with pytest.raises(Exception, match="kafka"):  # no connector is installed here
+        readers.topic_replay(spark, "h:1", "requests")
+
+
 def keyed_rows(spark, *values):
     return spark.createDataFrame(list(values), "uuid string, timestamp string, prediction double")
 
