@@ -95,7 +95,7 @@ def load_results(spark: SparkSession, args) -> None:
 def score_stream(spark: SparkSession, args) -> None:
     schema = None if args.format == "kafka" else schemas.layout(value="string")
     source = readers.message_stream(spark, args.format, _pairs(args.option), schema, args.input)
-    sinks = [jobs.response_sink(keyed.responses(spark, args.table))]
+    sinks = [jobs.response_sink(keyed.responses(spark, args.table, args.files))]
     sinks.append(writers.topic_sink(args.servers, args.topic) if args.topic else writers.message_log(f"{args.table}-messages"))
     jobs.score_stream(source, training.load(spark, args.model), sinks, args.checkpoint,
                       writers.row_log(f"{args.table}-rejects"), args.interval, args.handle_invalid).awaitTermination()
@@ -104,8 +104,8 @@ def score_stream(spark: SparkSession, args) -> None:
 def listen_responses(spark: SparkSession, args) -> None:
     schema = None if args.format == "kafka" else schemas.layout(value="string")
     source = readers.message_stream(spark, args.format, _pairs(args.option), schema, args.input)
-    jobs.listen_responses(source, keyed.responses(spark, args.table), schemas.STREAM_RESPONSE, args.checkpoint,
-                          args.interval).awaitTermination()
+    jobs.listen_responses(source, keyed.responses(spark, args.table, args.files), schemas.STREAM_RESPONSE,
+                          args.checkpoint, args.interval).awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -154,11 +154,13 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--topic", help="response topic; without it responses are kept as files")
     sub.add_argument("--interval", help="micro-batch interval; without it the job works off what is there and ends")
     sub.add_argument("--handle-invalid", default="keep", choices=["error", "skip", "keep"])
+    sub.add_argument("--files", type=int, help="response files per micro-batch")
     sub = job(listen_responses, "table", "checkpoint")
     sub.add_argument("--format", default="kafka")
     sub.add_argument("--input", help="path of a file stream")
     sub.add_argument("--option", nargs="*", default=[])
     sub.add_argument("--interval")
+    sub.add_argument("--files", type=int, help="files per micro-batch")
     return top
 
 

@@ -417,11 +417,11 @@ _PAGE_COLUMNS = ["Carrier", "FlightNum", "Origin", "Dest", "FlightDate", "DepTim
                  "row_key"]
 
 
-@query("flights", sql=_FLIGHT_PAGE_SQL.format(where="Carrier = 'Brand#7' AND Origin = 'NATION_3'", start=20))
+@query("flights", sql=_FLIGHT_PAGE_SQL.format(where="Carrier = 'Brand#7'", start=20))
 def flight_search_page(spark, sf_dir):
     return search.flight_search(
-        _flights(spark, sf_dir), {"Carrier": "Brand#7", "Origin": "NATION_3", "Dest": ""}, schemas.FLIGHT_SEARCH_FIELDS,
-        ties=("row_key",), exact=("Carrier", "Origin"), start=20).select(*_PAGE_COLUMNS, "flight_count")
+        _flights(spark, sf_dir), {"Carrier": "Brand#7", "Dest": ""}, schemas.FLIGHT_SEARCH_FIELDS,
+        ties=("row_key",), exact=("Carrier",), start=20).select(*_PAGE_COLUMNS, "flight_count")
 
 
 @query("flights", sql=_FLIGHT_PAGE_SQL.format(
@@ -963,9 +963,10 @@ def model_roundtrip(spark, sf_dir):
 # --- streams ----------------------------------------------------------------------------------------------------------
 
 def _finished(spark, stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream over what is there, into files, and return them."""
+    """Run a stream over what is there, into files, and return them; one state partition per core of the cluster."""
     path, checkpoint = session.work_folder(spark, name), session.work_folder(spark, f"{name}-checkpoint")
-    jobs.to_files(stream, path, checkpoint, interval=None).awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    jobs.to_files(stream, path, checkpoint, interval=None, partitions=cores).awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -975,11 +976,16 @@ def stream_parse(spark, sf_dir):
     return _shown_requests(_finished(spark, stream_messages.requests(parsed), "parsed"))
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Every row one to three times."""
+    copies = F.sequence(F.lit(0), (F.col("UUID").cast("bigint") % 3).cast("int"))
+    return rows.withColumn("_copy", F.explode(copies)).drop("_copy")
+
+
 @query("requests", sql=f"""SELECT UUID, Carrier, strftime("Timestamp", {_MICROS}) AS "Timestamp" FROM requests""")
 def stream_dedup(spark, sf_dir):
     rows = fixtures.request_rows(_event_stream(spark, sf_dir)).select("UUID", "Carrier", "Timestamp")
-    repeated = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), (F.col("UUID").cast("int") % 3)))).drop("_copy")
-    unique = jobs.unique_requests(repeated, "Timestamp", "1 hour")
+    unique = jobs.unique_requests(_repeated(rows), "Timestamp", "1 hour")
     return _finished(spark, unique, "unique").withColumn("Timestamp", times.iso_text(F.col("Timestamp")))
 
 
@@ -1036,7 +1042,7 @@ SELECT r.UUID AS request_uuid, r.Carrier, p.UUID AS response_uuid, p.Prediction
 FROM requests r JOIN responses p ON r.UUID = p.UUID AND p.copy = 0 AND p.ResponseTime >= r."Timestamp"
  AND p.ResponseTime <= r."Timestamp" + INTERVAL 10 MINUTE""")
 def stream_status_join(spark, sf_dir):
-    asked = fixtures.request_rows(_event_stream(spark, sf_dir)).select("UUID", "Carrier", "Timestamp")
+    asked = _repeated(fixtures.request_rows(_event_stream(spark, sf_dir)).select("UUID", "Carrier", "Timestamp"))
     answers = _response_rows(_event_stream(spark, sf_dir)).where("copy = 0").select("UUID", "ResponseTime", "Prediction")
     paired = jobs.request_response(asked, answers, "Timestamp", "ResponseTime", "10 MINUTES", "1 hour")
     return _finished(spark, paired.select("request_uuid", "Carrier", "response_uuid", "Prediction"), "paired")

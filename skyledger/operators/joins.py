@@ -15,21 +15,30 @@ from skyledger.operators.lookups import latest_per_key
 ROUTE_KEY = ["Origin", "Dest"]
 
 
-def with_distance(requests: DataFrame, distances: DataFrame, missing: str = "zero", integer: bool = False) -> DataFrame:
+def with_distance(requests: DataFrame, distances: DataFrame, missing: str = "zero", integer: bool = False,
+                  spread: int = 1) -> DataFrame:
     """Add ``Distance`` by route.
 
     ``missing`` says what happens to a route without a distance: ``zero`` gives 0, ``error`` fails the job, ``drop``
-    leaves the request out (``unknown_routes`` lists those). ``integer`` truncates as the keyed table does.
+    leaves the request out (``unknown_routes`` lists those). ``integer`` truncates as the keyed table does. ``spread``
+    repeats every distance that many times and deals the requests of a route among the copies; use it where the distances
+    do not fit a broadcast and the plan is not adaptive, as in a stream.
     """
     kind = "int" if integer else "double"
     table = distances.select(*ROUTE_KEY, F.col("Distance").cast(kind).alias("Distance"))
+    key = list(ROUTE_KEY)
+    if spread > 1:
+        key.append("_deal")
+        requests = requests.withColumn("_deal", F.pmod(F.xxhash64(*requests.columns), F.lit(spread)).cast("int"))
+        table = table.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     if missing == "drop":
-        return requests.join(table, ROUTE_KEY, "inner")
+        return requests.join(table, key, "inner").drop("_deal")
     otherwise = {
         "zero": F.lit(0).cast(kind),
         "error": F.raise_error(F.concat_ws(" ", F.lit("no distance for"), *ROUTE_KEY)).cast(kind),
     }[missing]
-    return requests.join(table, ROUTE_KEY, "left").withColumn("Distance", F.coalesce("Distance", otherwise))
+    joined = requests.join(table, key, "left").drop("_deal")
+    return joined.withColumn("Distance", F.coalesce("Distance", otherwise))
 
 
 def unknown_routes(requests: DataFrame, distances: DataFrame) -> DataFrame:

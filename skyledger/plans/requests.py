@@ -28,13 +28,13 @@ def with_date_parts(rows: DataFrame, numbering: str = "iso") -> DataFrame:
 
 def build(raw: DataFrame, distances: DataFrame, *, numbering: str = "iso", as_of: str | Column | None = None,
           request_id: Column | None = None, missing: str = "zero", integer_distance: bool = False,
-          delay_type: str = "decimal") -> DataFrame:
+          delay_type: str = "decimal", spread: int = 1) -> DataFrame:
     """Requests ready to store or send: coerced fields, distance, date parts, request time and, if given, an id.
 
     Works on a table and on a stream (the distance join is then stream to table).
     """
     typed = coerced(raw, delay_type)
-    located = with_distance(typed, distances, missing, integer_distance)
+    located = with_distance(typed, distances, missing, integer_distance, spread)
     dated = with_date_parts(located, numbering).withColumn("Timestamp", forms.request_time(as_of))
     return dated if request_id is None else dated.withColumn("UUID", request_id)
 

@@ -22,14 +22,21 @@ RESPONSE_FIELDS = {
 
 
 class KeyedTable:
-    """A keyed table at ``path``. ``order`` names the columns that settle two writes of a key in one batch."""
+    """A keyed table at ``path``. ``order`` names the columns that settle two writes of a key in one batch.
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None):
-        self.spark, self.path, self.keys, self.order = spark, path, keys, order or []
+    ``files`` bounds the files of a batch. Set it for streams: their plans are not adaptive, and a small micro-batch would
+    leave one file per shuffle partition.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None,
+                 files: int | None = None):
+        self.spark, self.path, self.keys, self.order, self.files = spark, path, keys, order or [], files
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Add a batch; duplicates inside it are settled first. Later batches win over earlier ones."""
         latest = latest_per_key(rows, self.keys, self.order)
+        if self.files:
+            latest = latest.coalesce(self.files)
         writer = latest.sortWithinPartitions(*self.keys).write.mode("overwrite")
         for key in self.keys:
             writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
@@ -61,9 +68,9 @@ def response_rows(scored: DataFrame) -> DataFrame:
     return scored.select(*[F.col(name).cast(kind).alias(name.lower()) for name, kind in RESPONSE_FIELDS.items()])
 
 
-def responses(spark: SparkSession, path: str) -> KeyedTable:
+def responses(spark: SparkSession, path: str, files: int | None = None) -> KeyedTable:
     """Responses by ``uuid``."""
-    return KeyedTable(spark, path, ["uuid"], ["timestamp"])
+    return KeyedTable(spark, path, ["uuid"], ["timestamp"], files)
 
 
 def distance_rows(distances: DataFrame) -> DataFrame:

@@ -24,26 +24,39 @@ from skyledger.streaming import messages
 INTERVAL = "10 seconds"  # fixed value: micro-batch interval
 
 
-def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
+def _start(stream: DataFrame, writer, checkpoint: str, interval: str | None, partitions: int | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
-    return writer.start()
+    if partitions is None:
+        return writer.start()
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", partitions)  # a query copies the settings when it starts
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def per_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-              interval: str | None = INTERVAL) -> StreamingQuery:
-    """Run a frame function on every micro-batch."""
-    return _start(stream.writeStream.foreachBatch(fn), checkpoint, interval)
+              interval: str | None = INTERVAL, partitions: int | None = None) -> StreamingQuery:
+    """Run a frame function on every micro-batch.
+
+    ``partitions`` is the number of state partitions, fixed for the life of the checkpoint (by default the session's
+    shuffle partitions). Every stateful step keeps that many state stores.
+    """
+    return _start(stream, stream.writeStream.foreachBatch(fn), checkpoint, interval, partitions)
 
 
-def to_files(stream: DataFrame, path: str, checkpoint: str, interval: str | None = INTERVAL) -> StreamingQuery:
-    """Append a stream to Parquet files, each row exactly once."""
-    return _start(stream.writeStream.format("parquet").option("path", path), checkpoint, interval)
+def to_files(stream: DataFrame, path: str, checkpoint: str, interval: str | None = INTERVAL,
+             partitions: int | None = None) -> StreamingQuery:
+    """Append a stream to Parquet files, each row exactly once. ``partitions`` as in ``per_batch``."""
+    return _start(stream, stream.writeStream.format("parquet").option("path", path), checkpoint, interval, partitions)
 
 
 def to_console(stream: DataFrame, checkpoint: str, interval: str | None = INTERVAL) -> StreamingQuery:
     """Print a stream."""
-    return _start(stream.writeStream.format("console"), checkpoint, interval)
+    return _start(stream, stream.writeStream.format("console"), checkpoint, interval, None)
 
 
 def score_stream(source: DataFrame, model: PipelineModel, sinks: Iterable[Sink], checkpoint: str,
@@ -92,7 +105,11 @@ def listen_responses(source: DataFrame, table: KeyedTable, schema: StructType, c
 
 
 def enriched(raw: DataFrame, distances: DataFrame, request_id: Column | None = None, **options) -> DataFrame:
-    """Raw form rows of a stream to requests: distance, date parts, time and id."""
+    """Raw form rows of a stream to requests: distance, date parts, time and id.
+
+    Streams are not re-planned while they run. If the distances are too large to broadcast, ``spread=n`` splits the
+    requests of a hot route over ``n`` tasks.
+    """
     return request_plan.realtime_requests(raw, distances, request_id, **options)
 
 
@@ -108,15 +125,19 @@ def unique_requests(stream: DataFrame, time: str, delay: str, key: str = "UUID")
 
 
 def request_response(requests: DataFrame, responses: DataFrame, request_time: str, response_time: str,
-                     wait: str, delay: str, how: str = "inner") -> DataFrame:
+                     wait: str, delay: str, how: str = "inner", unique: bool = True) -> DataFrame:
     """Pair each request with the response that carries its id and arrives within ``wait``.
 
     Both sides have an event-time watermark and a time bound, so Spark can forget rows that no longer match.
-    ``how="left_outer"`` also gives the requests without a response, once the watermark has passed them. Ids must be
-    unique per side: put ``unique_requests`` before it.
+    ``how="left_outer"`` also gives the requests without a response, once the watermark has passed them. Copies of an id
+    would multiply the pairs, so each side goes through ``unique_requests`` first; ``unique=False`` leaves that out for
+    sides that have no copies.
     """
-    left = requests.withWatermark(request_time, delay).withColumnRenamed("UUID", "request_uuid")
-    right = responses.withWatermark(response_time, delay).withColumnRenamed("UUID", "response_uuid")
+    if unique:
+        left, right = unique_requests(requests, request_time, delay), unique_requests(responses, response_time, delay)
+    else:
+        left, right = requests.withWatermark(request_time, delay), responses.withWatermark(response_time, delay)
+    left, right = left.withColumnRenamed("UUID", "request_uuid"), right.withColumnRenamed("UUID", "response_uuid")
     same = F.col("request_uuid") == F.col("response_uuid")
     in_time = (F.col(response_time) >= F.col(request_time)) & (
         F.col(response_time) <= F.col(request_time) + F.expr(f"INTERVAL {wait}"))

@@ -58,7 +58,7 @@ def main() -> None:
     from skyledger import session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = (session.builder("compare", "local[8]").config("spark.sql.shuffle.partitions", "8")
+    spark = (session.builder("compare", "local[8]").config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE_PARTITIONS", "8"))
              .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(sf_dir), oracle_sql(), []

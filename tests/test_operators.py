@@ -171,10 +171,26 @@ def test_distance_join(spark):
     assert pick(joins.with_distance(requests, table, integer=True)) == [(1, 2139), (2, 0), (3, 0)]
     assert pick(joins.with_distance(requests, table, missing="drop")) == [(1, 2139.7)]
     assert sorted(r.id for r in joins.unknown_routes(requests, table).collect()) == [2, 3]
+    assert pick(joins.with_distance(requests, table, spread=4)) == [(1, 2139.7), (2, 0.0), (3, 0.0)]
+    assert pick(joins.with_distance(requests, table, "drop", spread=4)) == [(1, 2139.7)]
     with pytest.raises(Exception, match="no distance for ATL XXX"):
         joins.with_distance(requests.where("id = 2"), table, missing="error").collect()
 
 
+def test_spread_splits_a_hot_route(spark):
+    requests = spark.range(2000).select("id", F.lit("ATL").alias("Origin"), F.lit("SFO").alias("Dest"))
+    table = spark.createDataFrame(DISTANCES, "Origin string, Dest string, Distance double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.with_distance(requests, table, spread=16).select("Distance", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(joined) == 2000 and {r.Distance for r in joined} == {2139.7}
+    assert len({r.p for r in joined}) > 1
+
+
 def test_airline_page_keeps_both_sides(spark):
     airlines = spark.createDataFrame([("AA", "American"), ("ZZ", "None")], "CarrierCode string, Name string")
     fleet = spark.createDataFrame([("AA", 2), ("WN", 5)], "Carrier string, FleetCount int")

@@ -131,6 +131,10 @@ def test_keyed_table(spark, base):
     table.upsert(keyed_rows(spark, ("a", "2015-01-01", 3.0), ("c", None, 0.0)), 1)
     assert sorted(map(tuple, table.read().collect())) == latest
     assert rows(table.lookup(uuid="a")) == [latest[0]] and table.lookup(uuid="z").count() == 0
+    few = keyed.responses(spark, base + "-few", files=1)
+    few.upsert(table.read().repartition(4), 0)
+    assert sorted(map(tuple, few.read().collect())) == latest
+    assert len(glob.glob(base + "-few/batch_id=0/*.parquet")) == 1
     compacted = table.compact_to(base + "-compact")
     assert sorted(map(tuple, compacted.read().collect())) == latest
     assert len(glob.glob(base + "-compact/batch_id=*")) == 1

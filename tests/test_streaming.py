@@ -115,6 +115,18 @@ def test_duplicates_across_batches(spark, tmp_path):
     assert rows(spark.read.parquet(out).select("UUID")) == [(f"u{i}",) for i in range(8)]
 
 
+def test_state_partitions_are_set_for_the_query_only(spark, tmp_path):
+    inbox, out, check = (str(tmp_path / n) for n in ("inbox", "out", "c"))
+    message_files(spark, inbox, [request(i) for i in range(5)])
+    stream = messages.requests(messages.parsed(source(spark, inbox)))
+    unique = jobs.unique_requests(stream, "Timestamp", "1 hour")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    wait(jobs.to_files(unique, out, check, interval=None, partitions=3))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert len(glob.glob(f"{check}/state/0/[0-9]*")) == 3
+    assert spark.read.parquet(out).count() == 5
+
+
 def test_enriched_stream_equals_batch(spark, tmp_path):
     inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
     schema = schemas.FORM
@@ -154,8 +166,8 @@ def test_unanswered_requests_come_out_after_the_watermark(spark, tmp_path):
                                        "10 MINUTES", "5 minutes", "left_outer")
         wait(jobs.to_files(paired.select("request_uuid", "response_uuid"), out, str(tmp_path / "c"), interval=None))
 
-    stamps(asked_in, ("a", 0), ("b", 0), ("late", 0))
-    stamps(answers_in, ("a", 1), ("late", 11))
+    stamps(asked_in, ("a", 0), ("a", 0), ("b", 0), ("late", 0))
+    stamps(answers_in, ("a", 1), ("late", 11), ("a", 1))
     run()
     assert rows(spark.read.parquet(out)) == [("a", "a")]
     stamps(asked_in, ("z", 120))
