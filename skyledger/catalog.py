@@ -132,12 +132,13 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
 def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide on-time-performance table, written once to the shared folder; later queries scan what they need.
 
-    Rows of a date lie together and sorted, so lookups by date skip most row groups.
+    Rows of a date lie together and sorted, so lookups by date skip most row groups. The row key makes the order, and with
+    it the bootstrap samples of the forest, the same on every run.
     """
     def make() -> str:
         path = session.work_folder(spark, "on_time_performance")
         wide = fixtures.with_page_columns(fixtures.flights(spark, sf_dir))
-        wide.hint("rebalance", "FlightDate").sortWithinPartitions("FlightDate", "Carrier").write.parquet(path)
+        wide.hint("rebalance", "FlightDate").sortWithinPartitions("FlightDate", "Carrier", "row_key").write.parquet(path)
         return path
     return spark.read.parquet(_once(spark, sf_dir, "flights", make))
 
@@ -340,12 +341,13 @@ def request_enriched_weekday0(spark, sf_dir):
     return _enriched(spark, sf_dir, numbering="weekday0", integer_distance=True)
 
 
-@query("requests", "distances", sql=_request_sql("CAST(trunc(DepDelay) AS INT)", _ISO_WEEK, "coalesce(d.Distance, 0)"))
+@query("requests", "distances", sql=_request_sql("trunc(DepDelay)", _ISO_WEEK, "coalesce(d.Distance, 0)"))
 def request_regression(spark, sf_dir):
     rounded = fixtures.requests(spark, sf_dir).withColumn("DepDelay", F.col("DepDelay").cast("int"))
     raw = _forms(rounded)
-    return requests.regression_requests(raw, _distances(spark, sf_dir), as_of=F.col("_at"),
+    made = requests.regression_requests(raw, _distances(spark, sf_dir), as_of=F.col("_at"),
                                         request_id=forms.replayable_id(F.col("request"))).drop("_at")
+    return made.withColumn("DepDelay", F.col("DepDelay").cast("double"))
 
 
 @query("requests", "distances", sql="""
@@ -556,13 +558,16 @@ def carrier_list(spark, sf_dir):
 
 
 @query("flights", "airlines", sql=f"""
-SELECT a.*, f.Carrier, f.FleetCount, CASE WHEN f.Carrier IS NOT NULL THEN 0 END AS "Page", f.TailNumbers,
+SELECT a.*, f.Carrier, CAST(f.FleetCount AS DOUBLE) AS FleetCount,
+ CAST(CASE WHEN f.Carrier IS NOT NULL THEN 0 END AS DOUBLE) AS "Page", f.TailNumbers,
  coalesce(a.CarrierCode, f.Carrier) AS carrier_code
 FROM airlines a FULL JOIN {_FLEET_SQL} f ON a.CarrierCode = f.Carrier""")
 def airline_page(spark, sf_dir):
     fleet = documents.fleet_per_carrier(_flights(spark, sf_dir))
     page = joins.airline_page(fixtures.airlines(spark, sf_dir), fleet)
-    return page.withColumn("TailNumbers", F.when(F.col("Carrier").isNotNull(), _joined(F.col("TailNumbers"))))
+    return page.withColumns({
+        "TailNumbers": F.when(F.col("Carrier").isNotNull(), _joined(F.col("TailNumbers"))),
+        "FleetCount": F.col("FleetCount").cast("double"), "Page": F.col("Page").cast("double")})
 
 
 # --- requests and responses -------------------------------------------------------------------------------------------

@@ -81,12 +81,12 @@ class Trained:
         return self.confusion.groupBy(PREDICTION).agg(F.sum("rows").alias("count"))
 
 
-def train(features: DataFrame, max_bins: int | None = None, max_memory_mb: int = 1024, seed: int | None = None,
+def train(features: DataFrame, max_bins: int | None = None, max_memory_mb: int = 1024, seed: int = 1,
           holdout: DataFrame | None = None) -> Trained:
     """Fit the delay classifier on all rows: bucketise, index, assemble, random forest.
 
     ``max_bins`` defaults to the number of labels of the largest nominal column (at least 32), the least the forest
-    accepts. Only the label and the vector are kept while the forest iterates. Evaluation runs on the training rows
+    accepts. The seed is fixed: left out, it would differ between Python processes. Only the label and the vector are kept while the forest iterates. Evaluation runs on the training rows
     unless ``holdout`` is given.
     """
     routed = with_route(features).select(*NUMERIC, *NOMINAL, "ArrDelay")
@@ -95,7 +95,7 @@ def train(features: DataFrame, max_bins: int | None = None, max_memory_mb: int =
     largest = max(len(indexer.labels) for indexer in indexers)
     forest = RandomForestClassifier(
         featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION, maxBins=max_bins or max(32, largest),
-        maxMemoryInMB=max_memory_mb, **({} if seed is None else {"seed": seed}))
+        maxMemoryInMB=max_memory_mb, seed=seed)
     prepared = inputs.transform(delay_bucketizer().transform(routed)).select(VECTOR, LABEL)
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
