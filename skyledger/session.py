@@ -5,7 +5,6 @@ Every setting here is a runtime SQL setting, so ``prepare`` works on a session s
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +27,6 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-_local_base: dict[str, str] = {}
-
 
 def builder(app_name: str, master: str | None = None):
     """A ``SparkSession.builder`` with the defaults of this package."""
@@ -49,19 +46,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path for an intermediate table, below a folder that driver and executors share.
 
-    A local session without that setting gets a temporary folder. On a cluster the setting is required, because a
-    folder on one machine is not visible to the other executors and is lost with its host.
+    That is the folder named by ``spark.checkpoint.dir``, or where it is unset the warehouse folder of the session. A folder
+    on one machine is never used: other executors do not see it, and it is lost with its host.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_base.get(context.applicationId)
-        if base is None:
-            base = _local_base[context.applicationId] = tempfile.mkdtemp(prefix="skyledger-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/skyledger/{name}-{uuid.uuid4().hex}"
 
 
