@@ -2,22 +2,58 @@
 
 from __future__ import annotations
 
-from skyledger.llm import block_naming, pii
+from pyspark.sql import functions as F
+
+from skyledger.llm import block_naming, compression_quality, license_scan, packing, pii
+from skyledger.llm.common import fold
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_model(spark, sf_dir):
+    """The classifier, fitted on labels of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id")) != 0)
+    return compression_quality.fit(docs, labels)
+
+
+def op1_compression_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = compression_quality.scored(docs, quality_model(spark, sf_dir))
+    return rows.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op2_license_scan(spark, sf_dir):
+    return license_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_exact_dedup(spark, sf_dir):
     return block_naming.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_pii": op5_pii, "op9_exact_dedup": op9_exact_dedup}
+def tokenizer_path():
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+QUERIES = {
+    "op1_compression_quality": op1_compression_quality, "op2_license_scan": op2_license_scan, "op5_pii": op5_pii,
+    "op7_best_fit_packing": op7_best_fit_packing, "op9_exact_dedup": op9_exact_dedup,
+}
 
 ORACLES = {
     "op9_exact_dedup": """

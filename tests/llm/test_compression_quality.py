@@ -1,0 +1,35 @@
+from pyspark.sql import functions as F
+
+from skyledger.llm import compression_quality as quality
+from skyledger.llm import queries
+from tests.llm.conftest import corpus, prose
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = queries.op1_compression_quality(spark, sf).join(queries.table(spark, sf, "labels"), "doc_id").where("held_out").collect()
+    good, bad = [r.score for r in rows if r.quality == 1], [r.score for r in rows if r.quality == 0]
+    wins = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert wins > 0.85 and sum(r.predicted for r in rows if r.quality == 1) / len(good) > 0.97
+
+
+def test_nulls_order_and_other_columns(spark):
+    texts = [prose(i, 80) for i in range(60)] + ["zz!! " * 40 + str(i) for i in range(60)] + [None, "", "x" * 500_000]
+    docs = corpus(spark, texts)
+    labels = docs.select("doc_id", (F.col("doc_id") < 60).cast("int").alias("quality")).unionByName(
+        spark.createDataFrame([(None, 1), (3, None), (9999, 0)], "doc_id long, quality int"))
+    model = quality.fit(docs, labels)
+    assert list(model.scores) == sorted(model.scores) and model == quality.fit(docs.repartition(5), labels)
+    got = quality.scored(docs.withColumnRenamed("source", "labels"), model)
+    assert got.columns == ["doc_id", "text", "lang", "labels", "n_chars", "score"]
+    scores = {r.doc_id: r.score for r in got.collect()}
+    assert len(scores) == len(texts) and all(0 <= s <= 1 for s in scores.values())
+    assert min(scores[i] for i in range(60)) > max(scores[i] for i in range(60, 120))
+    assert quality.scored(docs.limit(0), model).count() == 0
+
+
+def test_one_class_or_no_labels(spark):
+    docs = corpus(spark, ["a b", "c d"])
+    one = quality.fit(docs, spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int"))
+    none = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    assert one.score(0.0) == 1.0 and none.score(0.0) == 0.5
