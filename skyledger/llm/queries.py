@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyledger.llm import block_naming, compression_quality, license_scan, packing, pii
+from skyledger.llm import block_naming, compression_quality, license_scan, packing, pii, positional_index
 from skyledger.llm.common import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def op5_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op6_positional_index(spark, sf_dir):
+    return positional_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -52,10 +56,32 @@ def tokenizer_path():
 
 QUERIES = {
     "op1_compression_quality": op1_compression_quality, "op2_license_scan": op2_license_scan, "op5_pii": op5_pii,
-    "op7_best_fit_packing": op7_best_fit_packing, "op9_exact_dedup": op9_exact_dedup,
+    "op6_positional_index": op6_positional_index, "op7_best_fit_packing": op7_best_fit_packing, "op9_exact_dedup": op9_exact_dedup,
 }
 
+# Fixed value: the word pattern, in the notation of the SQL engine.
+WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 ORACLES = {
+    "op6_positional_index": f"""
+        WITH item AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+        wins AS (
+            SELECT DISTINCT item_id, list_slice(w, s, s + 9) AS win, least(len(w), 10) AS size
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM item WHERE len(w) > 0)),
+        doc AS (SELECT doc_id, {WORDS} AS w FROM documents),
+        grams AS (
+            SELECT doc_id, p, list_slice(w, p, p + size - 1) AS win, size
+            FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM doc, (SELECT DISTINCT size FROM wins))),
+        hit AS (SELECT doc_id, item_id, p, grams.size AS size FROM grams JOIN wins USING (win)),
+        word AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + size)) AS q FROM hit) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+            FROM hit GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
