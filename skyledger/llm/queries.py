@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyledger.llm import block_naming, compression_quality, license_scan, packing, pii, positional_index
+from skyledger.llm import block_naming, compression_quality, license_scan, packing, pii, positional_index, relative_lz
 from skyledger.llm.common import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,6 +32,11 @@ def op2_license_scan(spark, sf_dir):
     return license_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op3_relative_lz(spark, sf_dir):
+    rows = relative_lz.remove_repeats(table(spark, sf_dir, "documents"), length=35)
+    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,8 @@ def tokenizer_path():
 
 
 QUERIES = {
-    "op1_compression_quality": op1_compression_quality, "op2_license_scan": op2_license_scan, "op5_pii": op5_pii,
+    "op1_compression_quality": op1_compression_quality, "op2_license_scan": op2_license_scan, "op3_relative_lz": op3_relative_lz,
+    "op5_pii": op5_pii,
     "op6_positional_index": op6_positional_index, "op7_best_fit_packing": op7_best_fit_packing, "op9_exact_dedup": op9_exact_dedup,
 }
 
@@ -63,6 +69,21 @@ QUERIES = {
 WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLES = {
+    "op3_relative_lz": """
+        WITH doc AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        win AS (
+            SELECT doc_id, p, list_slice(w, p, p + 34) AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM doc)),
+        hit AS (SELECT doc_id, p FROM win JOIN (SELECT win FROM win GROUP BY win HAVING count(*) > 1) USING (win)),
+        gone AS (
+            SELECT doc_id, list(DISTINCT q) AS g FROM (SELECT doc_id, unnest(range(p, p + 35)) AS q FROM hit) GROUP BY doc_id),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+            FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc)
+            WHERE (doc_id, p) NOT IN (SELECT (doc_id, unnest(g)) FROM gone) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM doc LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
     "op6_positional_index": f"""
         WITH item AS (SELECT item_id, {WORDS} AS w FROM benchmark),
         wins AS (
