@@ -24,9 +24,10 @@ DOC = ["doc_id", "text_key", "n_bytes"]
 
 def named(rows: DataFrame, keys: list[str], buckets: int, salts: int) -> DataFrame:
     """``(*DOC, i, name)``: rows with equal ``keys`` get equal names, others different ones."""
-    dealt = rows.withColumns({"bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"),
-                              "salt": F.pmod(F.hash("doc_id", "i"), F.lit(salts))})
-    # Both branches below read the same columns of the same exchange, so Spark makes it once.
+    # Both branches below read the same columns of the same exchange, so Spark makes it once. For that, neither must get a
+    # filter of its own: columns that cannot be null need no null filter before the join.
+    number = lambda column, parts: F.coalesce(F.pmod(column, F.lit(parts)), F.lit(0)).cast("int")
+    dealt = rows.withColumns({"bucket": number(F.xxhash64(*keys), buckets), "salt": number(F.hash("doc_id", "i"), salts)})
     inside = W.partitionBy("bucket", "salt")
     local = (dealt.withColumn("nth", F.row_number().over(inside.orderBy(*keys, *DOC, "i")))
              .withColumn("local", F.dense_rank().over(inside.orderBy(*keys)))
