@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyledger.llm import block_naming, compression_quality, license_scan, packing, pii, positional_index, relative_lz
+from skyledger.llm import block_naming, compression_quality, induced_sorting, license_scan, packing, pii, positional_index, relative_lz
 from skyledger.llm.common import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,6 +37,10 @@ def op3_relative_lz(spark, sf_dir):
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_induced_sorting(spark, sf_dir):
+    return induced_sorting.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+
+
 def op5_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ def tokenizer_path():
 
 QUERIES = {
     "op1_compression_quality": op1_compression_quality, "op2_license_scan": op2_license_scan, "op3_relative_lz": op3_relative_lz,
+    "op4_induced_sorting": op4_induced_sorting,
     "op5_pii": op5_pii,
     "op6_positional_index": op6_positional_index, "op7_best_fit_packing": op7_best_fit_packing, "op9_exact_dedup": op9_exact_dedup,
 }
