@@ -20,10 +20,10 @@ from skyledger.session import work_folder
 NULL_ID = -(1 << 63)
 
 
-def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text)`` without nulls; a null id becomes ``NULL_ID`` and is turned back by ``public_id``."""
+def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", further: list[str] = ()) -> DataFrame:
+    """``(doc_id, text, *further)``, id and text without nulls; a null id becomes ``NULL_ID``, ``public_id`` turns it back."""
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"), *further)
 
 
 def public_id(name: str = "doc_id") -> Column:

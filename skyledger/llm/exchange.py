@@ -17,11 +17,11 @@ from skyledger.llm.common import block_count, documents, in_blocks
 BLOCK_BYTES = 4 << 20
 
 
-def blocked(docs: DataFrame, block_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
-    """``(block, doc_id, text)`` and the number of blocks, in proportion to the bytes of the corpus."""
-    texts = documents(docs, id_col, text_col)
+def blocked(docs: DataFrame, block_bytes: int, id_col: str = "doc_id", text_col: str = "text", further: list[str] = ()) -> tuple[DataFrame, int]:
+    """``(block, doc_id, text, *further)`` and the number of blocks, in proportion to the bytes of the corpus."""
+    texts = documents(docs, id_col, text_col, further)
     blocks = block_count(texts, block_bytes)
-    return in_blocks(texts, blocks).select("block", "doc_id", "text"), blocks
+    return in_blocks(texts, blocks).select("block", "doc_id", "text", *further), blocks
 
 
 def schema(columns: list[str]) -> str:

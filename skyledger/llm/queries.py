@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyledger.llm import block_naming, compression_quality, induced_sorting, license_scan, packing, pii, positional_index, relative_lz
+from skyledger.llm import block_naming, compression_quality, deleted_interpolation, induced_sorting, license_scan, packing, pii, positional_index, relative_lz
 from skyledger.llm.common import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -57,6 +57,13 @@ def op9_exact_dedup(spark, sf_dir):
     return block_naming.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_deleted_interpolation(spark, sf_dir):
+    remainder = fold(F.col("doc_id"))
+    training, deleted = remainder != 1, fold(F.col("doc_id"), 50) % 10 == 4
+    rows = deleted_interpolation.score(table(spark, sf_dir, "documents"), training, deleted)
+    return rows.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def tokenizer_path():
     import public_tokenizers
 
@@ -68,6 +75,7 @@ QUERIES = {
     "op4_induced_sorting": op4_induced_sorting,
     "op5_pii": op5_pii,
     "op6_positional_index": op6_positional_index, "op7_best_fit_packing": op7_best_fit_packing, "op9_exact_dedup": op9_exact_dedup,
+    "op10_deleted_interpolation": op10_deleted_interpolation,
 }
 
 # Fixed value: the word pattern, in the notation of the SQL engine.
