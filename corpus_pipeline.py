@@ -1,4 +1,70 @@
-STAGES = []
+"""The corpus pipeline: quality, exact copies, near copies, benchmark passages, packing.
+
+Every stage works on all documents that the one before kept and has the signature ``(spark, docs, sf_dir)``. All but the last
+return whole rows with the columns of ``documents``; ``run`` writes what a stage returns and reads it again for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skyledger.llm import block_naming, compression_quality, packing, part_enum, positional_index, queries
+from skyledger.llm.common import NULL_ID, stored
+
+REJECT_BELOW = 0.3
+
+
+def row_id():
+    """The id without nulls, for joins."""
+    return F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias("_id")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects rows that the classifier scores below ``REJECT_BELOW``; it learns from all labels that are not held out."""
+    scored = compression_quality.scored(docs, queries.quality_model(spark, sf_dir), "_quality")
+    return scored.where(F.col("_quality") >= REJECT_BELOW).select(*docs.columns)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest id stays; of a row repeated whole, one."""
+    kept = block_naming.exact_duplicates(docs).where("kept").select(row_id(), F.col("text_sha256").alias("_sha"))
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    rows = docs.withColumns({"_id": row_id(), "_sha": sha}).dropDuplicates(["_id", "_sha"])
+    return rows.join(kept, ["_id", "_sha"], "left_semi").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of linked texts the document with the smallest id stays."""
+    groups = part_enum.join(docs)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(row_id()).distinct()
+    return docs.withColumn("_id", row_id()).join(kept, "_id", "left_semi").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go; all others stay."""
+    found = positional_index.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
+    gone = found.where("contaminated").select(row_id()).distinct()
+    return docs.withColumn("_id", row_id()).join(gone, "_id", "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents that are left, in sequences of 1024 tokens."""
+    return packing.pack(docs, queries.tokenizer_path())
+
+
+STAGES = [("quality classifier", quality), ("exact dedup", exact_dedup), ("n-gram Jaccard join", near_dedup),
+          ("benchmark decontamination", decontaminate), ("packing", pack)]
+
+# No SQL states the compression classifier, the first stage; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole of ``documents``."""
+    docs = queries.table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = stored(docs, f"stage-{number + 1}")
+    return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyledger.llm import block_naming, compression_quality, deleted_interpolation, induced_sorting, license_scan, packing, pii, positional_index, relative_lz
+from skyledger.llm import block_naming, compression_quality, deleted_interpolation, induced_sorting, license_scan, packing, part_enum, pii, positional_index, relative_lz
 from skyledger.llm.common import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,6 +53,10 @@ def op7_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_part_enum(spark, sf_dir):
+    return part_enum.join(table(spark, sf_dir, "documents"), length=5, percent=80)
+
+
 def op9_exact_dedup(spark, sf_dir):
     return block_naming.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -74,7 +78,8 @@ QUERIES = {
     "op1_compression_quality": op1_compression_quality, "op2_license_scan": op2_license_scan, "op3_relative_lz": op3_relative_lz,
     "op4_induced_sorting": op4_induced_sorting,
     "op5_pii": op5_pii,
-    "op6_positional_index": op6_positional_index, "op7_best_fit_packing": op7_best_fit_packing, "op9_exact_dedup": op9_exact_dedup,
+    "op6_positional_index": op6_positional_index, "op7_best_fit_packing": op7_best_fit_packing, "op8_part_enum": op8_part_enum,
+    "op9_exact_dedup": op9_exact_dedup,
     "op10_deleted_interpolation": op10_deleted_interpolation,
 }
 
@@ -116,6 +121,21 @@ ORACLES = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op8_part_enum": """
+        WITH RECURSIVE doc AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        gram AS (
+            SELECT DISTINCT doc_id, list_slice(w, p, p + 4) AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM doc WHERE len(w) > 0)),
+        size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+        link AS (
+            SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM gram x JOIN gram y USING (g) GROUP BY ALL) p
+            JOIN size s ON s.doc_id = a JOIN size t ON t.doc_id = b WHERE 100 * both >= 80 * (s.n + t.n - both)),
+        reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, doc_id) AS component_id
+        FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) r ON r.a = doc_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
