@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from skyledger import schemas, session
 from skyledger.operators import aggregates
 from skyledger.operators.ordering import hash_sample
-from skyledger.plans import daily, features, pages, requests, training
-from skyledger.sources import keyed, readers, writers
+from skyledger.plans import daily, features, pages, requests, scoring, training
+from skyledger.sources import readers, writers
 from skyledger.streaming import jobs
 
 
@@ -29,14 +29,14 @@ def extract_features(spark: SparkSession, args) -> None:
 
 
 def distances(spark: SparkSession, args) -> None:
+    """Mean distances to files, and merged into a new version of the keyed table."""
     made = features.distances(spark.read.parquet(args.flights))
     features.write_distances(made, args.out)
-    features.import_distances(spark, args.out, keyed.distances(spark, args.table))
+    features.import_distances(spark, args.out, args.table, args.old_table)
 
 
 def build_pages(spark: SparkSession, args) -> None:
-    spread = F.concat_ws("-", *[F.col(name).cast("string") for name in args.row_key])
-    pages.write(pages.collections(spark.read.parquet(args.flights), spark.read.parquet(args.airplanes), spread), args.out)
+    pages.write(pages.collections(spark.read.parquet(args.flights), spark.read.parquet(args.airplanes)), args.out)
 
 
 def train(spark: SparkSession, args) -> None:
@@ -46,16 +46,18 @@ def train(spark: SparkSession, args) -> None:
     training.save(trained.model, args.model)
     print(f"accuracy {trained.accuracy()}")
     trained.distribution().show()
+    scored = scoring.score(rows.orderBy("CRSDepTime").limit(6), trained.model, "keep")
+    scored.orderBy("CRSDepTime").select("Carrier", "Route", "CRSDepTime", "DepDelay", "ArrDelay", "Prediction").show(truncate=False)
 
 
 def train_regression(spark: SparkSession, args) -> None:
-    model = training.train_regression(features.read(spark, args.features, args.offset_dates))
+    model = training.train_regression(features.read(spark, args.features, args.offset_dates), args.buckets)
     model.write().overwrite().save(args.model)
 
 
 def _forms(spark: SparkSession, args):
-    table = session.staged(keyed.routes(keyed.distances(spark, args.distances)), "routes")
-    return spark.read.schema(schemas.FORM).json(args.forms), table
+    """Form rows and the distances as they were computed, the same that training saw."""
+    return spark.read.schema(schemas.FORM).json(args.forms), features.read_distances(spark, args.distances)
 
 
 def build_requests(spark: SparkSession, args) -> None:
@@ -95,7 +97,7 @@ def load_results(spark: SparkSession, args) -> None:
 def score_stream(spark: SparkSession, args) -> None:
     schema = None if args.format == "kafka" else schemas.layout(value="string")
     source = readers.message_stream(spark, args.format, _pairs(args.option), schema, args.input)
-    sinks = [jobs.response_sink(keyed.responses(spark, args.table, args.files))]
+    sinks = [jobs.response_sink(args.table)]
     sinks.append(writers.topic_sink(args.servers, args.topic) if args.topic else writers.message_log(f"{args.table}-messages"))
     jobs.score_stream(source, training.load(spark, args.model), sinks, args.checkpoint,
                       writers.row_log(f"{args.table}-rejects"), args.interval, args.handle_invalid).awaitTermination()
@@ -104,8 +106,28 @@ def score_stream(spark: SparkSession, args) -> None:
 def listen_responses(spark: SparkSession, args) -> None:
     schema = None if args.format == "kafka" else schemas.layout(value="string")
     source = readers.message_stream(spark, args.format, _pairs(args.option), schema, args.input)
-    jobs.listen_responses(source, keyed.responses(spark, args.table, args.files), schemas.STREAM_RESPONSE,
-                          args.checkpoint, args.interval).awaitTermination()
+    jobs.listen_responses(source, args.table, schemas.STREAM_RESPONSE, args.checkpoint, args.interval).awaitTermination()
+
+
+def enrich_stream(spark: SparkSession, args) -> None:
+    """A stream of form rows to requests with an id, as messages."""
+    stream = readers.message_stream(spark, args.format, _pairs(args.option), schemas.layout(value="string"), args.input)
+    raw = stream.select(F.from_json(F.col("value").cast("string"), schemas.FORM).alias("form")).select("form.*")
+    made = jobs.enriched(raw, features.read_distances(spark, args.distances), numbering=args.numbering)
+    jobs.to_files(writers.as_messages(made), args.out, args.checkpoint, args.interval).awaitTermination()
+
+
+def status_stream(spark: SparkSession, args) -> None:
+    """Requests with the response that came in time, from two streams of messages."""
+    sides = []
+    for path, name in ((args.requests, "asked_at"), (args.responses, "answered_at")):
+        stream = readers.message_stream(spark, args.format, {}, schemas.layout(value="string"), path)
+        fields = F.from_json(F.col("value").cast("string"), "UUID string, Timestamp timestamp, Prediction double").alias("m")
+        sides.append(stream.select(fields).select("m.UUID", F.col("m.Timestamp").alias(name), F.col("m.Prediction").alias(f"{name}_prediction")))
+    paired = jobs.request_response(*sides, "asked_at", "answered_at", args.wait, args.delay, "left_outer")
+    made = paired.select(F.col("request_uuid").alias("UUID"), F.when(F.col("response_uuid").isNull(), "WAIT").otherwise("OK").alias("status"),
+                         F.col("answered_at_prediction").alias("Prediction"))
+    jobs.to_files(made, args.out, args.checkpoint, args.interval).awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -123,13 +145,14 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--compression", default="bzip2")
     sub.add_argument("--one-in", type=int, default=1, help="keep about one in this many flights")
     sub.add_argument("--sample-key", nargs="+", default=["Carrier", "FlightDate", "FlightNum", "Origin", "Dest"])
-    job(distances, "flights", "out", "table")
-    sub = job(build_pages, "flights", "airplanes", "out")
-    sub.add_argument("--row-key", nargs="+", default=["Carrier", "FlightDate", "FlightNum", "Origin", "Dest", "CRSDepTime"])
+    sub = job(distances, "flights", "out", "table")
+    sub.add_argument("--old-table", help="version of the keyed table to merge with")
+    job(build_pages, "flights", "airplanes", "out")
     sub = job(train, "features", "model")
     sub.add_argument("--max-bins", type=int)
     sub.add_argument("--offset-dates", action="store_true")
     sub = job(train_regression, "features", "model")
+    sub.add_argument("--buckets", type=int, required=True, help="hash values for text fields; many more than there are labels")
     sub.add_argument("--offset-dates", action="store_true")
     sub = job(build_requests, "forms", "distances")
     sub.add_argument("--out", help="task table to append to")
@@ -154,13 +177,21 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--topic", help="response topic; without it responses are kept as files")
     sub.add_argument("--interval", help="micro-batch interval; without it the job works off what is there and ends")
     sub.add_argument("--handle-invalid", default="keep", choices=["error", "skip", "keep"])
-    sub.add_argument("--files", type=int, help="response files per micro-batch")
     sub = job(listen_responses, "table", "checkpoint")
     sub.add_argument("--format", default="kafka")
     sub.add_argument("--input", help="path of a file stream")
     sub.add_argument("--option", nargs="*", default=[])
     sub.add_argument("--interval")
-    sub.add_argument("--files", type=int, help="files per micro-batch")
+    sub = job(enrich_stream, "input", "distances", "out", "checkpoint")
+    sub.add_argument("--format", default="parquet")
+    sub.add_argument("--option", nargs="*", default=[])
+    sub.add_argument("--numbering", default="iso", choices=["iso", "weekday0"])
+    sub.add_argument("--interval")
+    sub = job(status_stream, "requests", "responses", "out", "checkpoint")
+    sub.add_argument("--format", default="parquet")
+    sub.add_argument("--wait", default="10 MINUTES", help="how long a request waits for its response")
+    sub.add_argument("--delay", default="1 hour", help="how late rows may come")
+    sub.add_argument("--interval")
     return top
 
 

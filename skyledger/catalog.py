@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,8 +123,10 @@ _built: dict[tuple[str, str, str], object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
-    """Build a shared input once per application and source folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """Build a shared input once per application and state of the source folder: when the fact table changes, it is built anew."""
+    at = F.col("_metadata.file_modification_time")
+    state = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(at.alias("at")).agg(F.max("at"), F.count("at")).first()
+    key = (spark.sparkContext.applicationId, f"{sf_dir} {state}", name)
     if key not in _built:
         _built[key] = make()
     return _built[key]
@@ -132,8 +135,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
 def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide on-time-performance table, written once to the shared folder; later queries scan what they need.
 
-    Rows of a date lie together and sorted, so lookups by date skip most row groups. The row key makes the order, and with
-    it the bootstrap samples of the forest, the same on every run.
+    Rows of a date lie together and sorted, so lookups by date skip most row groups.
     """
     def make() -> str:
         path = session.work_folder(spark, "on_time_performance")
@@ -168,6 +170,14 @@ def _model(spark: SparkSession, sf_dir: str):
     return training.load(spark, _trained(spark, sf_dir))
 
 
+def build(spark: SparkSession, sf_dir: str) -> None:
+    """Make the shared inputs: the wide table, the distances and the trained chain."""
+    session.prepare(spark)
+    _flights(spark, sf_dir)
+    _distances(spark, sf_dir)
+    _trained(spark, sf_dir)
+
+
 def _typed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests with distance and date parts, as stored by the request jobs; the timestamp stays a timestamp."""
     made = requests.build(fixtures.requests(spark, sf_dir).withColumnRenamed("Timestamp", "_at"),
@@ -176,9 +186,9 @@ def _typed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of files."""
+    """The events table, one file or a directory of part files, as a stream of files."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return readers.message_stream(spark, "parquet", {"pathGlobFilter": "events.parquet"}, schema, sf_dir)
+    return readers.message_stream(spark, "parquet", {}, schema, f"{sf_dir}/events[.]parquet")
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -192,11 +202,9 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns(shown) if shown else df
 
 
-def _joined(array, *fields: str):
-    """An array of structs or values as one text."""
-    if fields:
-        array = F.transform(array, lambda e: F.concat_ws("|", *[e[name].cast("string") for name in fields]))
-    return F.array_join(array, ";")
+def _numbered(page: DataFrame, *order) -> DataFrame:
+    """A page of a few rows with the position that each has in it, counted from 1 in the order the rows come."""
+    return page.withColumn("position", F.row_number().over(W.orderBy(*order)))
 
 
 # --- flights and features ---------------------------------------------------------------------------------------------
@@ -287,8 +295,8 @@ def schedule_times(spark, sf_dir):
 
 def _index_of(spark, sf_dir, column):
     rows = training.with_route(_flights(spark, sf_dir).select("Carrier", "Origin", "Dest"))
-    [model] = training.fit_indexers(rows, [column])
-    return model.transform(rows.groupBy(column).agg(F.count(F.lit(1)).alias("rows")))
+    return training.label_index(rows, [column]).select(
+        F.col("label").alias(column), "rows", F.col("index").alias(training.index_name(column)))
 
 
 @query("flights", sql="""
@@ -392,15 +400,18 @@ def flight_lookup_all(spark, sf_dir):
 
 @query("flights", sql="""
 SELECT Carrier, FlightNum, Origin, Dest, CRSDepTime AS DepTime, TailNum, Distance / 8 AS AirTime, Distance, row_key,
- count(*) OVER () AS flight_count FROM flights
-WHERE Origin = 'NATION_3' AND Dest = 'NATION_7' AND FlightDate = (SELECT max(FlightDate) FROM flights
- WHERE Origin = 'NATION_3' AND Dest = 'NATION_7')""")
+ count(*) OVER () AS flight_count,
+ CAST(row_number() OVER (ORDER BY CRSDepTime NULLS FIRST, CRSArrTime NULLS FIRST, row_key) AS INT) AS position FROM flights
+WHERE (Origin, Dest, FlightDate) = (SELECT (Origin, Dest, FlightDate) FROM flights GROUP BY Origin, Dest, FlightDate
+ ORDER BY count(*) DESC, Origin, Dest, FlightDate LIMIT 1)""")
 def route_day_flights(spark, sf_dir):
+    """The busiest route and day, in the order of the page."""
     flights = _flights(spark, sf_dir)
-    last = flights.where(lookups.equals_all(Origin="NATION_3", Dest="NATION_7")).agg(F.max("FlightDate")).scalar()
-    page = lookups.route_day(flights, "NATION_3", "NATION_7", last, ["row_key"])
-    return page.select("Carrier", "FlightNum", "Origin", "Dest", "DepTime", "TailNum", "AirTime", "Distance", "row_key",
-                       "flight_count")
+    busiest = flights.groupBy("Origin", "Dest", "FlightDate").count().orderBy(
+        F.col("count").desc(), "Origin", "Dest", "FlightDate").first()
+    page = lookups.route_day(flights, busiest.Origin, busiest.Dest, busiest.FlightDate, ["row_key"])
+    return _numbered(page, "DepTime", "ArrTime", "row_key").select(
+        "Carrier", "FlightNum", "Origin", "Dest", "DepTime", "TailNum", "AirTime", "Distance", "row_key", "flight_count", "position")
 
 
 @query("flights", sql="""
@@ -413,32 +424,35 @@ def route_day_board(spark, sf_dir):
 
 _FLIGHT_PAGE_SQL = """
 SELECT Carrier, FlightNum, Origin, Dest, FlightDate, CRSDepTime AS DepTime, TailNum, Distance / 8 AS AirTime, Distance,
- row_key, count(*) OVER () AS flight_count FROM flights WHERE {where}
-ORDER BY FlightDate, CRSDepTime, Carrier, FlightNum, row_key LIMIT 10 OFFSET {start}"""
+ row_key, count(*) OVER () AS flight_count,
+ CAST(row_number() OVER (ORDER BY FlightDate, CRSDepTime, Carrier, FlightNum, row_key) - {start} AS INT) AS position
+FROM flights WHERE {where} ORDER BY FlightDate, CRSDepTime, Carrier, FlightNum, row_key LIMIT 10 OFFSET {start}"""
 _PAGE_COLUMNS = ["Carrier", "FlightNum", "Origin", "Dest", "FlightDate", "DepTime", "TailNum", "AirTime", "Distance",
                  "row_key"]
 
 
+def _shown_page(page: DataFrame) -> DataFrame:
+    return _numbered(page, "FlightDate", "DepTime", "Carrier", "FlightNum", "row_key").select(*_PAGE_COLUMNS, "flight_count", "position")
+
+
 @query("flights", sql=_FLIGHT_PAGE_SQL.format(where="Carrier = 'Brand#7'", start=20))
 def flight_search_page(spark, sf_dir):
-    return search.flight_search(
-        _flights(spark, sf_dir), {"Carrier": "Brand#7", "Dest": ""}, schemas.FLIGHT_SEARCH_FIELDS,
-        ties=("row_key",), exact=("Carrier",), start=20).select(*_PAGE_COLUMNS, "flight_count")
+    return _shown_page(search.flight_search(
+        _flights(spark, sf_dir), {"Carrier": "Brand#7", "Dest": ""}, schemas.FLIGHT_SEARCH_FIELDS, ties=("row_key",), start=20))
 
 
 @query("flights", sql=_FLIGHT_PAGE_SQL.format(
     where="list_has_any(regexp_split_to_array(lower(Carrier), '[^a-z0-9_]+'), ['7', '9']) AND lower(Dest) = 'nation_4'",
     start=0))
 def flight_search_match(spark, sf_dir):
-    return search.flight_search(
+    return _shown_page(search.flight_search(
         _flights(spark, sf_dir), {"Carrier": "7 9", "Dest": "Nation_4"}, schemas.FLIGHT_SEARCH_FIELDS,
-        ties=("row_key",)).select(*_PAGE_COLUMNS, "flight_count")
+        ties=("row_key",), words=("Carrier", "Dest")))
 
 
 @query("flights", sql=_FLIGHT_PAGE_SQL.format(where="true", start=0))
 def flight_search_all(spark, sf_dir):
-    return search.flight_search(_flights(spark, sf_dir), {}, schemas.FLIGHT_SEARCH_FIELDS, ties=("row_key",)).select(
-        *_PAGE_COLUMNS, "flight_count")
+    return _shown_page(search.flight_search(_flights(spark, sf_dir), {}, schemas.FLIGHT_SEARCH_FIELDS, ties=("row_key",)))
 
 
 @query("flights", sql="""
@@ -453,24 +467,20 @@ def flight_page_after(spark, sf_dir):
 
 
 @query("airplanes", sql="""
-SELECT *, count(*) OVER () AS airplane_count FROM airplanes
+SELECT *, count(*) OVER () AS airplane_count, CAST(row_number() OVER (ORDER BY Owner, TailNum) - 10 AS INT) AS position FROM airplanes
 WHERE list_has_any(regexp_split_to_array(lower(Manufacturer), '[^a-z0-9_]+'), ['brand']) AND lower(Model) = 'economy'
 ORDER BY Owner, TailNum LIMIT 10 OFFSET 10""")
 def airplane_search_page(spark, sf_dir):
-    return search.airplane_search(
+    return _numbered(search.airplane_search(
         fixtures.airplanes(spark, sf_dir), {"Manufacturer": "brand", "Model": "economy", "Owner": None},
-        schemas.AIRPLANE_SEARCH_FIELDS, ties=("TailNum",), start=10)
+        schemas.AIRPLANE_SEARCH_FIELDS, ties=("TailNum",), words=("Manufacturer", "Model"), start=10), "Owner", "TailNum")
 
 
 @query("flights", sql="""
-SELECT TailNum, count(*) AS flight_count, string_agg(concat_ws('|', Carrier, FlightDate, FlightNum, Origin, Dest), ';'
- ORDER BY Carrier, FlightDate, FlightNum, Origin, Dest) AS flights
-FROM flights WHERE TailNum = 'Supplier#000000003' GROUP BY TailNum""")
+SELECT TailNum, count(*) OVER () AS FlightCount, Carrier, FlightDate, FlightNum, Origin, Dest
+FROM flights WHERE TailNum = 'Supplier#000000003'""")
 def tail_lookup(spark, sf_dir):
-    flights = _flights(spark, sf_dir).where(lookups.equals_all(TailNum="Supplier#000000003"))
-    page = documents.flights_per_airplane(flights, F.col("row_key"))
-    return page.select("TailNum", F.col("FlightCount").alias("flight_count"),
-                       _joined(F.col("Flights"), *_TUPLE).alias("flights"))
+    return documents.flights_per_airplane(_flights(spark, sf_dir).where(lookups.equals_all(TailNum="Supplier#000000003")))
 
 
 @query("airlines", sql="SELECT * FROM airlines WHERE CarrierCode = 'Brand#7'")
@@ -491,12 +501,10 @@ def manufacturer_totals(spark, sf_dir):
 
 
 @query("airplanes", sql="""
-SELECT 0 AS Page, string_agg(Manufacturer || '|' || Total, ';' ORDER BY Total DESC, Manufacturer) AS data
-FROM (SELECT Manufacturer, count(*) AS Total FROM airplanes GROUP BY 1)""")
+SELECT Manufacturer, Total FROM (SELECT Manufacturer, count(*) AS Total FROM airplanes GROUP BY 1) ORDER BY Total DESC, Manufacturer""")
 def manufacturer_chart(spark, sf_dir):
     totals = aggregates.manufacturer_totals(fixtures.airplanes(spark, sf_dir))
-    made = documents.chart(totals, "Manufacturer", "Total")
-    return made.select("Page", _joined(F.col("data"), "Manufacturer", "Total").alias("data"))
+    return documents.chart(totals, "Manufacturer", "Total")
 
 
 @query("flights", sql="""
@@ -507,6 +515,20 @@ def weather_histogram(spark, sf_dir):
     return aggregates.histogram(_flights(spark, sf_dir), "WeatherDelay", 10)
 
 
+@query("flights", sql="""
+SELECT * FROM (WITH v AS (SELECT CASE WHEN DayofMonth = 1 THEN 'NaN'::DOUBLE WHEN DayofMonth = 2 THEN 'Infinity'::DOUBLE
+  WHEN DayofMonth = 3 THEN '-Infinity'::DOUBLE ELSE WeatherDelay END AS x FROM flights WHERE WeatherDelay IS NOT NULL),
+ b AS (SELECT min(x) AS lo, max(x) AS hi FROM v WHERE isfinite(x))
+SELECT CASE WHEN isfinite(x) THEN CAST(least(floor((x - lo) * 10 / (hi - lo)), 9) AS INT) ELSE -1 END AS label, count(*) AS value
+FROM v, b GROUP BY 1)""")
+def weather_histogram_nonfinite(spark, sf_dir):
+    """NaN and infinite values are counted apart and leave the buckets as they are."""
+    day, inf = F.col("DayofMonth"), float("inf")
+    odd = F.when(day == 1, float("nan")).when(day == 2, inf).when(day == 3, -inf).otherwise(F.col("WeatherDelay"))
+    known = _flights(spark, sf_dir).where("WeatherDelay IS NOT NULL")
+    return aggregates.histogram(known.select(odd.alias("x")), "x", 10)
+
+
 @query("flights", sql="""
 SELECT CASE WHEN WeatherDelay < 10 THEN 0 WHEN WeatherDelay < 25 THEN 1 ELSE 2 END AS label, count(*) AS value
 FROM flights WHERE WeatherDelay BETWEEN 0 AND 40 GROUP BY 1""")
@@ -520,36 +542,30 @@ def chart_max(spark, sf_dir):
     return aggregates.maximum(aggregates.flights_by_month(_flights(spark, sf_dir)), "total_flights")
 
 
-_TUPLE = ["Carrier", "FlightDate", "FlightNum", "Origin", "Dest"]
-
-
-@query("flights", sql=f"""
-SELECT TailNum, n AS FlightCount, CAST({_md5_bucket('row_key', 'CAST(ceil(n / 100) AS BIGINT)')} AS INT) AS "Page",
- string_agg(concat_ws('|', Carrier, FlightDate, FlightNum, Origin, Dest), ';'
-  ORDER BY Carrier, FlightDate, FlightNum, Origin, Dest) AS Flights
-FROM flights JOIN (SELECT TailNum, count(*) AS n FROM flights GROUP BY TailNum) USING (TailNum) GROUP BY 1, 2, 3""")
+@query("flights", sql="""
+SELECT TailNum, count(*) OVER (PARTITION BY TailNum) AS FlightCount, Carrier, FlightDate, FlightNum, Origin, Dest FROM flights""")
 def flights_per_airplane(spark, sf_dir):
-    made = documents.flights_per_airplane(_flights(spark, sf_dir), F.col("row_key"), page_size=100)
-    return made.withColumn("Flights", _joined(F.col("Flights"), *_TUPLE))
+    return documents.flights_per_airplane(_flights(spark, sf_dir))
 
 
-_FLEET_SQL = """(SELECT Carrier, count(*) AS FleetCount, string_agg(TailNum, ';' ORDER BY TailNum) AS TailNumbers
- FROM (SELECT DISTINCT Carrier, TailNum FROM flights) GROUP BY Carrier)"""
+_FLEET_COUNT_SQL = "(SELECT Carrier, count(DISTINCT TailNum) AS FleetCount FROM {table} GROUP BY Carrier)"
 
 
-@query("flights", sql=f'SELECT Carrier, FleetCount, 0 AS "Page", TailNumbers FROM {_FLEET_SQL}')
+@query("flights", sql=f"""
+SELECT Carrier, FleetCount, TailNum FROM {_FLEET_COUNT_SQL.format(table='flights')} LEFT JOIN
+ (SELECT DISTINCT Carrier, TailNum FROM flights WHERE TailNum IS NOT NULL) USING (Carrier)""")
 def fleet_per_carrier(spark, sf_dir):
-    made = documents.fleet_per_carrier(_flights(spark, sf_dir))
-    return made.withColumn("TailNumbers", _joined(F.col("TailNumbers")))
+    return documents.fleet_per_carrier(_flights(spark, sf_dir))
 
 
 @query("flights", sql=f"""
-SELECT Carrier, n AS FleetCount, CAST({_md5_bucket('TailNum', 'CAST(ceil(n / 40) AS BIGINT)')} AS INT) AS "Page",
- string_agg(TailNum, ';' ORDER BY TailNum) AS TailNumbers FROM (SELECT DISTINCT Carrier, TailNum FROM flights)
-JOIN (SELECT Carrier, count(DISTINCT TailNum) AS n FROM flights GROUP BY Carrier) USING (Carrier) GROUP BY 1, 2, 3""")
+SELECT * FROM (WITH partly AS (SELECT Carrier, CASE WHEN Carrier IN ('Brand#7', 'Brand#9') THEN NULL ELSE TailNum END AS TailNum FROM flights)
+SELECT Carrier, FleetCount, TailNum FROM {_FLEET_COUNT_SQL.format(table='partly')} LEFT JOIN
+ (SELECT DISTINCT Carrier, TailNum FROM partly WHERE TailNum IS NOT NULL) USING (Carrier))""")
 def fleet_pages(spark, sf_dir):
-    made = documents.fleet_per_carrier(_flights(spark, sf_dir), page_size=40)
-    return made.withColumn("TailNumbers", _joined(F.col("TailNumbers")))
+    """Carriers whose tail numbers are all unknown keep their row."""
+    unknown = F.when(~F.col("Carrier").isin("Brand#7", "Brand#9"), F.col("TailNum"))
+    return documents.fleet_per_carrier(_flights(spark, sf_dir).withColumn("TailNum", unknown))
 
 
 @query("flights", sql="SELECT DISTINCT Carrier FROM flights")
@@ -558,16 +574,12 @@ def carrier_list(spark, sf_dir):
 
 
 @query("flights", "airlines", sql=f"""
-SELECT a.*, f.Carrier, CAST(f.FleetCount AS DOUBLE) AS FleetCount,
- CAST(CASE WHEN f.Carrier IS NOT NULL THEN 0 END AS DOUBLE) AS "Page", f.TailNumbers,
- coalesce(a.CarrierCode, f.Carrier) AS carrier_code
-FROM airlines a FULL JOIN {_FLEET_SQL} f ON a.CarrierCode = f.Carrier""")
+SELECT a.*, f.Carrier, CAST(f.FleetCount AS DOUBLE) AS FleetCount, coalesce(a.CarrierCode, f.Carrier) AS carrier_code
+FROM airlines a FULL JOIN {_FLEET_COUNT_SQL.format(table='flights')} f ON a.CarrierCode = f.Carrier""")
 def airline_page(spark, sf_dir):
-    fleet = documents.fleet_per_carrier(_flights(spark, sf_dir))
-    page = joins.airline_page(fixtures.airlines(spark, sf_dir), fleet)
-    return page.withColumns({
-        "TailNumbers": F.when(F.col("Carrier").isNotNull(), _joined(F.col("TailNumbers"))),
-        "FleetCount": F.col("FleetCount").cast("double"), "Page": F.col("Page").cast("double")})
+    counts = documents.fleet_counts(_flights(spark, sf_dir))
+    page = joins.airline_page(fixtures.airlines(spark, sf_dir), counts)
+    return page.withColumn("FleetCount", F.col("FleetCount").cast("double"))
 
 
 # --- requests and responses -------------------------------------------------------------------------------------------
@@ -620,36 +632,46 @@ FROM (SELECT r.*, e.user_id, e.value, row_number() OVER (PARTITION BY UUID ORDER
  FROM responses r JOIN events e USING (event_id)) WHERE rn = 1"""
 
 
-def _upserted(spark, sf_dir) -> keyed.KeyedTable:
-    """First answers, then second answers, then the second batch once more, as after a restart."""
-    table = keyed.responses(spark, session.work_folder(spark, "responses"))
+def _upserted(spark, sf_dir) -> DataFrame:
+    """Second answers by one writer, first ones by another that started earlier, and a batch sent twice, as after a restart.
+
+    All writers start with batch 0. Answers carry their own time, so within one write the later answer wins.
+    """
+    path = session.work_folder(spark, "responses")
     rows = _responses(spark, sf_dir)
-    for batch_id, copy in ((0, 0), (1, 1), (1, 1)):
-        table.upsert(keyed.response_rows(_response_messages(rows.where(F.col("copy") == copy))), batch_id)
-    return table
+    sent = lambda copy: keyed.response_rows(_response_messages(rows.where(F.col("copy") == copy)))
+    keyed.append(sent(0), path, "first", 0)
+    keyed.append(sent(1), path, "second", 0)
+    keyed.append(sent(1), path, "second", 0)
+    return keyed.responses(spark, path)
 
 
 @query("responses", sql=_LATEST_SQL)
 def latest_response_upsert(spark, sf_dir):
-    return _upserted(spark, sf_dir).read()
+    return _upserted(spark, sf_dir)
 
 
 @query("responses", sql=_LATEST_SQL)
 def responses_compacted(spark, sf_dir):
-    return _upserted(spark, sf_dir).compact_to(session.work_folder(spark, "responses")).read()
+    """Old rows and new rows to the latest per id, as a batch job merges them."""
+    rows = _responses(spark, sf_dir)
+    old, new = (keyed.response_rows(_response_messages(rows.where(F.col("copy") == copy))) for copy in (0, 1))
+    return keyed.merged(old, new, keyed.RESPONSE_KEY, keyed.RESPONSE_ORDER)
 
 
 @query("responses", sql=f"SELECT uuid, prediction FROM ({_LATEST_SQL}) WHERE uuid = '40'")
 def response_lookup(spark, sf_dir):
-    return _upserted(spark, sf_dir).lookup(uuid="40").select("uuid", "prediction")
+    return lookups.find_one(_upserted(spark, sf_dir), ["uuid"], uuid="40").select("uuid", "prediction")
 
 
-@query("distances", sql="SELECT Origin AS origin, Dest AS dest, CAST(trunc(Distance) AS INT) AS distance FROM distances")
+@query("distances", sql="""
+SELECT Origin AS origin, Dest AS dest, CAST(trunc(Distance) AS INT) + CASE WHEN Origin < 'NATION_2' THEN 1 ELSE 0 END AS distance
+FROM distances""")
 def distance_int_table(spark, sf_dir):
-    table = keyed.distances(spark, session.work_folder(spark, "distances"))
-    features.load_distances(_distances(spark, sf_dir), table)
-    features.load_distances(_distances(spark, sf_dir), table)
-    return table.read()
+    """Two different imports: the second changes some routes and leaves out all others, which stay."""
+    table = keyed.merged_distances(None, _distances(spark, sf_dir))
+    some = _distances(spark, sf_dir).where("Origin < 'NATION_2'").withColumn("Distance", F.col("Distance") + 1)
+    return keyed.merged_distances(table, some)
 
 
 _DAY = "2024-01-15"
@@ -677,8 +699,10 @@ def _ruled(rows: DataFrame) -> DataFrame:
 
 
 _RULE_SQL = "CASE WHEN DepDelay < 45 THEN 0 WHEN DepDelay < 60 THEN 1 WHEN DepDelay < 90 THEN 2 ELSE 3 END"
-_MESSAGES_SQL = " ".join(f"WHEN {code} THEN '{message}'" for code, message in text.DELAY_CLASSES.items())
-_MESSAGES_3_SQL = " ".join(f"WHEN {code} THEN '{message}'" for code, message in text.DELAY_CLASSES_3.items())
+_MESSAGES_SQL = """WHEN 0 THEN 'Early (15+ Minutes Early)' WHEN 1 THEN 'Slightly Early (0-15 Minute Early)'
+ WHEN 2 THEN 'Slightly Late (0-30 Minute Delay)' WHEN 3 THEN 'Very Late (30+ Minutes Late)'"""
+_MESSAGES_3_SQL = """WHEN 0 THEN 'On Time (0-15 Minute Delay)' WHEN 1 THEN 'Slightly Late (15-60 Minute Delay)'
+ WHEN 2 THEN 'Very Late (60+ Minute Delay)'"""
 
 
 @query("requests", "distances", sql=f"""
@@ -815,11 +839,12 @@ def io_parquet_convert(spark, sf_dir):
 
 @query("distances", sql="SELECT Origin AS origin, Dest AS dest, CAST(trunc(Distance) AS INT) AS distance FROM distances")
 def io_distance_import(spark, sf_dir):
-    path = session.work_folder(spark, "distances-json")
-    features.write_distances(features.distances(_flights(spark, sf_dir)), path)
-    table = keyed.distances(spark, session.work_folder(spark, "distances"))
-    features.import_distances(spark, path, table)
-    return table.read()
+    files, versions = session.work_folder(spark, "distances-json"), session.work_folder(spark, "distances")
+    made = features.distances(_flights(spark, sf_dir))
+    features.write_distances(made, f"{files}/all")
+    features.write_distances(made.where("Origin = 'NATION_3'"), f"{files}/some")
+    features.import_distances(spark, f"{files}/all", f"{versions}/1")
+    return features.import_distances(spark, f"{files}/some", f"{versions}/2", f"{versions}/1")
 
 
 _STORED_SQL = """
@@ -888,13 +913,34 @@ def holdout_split(spark, sf_dir):
     return both.groupBy("held_out", training.LABEL).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query()
-def train_score_distribution(spark, sf_dir):
+def predicted_distribution(spark, sf_dir) -> DataFrame:
     """Predicted classes of the training flights. Evaluation has scored every flight already, so none is scored twice."""
     judged = spark.read.parquet(f"{_trained(spark, sf_dir)}/confusion")
     return judged.groupBy(training.PREDICTION).agg(F.sum("rows").alias("count"))
 
 
+@query("features", sql=f"""
+SELECT sum(n) AS scored, round(max(n) / sum(n), 9) AS majority_share, true AS at_least_majority, true AS evaluator_agrees, true AS valid
+FROM (SELECT label, count(*) AS n FROM {_JUDGED_SQL} GROUP BY 1)""")
+def train_score_distribution(spark, sf_dir):
+    """A forest that learned anything is right at least as often as a constant guess, whose share SQL knows.
+
+    The evaluator scores the flights once more; its accuracy is that of the confusion counts.
+    """
+    judged = spark.read.parquet(f"{_trained(spark, sf_dir)}/confusion")
+    known = features.extract(_flights(spark, sf_dir))
+    again = training.delay_bucketizer().transform(scoring.score(known, _model(spark, sf_dir)))
+    evaluated = training.evaluate(again)
+    share = judged.groupBy(training.LABEL).agg(F.sum("rows").alias("n")).agg(
+        F.sum("n").alias("scored"), (F.max("n") / F.sum("n")).alias("majority_share"))
+    right = judged.agg(
+        (F.sum(F.when(F.col(training.LABEL) == F.col(training.PREDICTION), F.col("rows")).otherwise(0)) / F.sum("rows")).alias("accuracy"),
+        F.min(F.col(training.PREDICTION).isin(0.0, 1.0, 2.0, 3.0)).alias("valid"))
+    return share.join(right, F.lit(True)).select(
+        "scored", F.round("majority_share", 9).alias("majority_share"), (F.col("accuracy") >= F.col("majority_share")).alias("at_least_majority"),
+        (F.abs(F.col("accuracy") - evaluated) < 1e-9).alias("evaluator_agrees"), "valid")
+
+
 @query("features", sql=f"""
 SELECT CAST(label AS DOUBLE) AS ArrDelayBucket, count(*) AS "rows" FROM {_JUDGED_SQL} GROUP BY 1""")
 def train_label_rows(spark, sf_dir):
@@ -912,12 +958,16 @@ def _scored_days(spark, sf_dir) -> DataFrame:
     return readers.day_partition(spark, results, daily.result_schema(schemas.STREAM_REQUEST))
 
 
-@query()
-def daily_score(spark, sf_dir):
-    return _plain(_scored_days(spark, sf_dir))
+_CLASSES = [0.0, 1.0, 2.0, 3.0]
 
 
-_CLASSES = [0.0, 1.0, 2.0, 3.0]
+@query("requests", sql="""
+SELECT UUID, CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS dt, Carrier, Origin || '-' || Dest AS Route, DepDelay, true AS classified
+FROM requests""")
+def daily_score(spark, sf_dir):
+    """Every request with its day, its route and one of the four classes."""
+    return _plain(_scored_days(spark, sf_dir).select(
+        "UUID", "dt", "Carrier", "Route", "DepDelay", F.coalesce(F.col("Prediction").isin(_CLASSES), F.lit(False)).alias("classified")))
 
 
 @query("requests", sql="""
@@ -933,15 +983,27 @@ def daily_score_days(spark, sf_dir):
 def _regressed(spark, sf_dir) -> DataFrame:
     def make() -> str:
         path = session.work_folder(spark, "regression")
-        training.train_regression(features.extract(_flights(spark, sf_dir))).write().save(path)
+        training.train_regression(features.extract(_flights(spark, sf_dir)), buckets=1 << 14).write().save(path)
         return path
     model = PipelineModel.load(_once(spark, sf_dir, "regression", make))
     return training.score_regression(_typed_requests(spark, sf_dir), model)
 
 
-@query()
+@query("features", sql="""
+SELECT count(*) AS scored, round(var_pop(ArrDelay), 6) AS variance, true AS error_at_most_variance,
+ round(regr_slope(ArrDelay, DepDelay), 6) AS slope, round(regr_intercept(ArrDelay, DepDelay), 6) AS intercept FROM features""")
 def regression_score(spark, sf_dir):
-    return _regressed(spark, sf_dir).select("UUID", "Origin", "Dest", "FlightNum", F.round("Delay", 6).alias("Delay"))
+    """The squared error of the regression beside the variance, which a constant guess would leave; and a line by one input."""
+    _regressed(spark, sf_dir)
+    known = features.extract(_flights(spark, sf_dir))
+    model = PipelineModel.load(_once(spark, sf_dir, "regression", lambda: None))
+    error = F.avg(F.pow(F.col("Delay") - F.col("ArrDelay"), 2))
+    judged = training.score_regression(known, model).agg(
+        F.count(F.lit(1)).alias("scored"), F.round(F.var_pop("ArrDelay"), 6).alias("variance"),
+        (error <= F.var_pop("ArrDelay")).alias("error_at_most_variance"))
+    line = training.fit_line(known, "DepDelay", "ArrDelay")
+    return judged.join(line, F.lit(True)).select("scored", "variance", "error_at_most_variance", F.round("slope", 6).alias("slope"),
+                                                 F.round("intercept", 6).alias("intercept"))
 
 
 @query("requests", sql="SELECT Carrier, count(*) AS scored FROM requests GROUP BY 1")
@@ -1004,26 +1066,28 @@ def stream_enriched(spark, sf_dir):
 @query("responses", sql=_LATEST_SQL)
 def stream_upsert(spark, sf_dir):
     sent = writers.as_messages(_response_messages(_response_rows(_event_stream(spark, sf_dir))))
-    table = keyed.responses(spark, session.work_folder(spark, "responses"))
-    checkpoint = session.work_folder(spark, "responses-checkpoint")
-    jobs.listen_responses(sent, table, schemas.STREAM_RESPONSE, checkpoint, interval=None).awaitTermination()
-    return table.read()
+    path, checkpoint = session.work_folder(spark, "responses"), session.work_folder(spark, "responses-checkpoint")
+    jobs.listen_responses(sent, path, schemas.STREAM_RESPONSE, checkpoint, interval=None).awaitTermination()
+    return keyed.responses(spark, path)
 
 
 def _streamed(spark, sf_dir) -> tuple[DataFrame, str]:
     """Score all request messages as a stream; the response table and the folder of the other outputs."""
     path = session.work_folder(spark, "scored")
-    table = keyed.responses(spark, f"{path}/table")
     jobs.score_stream(
         _messages(_event_stream(spark, sf_dir)), _model(spark, sf_dir),
-        [writers.message_log(f"{path}/messages"), jobs.response_sink(table)], f"{path}/checkpoint",
+        [writers.message_log(f"{path}/messages"), jobs.response_sink(f"{path}/table")], f"{path}/checkpoint",
         reject_sink=writers.row_log(f"{path}/rejects"), interval=None).awaitTermination()
-    return table.read(), path
+    return keyed.responses(spark, f"{path}/table"), path
 
 
-@query()
+@query("requests", sql="""
+SELECT UUID AS uuid, Carrier AS carrier, Origin AS origin, Dest AS dest, DepDelay AS depdelay, Origin || '-' || Dest AS route,
+ true AS classified FROM requests WHERE event_id % 41 <> 0 AND event_id % 43 <> 0""")
 def stream_scored(spark, sf_dir):
-    return _streamed(spark, sf_dir)[0]
+    """Every well-formed message with its route and one of the four classes."""
+    return _streamed(spark, sf_dir)[0].select(
+        "uuid", "carrier", "origin", "dest", "depdelay", "route", F.coalesce(F.col("prediction").isin(_CLASSES), F.lit(False)).alias("classified"))
 
 
 @query("requests", sql="""
@@ -1043,11 +1107,15 @@ def stream_equals_batch(spark, sf_dir):
 
 
 @query("requests", "responses", sql="""
-SELECT r.UUID AS request_uuid, r.Carrier, p.UUID AS response_uuid, p.Prediction
-FROM requests r JOIN responses p ON r.UUID = p.UUID AND p.copy = 0 AND p.ResponseTime >= r."Timestamp"
- AND p.ResponseTime <= r."Timestamp" + INTERVAL 10 MINUTE""")
+SELECT DISTINCT r.UUID AS request_uuid, r.Carrier, p.UUID AS response_uuid
+FROM requests r JOIN responses p ON r.UUID = p.UUID AND p.ResponseTime >= r."Timestamp"
+ AND p.ResponseTime <= r."Timestamp" + INTERVAL 605 SECOND""")
 def stream_status_join(spark, sf_dir):
+    """Repeated requests and repeated answers: one pair per request that was answered in time.
+
+    Which of two answers arrives first is not fixed, so the pair is compared by its ids; both lie on one side of the bound.
+    """
     asked = _repeated(fixtures.request_rows(_event_stream(spark, sf_dir)).select("UUID", "Carrier", "Timestamp"))
-    answers = _response_rows(_event_stream(spark, sf_dir)).where("copy = 0").select("UUID", "ResponseTime", "Prediction")
-    paired = jobs.request_response(asked, answers, "Timestamp", "ResponseTime", "10 MINUTES", "1 hour")
-    return _finished(spark, paired.select("request_uuid", "Carrier", "response_uuid", "Prediction"), "paired")
+    answers = _response_rows(_event_stream(spark, sf_dir)).select("UUID", "ResponseTime", "Prediction")
+    paired = jobs.request_response(asked, answers, "Timestamp", "ResponseTime", "605 SECONDS", "1 hour")
+    return _finished(spark, paired.select("request_uuid", "Carrier", "response_uuid"), "paired")

@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Bounds of the delay classes.
+DELAY_SPLITS = [-float("inf"), -15.0, 0.0, 30.0, float("inf")]
+
 
 def mean_distance(flights: DataFrame) -> DataFrame:
     """Mean distance of every route."""
@@ -50,20 +53,26 @@ def maximum(df: DataFrame, measure: str, name: str = "max_value") -> DataFrame:
 
 
 def bucket_delay(delay: Column) -> Column:
-    """The four delay classes as an expression; lower bounds are included."""
-    return F.when(delay < -15, 0.0).when(delay < 0, 1.0).when(delay < 30, 2.0).when(delay.isNotNull(), 3.0)
+    """The four delay classes as an expression; lower bounds are included. Nulls and NaN have no class."""
+    chosen = F.when(delay.isNull() | F.isnan(delay.cast("double")), F.lit(None).cast("double"))
+    for label, upper in enumerate(DELAY_SPLITS[1:-1]):
+        chosen = chosen.when(delay < upper, float(label))
+    return chosen.otherwise(float(len(DELAY_SPLITS) - 2))
 
 
 def histogram(df: DataFrame, measure: str, buckets: int) -> DataFrame:
     """Equal-width histogram between the least and greatest value, as ``(label, value)``.
 
-    ``label`` is the bucket number. Buckets without rows are left out; nulls are not counted.
+    ``label`` is the bucket number. Buckets without rows are left out; nulls are not counted. NaN and infinite values have no
+    place between two bounds: they are counted apart under the label -1.
     """
     known = df.select(F.col(measure).cast("double").alias("_value")).where("_value IS NOT NULL")
-    bounds = known.agg(F.struct(F.min("_value").alias("low"), F.max("_value").alias("high"))).scalar()
+    finite = ~F.isnan("_value") & (F.abs("_value") != float("inf"))
+    bounds = known.where(finite).agg(F.struct(F.min("_value").alias("low"), F.max("_value").alias("high"))).scalar()
     width = F.nullif(F.col("_bounds")["high"] - F.col("_bounds")["low"], F.lit(0.0))
     position = F.floor((F.col("_value") - F.col("_bounds")["low"]) * buckets / width)
-    label = F.least(F.coalesce(position, F.lit(0)), F.lit(buckets - 1)).cast("int")
+    inside = F.least(F.coalesce(position, F.lit(0)), F.lit(buckets - 1)).cast("int")
+    label = F.when(finite, inside).otherwise(-1)
     return known.withColumn("_bounds", bounds).groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("value"))
 
 

@@ -1,46 +1,42 @@
-"""Array-valued documents.
+"""Tables behind the pages: what belongs to a key, one flat row per element.
 
-A document gathers all rows of a key into one array. A key may hold a third of a very large table, so a document is cut
-into pages: the rows of a key are counted first, then spread by hash over enough pages of about ``page_size`` rows. No
-row is dropped, and a key that fits has one page, numbered 0.
+A key may hold a third of a very large table, so nothing is gathered into one value: a table has the same shape for a tiny and
+for a huge key. Counts are combined on the map side and joined; a hot key is split by the adaptive planner. A reader groups
+rows by filtering on the key; writers sort files by it (``plans.pages``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.forms import hash_bucket
-from skyledger.session import staged
+# What a page shows of a flight.
+FLIGHT_FIELDS = ("Carrier", "FlightDate", "FlightNum", "Origin", "Dest")
 
-PAGE_ROWS = 10_000
 
+def with_key_count(df: DataFrame, key: str, count_name: str) -> DataFrame:
+    """Every row with the number of rows of its key; null is a key."""
+    sizes = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(count_name))
+    return df.join(sizes, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
-def paged(df: DataFrame, key: str, element: Column, spread: Column, array_name: str, count_name: str,
-          page_size: int = PAGE_ROWS) -> DataFrame:
-    """``(key, count, Page, array)`` rows; ``count`` is the row count of the whole key.
 
-    ``spread`` is a column that tells the rows of a key apart. The array of a page is sorted. The counts are written
-    first, so Spark knows their size and joins them without moving the rows when they are small.
-    """
-    sizes = staged(df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(count_name)), "document-sizes")
-    page = hash_bucket(F.col("_spread"), F.ceil(F.col(count_name) / page_size)).cast("int")
-    placed = df.select(key, element.alias("_element"), spread.alias("_spread")).join(
-        sizes, F.col(key).eqNullSafe(F.col("_key")))
-    return placed.groupBy(key, count_name, page.alias("Page")).agg(
-        F.sort_array(F.collect_list("_element")).alias(array_name))
+def flights_per_airplane(flights: DataFrame) -> DataFrame:
+    """``(TailNum, FlightCount, Carrier, FlightDate, FlightNum, Origin, Dest)``, one row per flight."""
+    return with_key_count(flights.select("TailNum", *FLIGHT_FIELDS), "TailNum", "FlightCount").select(
+        "TailNum", "FlightCount", *FLIGHT_FIELDS)
 
 
-def flights_per_airplane(flights: DataFrame, spread: Column, page_size: int = PAGE_ROWS) -> DataFrame:
-    """Flights of every tail number as an array of (Carrier, FlightDate, FlightNum, Origin, Dest)."""
-    element = F.struct("Carrier", "FlightDate", "FlightNum", "Origin", "Dest")
-    return paged(flights, "TailNum", element, spread, "Flights", "FlightCount", page_size)
+def fleet_counts(flights: DataFrame) -> DataFrame:
+    """``(Carrier, FleetCount)``: distinct known tail numbers; 0 for a carrier of which none is known."""
+    return flights.select("Carrier", "TailNum").distinct().groupBy("Carrier").agg(F.count("TailNum").alias("FleetCount"))
 
 
-def fleet_per_carrier(flights: DataFrame, page_size: int = PAGE_ROWS) -> DataFrame:
-    """Distinct tail numbers of every carrier and their count. Duplicates go before anything is gathered."""
-    fleet = staged(flights.select("Carrier", "TailNum").where("TailNum IS NOT NULL").distinct(), "fleet")
-    return paged(fleet, "Carrier", F.col("TailNum"), F.col("TailNum"), "TailNumbers", "FleetCount", page_size)
+def fleet_per_carrier(flights: DataFrame) -> DataFrame:
+    """``(Carrier, FleetCount, TailNum)``, one row per distinct tail number. A carrier without known ones has one row."""
+    fleet = flights.select("Carrier", "TailNum").where("TailNum IS NOT NULL").distinct()
+    counts = fleet_counts(flights).withColumnRenamed("Carrier", "_carrier")
+    joined = counts.join(fleet, F.col("_carrier").eqNullSafe(F.col("Carrier")), "left")
+    return joined.select(F.col("_carrier").alias("Carrier"), "FleetCount", "TailNum")
 
 
 def carriers(fleet: DataFrame) -> DataFrame:
@@ -48,12 +44,6 @@ def carriers(fleet: DataFrame) -> DataFrame:
     return fleet.select("Carrier").distinct()
 
 
-def chart(totals: DataFrame, label: str, value: str, page_size: int = PAGE_ROWS) -> DataFrame:
-    """Chart data ``{data: [{label, value}]}``, largest value first; one row when the totals fit one page."""
-    pages = F.ceil(totals.agg(F.count(F.lit(1))).scalar() / page_size)
-    element = F.struct((-F.col(value)).alias("_rank"), F.col(label).alias(label), F.col(value).alias(value))
-    gathered = totals.withColumn("_pages", pages).groupBy(
-        hash_bucket(F.col(label), F.col("_pages")).cast("int").alias("Page")
-    ).agg(F.sort_array(F.collect_list(element)).alias("data"))
-    return gathered.select("Page", F.transform("data", lambda e: F.struct(e[label].alias(label), e[value].alias(value)))
-                           .alias("data"))
+def chart(totals: DataFrame, label: str, value: str) -> DataFrame:
+    """Chart rows ``(label, value)``, largest value first, equal values by label."""
+    return totals.select(label, value).orderBy(F.col(value).desc(), F.col(label).asc())

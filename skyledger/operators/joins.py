@@ -1,8 +1,7 @@
 """Set-wise joins.
 
-No join carries a broadcast hint. Small sides come as written tables (see ``session.staged``), whose file sizes let
-Spark broadcast them below ``spark.sql.autoBroadcastJoinThreshold``; beyond it the join shuffles and the adaptive
-planner splits hot keys.
+No join carries a broadcast hint. The adaptive planner knows the size of a shuffled side and broadcasts it below
+``spark.sql.autoBroadcastJoinThreshold``; beyond it the join shuffles, and hot keys are split.
 """
 
 from __future__ import annotations
@@ -46,9 +45,12 @@ def unknown_routes(requests: DataFrame, distances: DataFrame) -> DataFrame:
     return requests.join(distances.select(*ROUTE_KEY), ROUTE_KEY, "left_anti")
 
 
-def airline_page(airlines: DataFrame, fleet: DataFrame) -> DataFrame:
-    """Airline master data beside its fleet; either side may be missing."""
-    joined = airlines.join(fleet, airlines.CarrierCode == fleet.Carrier, "full_outer")
+def airline_page(airlines: DataFrame, counts: DataFrame) -> DataFrame:
+    """Airline master data beside the size of its fleet; either side may be missing, and each carrier has one row.
+
+    The tail numbers are a table of their own (``documents.fleet_per_carrier``).
+    """
+    joined = airlines.join(counts, airlines.CarrierCode == counts.Carrier, "full_outer")
     return joined.withColumn("carrier_code", F.coalesce("CarrierCode", "Carrier"))
 
 

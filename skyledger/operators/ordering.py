@@ -14,10 +14,9 @@ FEATURE_ORDER = ("DayOfYear", "Carrier", "Origin", "Dest", "FlightNum", "CRSDepT
 def sorted_files(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
     """Rows split into ranges of the sort keys and sorted inside each: the written files are in order one after another.
 
-    The other columns follow the sort keys, so many rows with equal keys do not end up in one range.
+    A hash of the row follows the sort keys, so many rows with equal keys do not end up in one range.
     """
-    by = [*order, *[name for name in df.columns if name not in order]]
-    return df.repartitionByRange(*by).sortWithinPartitions(*by)
+    return df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
 
 
 def hash_sample(df: DataFrame, key: Column, one_in: int, seed: str = "") -> DataFrame:

@@ -16,16 +16,17 @@ FLIGHT_ORDER = ("FlightDate", "DepTime", "Carrier", "FlightNum")
 AIRPLANE_ORDER = ("Owner",)
 
 
-def criteria(filters: dict[str, str | None], fields: tuple[str, ...], exact: tuple[str, ...] = ()) -> Column:
+def criteria(filters: dict[str, str | None], fields: tuple[str, ...], words: tuple[str, ...] = ()) -> Column:
     """All given filters joined with AND; an absent or empty filter adds nothing.
 
-    Fields in ``exact`` are compared with ``=`` and reach the scan; the others match on shared words.
+    A filter is compared with ``=``, which reaches the scan. Fields in ``words`` hold free text: they match when they share a
+    word with the filter, in any case, and have to be read to be judged.
     """
     unknown = set(filters) - set(fields)
     if unknown:
         raise ValueError(f"no such search fields: {sorted(unknown)}")
     parts = [
-        F.col(name) == value if name in exact else matches(F.col(name), value)
+        matches(F.col(name), value) if name in words else F.col(name) == value
         for name, value in filters.items() if value
     ]
     return reduce(lambda left, right: left & right, parts, F.lit(True))
@@ -40,8 +41,9 @@ def search(df: DataFrame, condition: Column, order: tuple[str, ...], ties: tuple
            size: int = PAGE_SIZE, count_name: str = "hit_count") -> DataFrame:
     """One page of hits with the total number of hits.
 
-    The page is a top-k (each task keeps ``start + size`` rows at most); the total is a separate parallel count that
-    reads the filter columns only.
+    The page is a top-k: each task, and the one that merges them, keeps ``start + size`` rows at most. It is meant for the first
+    pages; deeper ones are reached by ``page_after``, whose cost does not grow with the depth. The total is a separate
+    parallel count that reads the filter columns only.
     """
     hits = df.where(condition)
     page = hits.orderBy(*order_columns(df, order, ties)).offset(start).limit(size)
@@ -49,13 +51,13 @@ def search(df: DataFrame, condition: Column, order: tuple[str, ...], ties: tuple
 
 
 def flight_search(flights: DataFrame, filters: dict[str, str | None], fields: tuple[str, ...],
-                  ties: tuple[str, ...] = (), exact: tuple[str, ...] = (), **page) -> DataFrame:
-    return search(flights, criteria(filters, fields, exact), FLIGHT_ORDER, ties, count_name="flight_count", **page)
+                  ties: tuple[str, ...] = (), words: tuple[str, ...] = (), **page) -> DataFrame:
+    return search(flights, criteria(filters, fields, words), FLIGHT_ORDER, ties, count_name="flight_count", **page)
 
 
 def airplane_search(airplanes: DataFrame, filters: dict[str, str | None], fields: tuple[str, ...],
-                    ties: tuple[str, ...] = (), exact: tuple[str, ...] = (), **page) -> DataFrame:
-    return search(airplanes, criteria(filters, fields, exact), AIRPLANE_ORDER, ties, count_name="airplane_count",
+                    ties: tuple[str, ...] = (), words: tuple[str, ...] = (), **page) -> DataFrame:
+    return search(airplanes, criteria(filters, fields, words), AIRPLANE_ORDER, ties, count_name="airplane_count",
                   **page)
 
 

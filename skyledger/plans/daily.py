@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,6 +9,7 @@ from pyspark.sql.types import StructType
 from skyledger.functions import times
 from skyledger.functions.text import DELAY_CLASSES, class_label
 from skyledger.plans.scoring import score
+from skyledger.plans.training import Model
 from skyledger.schemas import BATCH_REQUEST, layout
 from skyledger.sources.readers import day_partition
 from skyledger.sources.writers import replace_day, replace_days
@@ -36,24 +36,26 @@ def result_schema(request_schema: StructType = BATCH_REQUEST) -> StructType:
     return StructType(request_schema.fields + layout(Route="string", Prediction="double").fields)
 
 
-def score_day(spark: SparkSession, tasks_base: str, results_base: str, iso_date: str, model: PipelineModel,
+def score_day(spark: SparkSession, tasks_base: str, results_base: str, iso_date: str, model: Model,
               handle_invalid: str = "error", schema=BATCH_REQUEST) -> None:
     """Score a day's requests and replace the day's results."""
     requests = day_partition(spark, tasks_base, schema, iso_date).drop("dt")
     replace_day(score(requests, model, handle_invalid), results_base, iso_date)
 
 
-def score_all_days(spark: SparkSession, tasks_base: str, results_base: str, model: PipelineModel,
+def score_all_days(spark: SparkSession, tasks_base: str, results_base: str, model: Model,
                    handle_invalid: str = "error", schema=BATCH_REQUEST) -> None:
     """``score_day`` for every stored day in one job."""
     replace_days(score(day_partition(spark, tasks_base, schema), model, handle_invalid), results_base)
 
 
 def load_results(spark: SparkSession, results_base: str, table_path: str, iso_date: str, schema=None) -> None:
-    """Copy a day's results into the result table. The day is replaced, so a rerun does not duplicate it."""
+    """Copy a day's results into the result table.
+
+    The day is replaced whatever it holds: a rerun does not duplicate it, and a day that became empty leaves no old rows.
+    """
     day = day_partition(spark, results_base, schema or result_schema(), iso_date).drop("dt")
-    if not day.isEmpty():
-        day.write.mode("overwrite").parquet(f"{table_path}/dt={iso_date}")
+    day.write.mode("overwrite").parquet(f"{table_path}/dt={iso_date}")
 
 
 def results_page(results: DataFrame, iso_date: str, labels: dict[int, str] = DELAY_CLASSES,
@@ -63,6 +65,6 @@ def results_page(results: DataFrame, iso_date: str, labels: dict[int, str] = DEL
 
 
 def results_table(results: DataFrame, labels: dict[int, str] = DELAY_CLASSES) -> DataFrame:
-    """The eight columns of the results table."""
+    """The eight columns of the results table (fixed values)."""
     return results.select("Timestamp", "Carrier", "FlightDate", "Origin", "Dest", "Distance", "DepDelay",
                           class_label(F.col("Prediction"), labels).alias("Predicted"))

@@ -12,7 +12,6 @@ from skyledger.functions import times
 from skyledger.operators.aggregates import mean_distance
 from skyledger.operators.ordering import FEATURE_ORDER, sorted_files
 from skyledger.schemas import TRAINING_FEATURE
-from skyledger.session import staged
 from skyledger.sources import keyed
 from skyledger.sources.readers import json_lines
 from skyledger.sources.writers import write_json
@@ -74,10 +73,9 @@ def rejects(flights: DataFrame) -> DataFrame:
     return _parsed(selected(flights)).where(~_complete()).select(*FEATURE_COLUMNS)
 
 
-def write(features: DataFrame, path: str, compression: str | None = "bzip2", single_file: bool = False) -> None:
-    """Sorted JSON Lines with plain dates. Several files by default: together they are in order."""
-    ordered = features.orderBy(*FEATURE_ORDER) if single_file else sorted_files(features, FEATURE_ORDER)
-    write_json(ordered.select(*TRAINING_FEATURE.fieldNames()), path, compression, single_file)
+def write(features: DataFrame, path: str, compression: str | None = "bzip2") -> None:
+    """Sorted JSON Lines with plain dates, in several files that are in order together."""
+    write_json(sorted_files(features, FEATURE_ORDER).select(*TRAINING_FEATURE.fieldNames()), path, compression)
 
 
 def distances(flights: DataFrame, descending: bool = False) -> DataFrame:
@@ -86,11 +84,6 @@ def distances(flights: DataFrame, descending: bool = False) -> DataFrame:
     return mean_distance(flights).orderBy(by, "Origin", "Dest")
 
 
-def distance_table(flights: DataFrame) -> DataFrame:
-    """The mean distances as a written table, ready to join (its file size decides how)."""
-    return staged(mean_distance(flights), "distances")
-
-
 def read(spark: SparkSession, path: str, offset_dates: bool = False) -> DataFrame:
     """Feature files with the fixed layout. ``offset_dates``: the flight date was written as an instant with a zone
     offset, so it is turned back to UTC before its day is taken."""
@@ -102,18 +95,23 @@ def read(spark: SparkSession, path: str, offset_dates: bool = False) -> DataFram
         "FlightDate", times.iso_instant(F.col("FlightDate")).cast("date"))
 
 
-def write_distances(distances_: DataFrame, path: str, single_file: bool = False) -> None:
+def write_distances(distances_: DataFrame, path: str) -> None:
     """Distances as JSON Lines."""
-    write_json(distances_, path, single_file=single_file)
+    write_json(distances_, path)
 
 
-def import_distances(spark: SparkSession, path: str, table: keyed.KeyedTable, batch_id: int = 0) -> None:
-    """Distance files into the keyed table."""
+def read_distances(spark: SparkSession, path: str) -> DataFrame:
+    """Distance files with the mean distance as it was computed."""
     schema = StructType([StructField("Origin", StringType()), StructField("Dest", StringType()),
                          StructField("Distance", DoubleType())])
-    load_distances(json_lines(spark, path, schema), table, batch_id)
+    return json_lines(spark, path, schema)
+
 
+def import_distances(spark: SparkSession, path: str, new_version: str, old_version: str | None = None) -> DataFrame:
+    """Merge distance files into the keyed table at ``old_version`` and write the result to ``new_version``.
 
-def load_distances(distances_: DataFrame, table: keyed.KeyedTable, batch_id: int = 0) -> None:
-    """Distances into the keyed table; of several lines with one key the longest distance stays."""
-    table.upsert(keyed.distance_rows(distances_), batch_id)
+    Keys that the files do not name stay as they were. The old version is left alone, so the import may be repeated.
+    """
+    old = spark.read.parquet(old_version) if old_version else None
+    keyed.merged_distances(old, read_distances(spark, path)).write.mode("overwrite").parquet(new_version)
+    return spark.read.parquet(new_version)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 
-from skyledger.plans.training import NOMINAL, VECTOR, index_name, with_route
+from skyledger.plans.training import NOMINAL, VECTOR, Model, index_name, indexed, with_route
 
 # Columns the chain adds and no caller needs.
 WORKING_COLUMNS = [VECTOR, "rawPrediction", "probability", "indices", "values", *map(index_name, NOMINAL)]
@@ -17,8 +16,7 @@ def without_working_columns(scored: DataFrame) -> DataFrame:
     return scored.drop(*WORKING_COLUMNS)
 
 
-def score(requests: DataFrame, model: PipelineModel, handle_invalid: str = "error",
-          index_source: str = "request") -> DataFrame:
+def score(requests: DataFrame, model: Model, handle_invalid: str = "error", index_source: str = "request") -> DataFrame:
     """Add ``Route`` and ``Prediction`` to every request.
 
     ``handle_invalid`` says what happens to unseen labels and missing numbers: ``error`` fails the job, ``skip`` drops
@@ -29,12 +27,10 @@ def score(requests: DataFrame, model: PipelineModel, handle_invalid: str = "erro
         raise ValueError(f"unknown index source: {index_source}")
     sent = index_source == "message"
     rows = with_route(requests.drop("Prediction", *([] if sent else map(index_name, NOMINAL))))
-    for stage in model.copy().stages:
-        if isinstance(stage, StringIndexerModel):
-            if sent:
-                continue
-            stage.setHandleInvalid(handle_invalid)
-        elif isinstance(stage, VectorAssembler):
+    if not sent:
+        rows = indexed(rows, model.labels, model.sizes, model.hashed, handle_invalid)
+    for stage in model.chain.copy().stages:
+        if isinstance(stage, VectorAssembler):
             stage.setHandleInvalid("keep" if sent else handle_invalid)
         rows = stage.transform(rows)
     return without_working_columns(rows)

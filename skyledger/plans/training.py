@@ -8,22 +8,21 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Bucketizer, FeatureHasher, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import Bucketizer, FeatureHasher, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyledger.functions.text import route
-from skyledger.operators.aggregates import confusion
+from skyledger.operators.aggregates import DELAY_SPLITS, confusion
+from skyledger.session import work_folder
 
-# Model inputs and class bounds.
+# Model inputs.
 NUMERIC = ["DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "DayOfYear"]
 NOMINAL = ["Carrier", "Origin", "Dest", "Route"]
-DELAY_SPLITS = [-float("inf"), -15.0, 0.0, 30.0, float("inf")]
 LABEL, VECTOR, PREDICTION = "ArrDelayBucket", "Features_vec", "Prediction"
 
-MAX_LABELS = 1_000_000
-
 
 def index_name(column: str) -> str:
     return f"{column}_index"
@@ -44,22 +43,60 @@ def label_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return pairs.where("label IS NOT NULL").groupBy("column_name", "label").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def fit_indexers(df: DataFrame, columns: list[str] = NOMINAL, max_labels: int = MAX_LABELS) -> list[StringIndexerModel]:
-    """Frequency index of every column, one model each: most frequent label first, ties by label.
+def label_index(df: DataFrame, columns: list[str] = NOMINAL) -> DataFrame:
+    """``(column_name, label, rows, index)``: labels numbered from 0, most frequent first, ties by label.
 
-    The labels become part of the model and travel to every executor, so their number is checked before they are
-    fetched; columns with more than ``max_labels`` labels together are refused.
+    The index is a table of any size. Labels are dealt into ranges in that order and numbered inside their partition; a range
+    starts where the ones before it end. Only the ranges' sizes meet in one place, not the labels.
     """
-    counts = label_counts(df, columns)
-    rows = counts.limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
-        raise ValueError(f"more than {max_labels} labels in {columns}")
-    rows.sort(key=lambda row: (-row["rows"], row["label"]))
-    return [
-        StringIndexerModel.from_labels([row["label"] for row in rows if row["column_name"] == name], inputCol=name,
-                                       outputCol=index_name(name), handleInvalid="error")
-        for name in columns
-    ]
+    order = [F.col("column_name"), F.col("rows").desc(), F.col("label")]
+    ranged = label_counts(df, columns).repartitionByRange(*order).sortWithinPartitions(*order)
+    path = work_folder(df.sparkSession, "label-places")  # the places below are read twice and must not be dealt anew
+    ranged.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))
+    sizes = placed.groupBy("column_name", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(W.partitionBy("column_name").orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    starts = sizes.select("column_name", "_part", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    return placed.join(starts, ["column_name", "_part"]).select(
+        "column_name", "label", "rows", (F.col("_before") + F.col("_id") - F.col("_first")).cast("double").alias("index"))
+
+
+@dataclass
+class Model:
+    """The label table, the number of labels per nominal column, and the chain behind them: assembler and forest.
+
+    ``hashed`` names columns that are indexed by a hash of that many values in place of the label table.
+    """
+    labels: DataFrame
+    sizes: dict[str, int]
+    chain: PipelineModel
+    hashed: dict[str, int]
+
+
+def indexed(rows: DataFrame, labels: DataFrame, sizes: dict[str, int], hashed: dict[str, int], handle_invalid: str) -> DataFrame:
+    """Add the index of every nominal column by a join with the label table.
+
+    Unseen and missing labels fail the job (``error``), lose their row (``skip``) or get one index more (``keep``). The columns
+    say how many values they have, so the forest treats them as categories.
+    """
+    for name in NOMINAL:
+        values = hashed.get(name) or sizes.get(name, 0) + (handle_invalid == "keep")
+        about = {"ml_attr": {"type": "nominal", "name": index_name(name), "num_vals": max(values, 1)}}
+        if name in hashed:
+            found = F.pmod(F.xxhash64(F.coalesce(F.col(name).cast("string"), F.lit(""))), F.lit(values)).cast("double")
+        else:
+            known = labels.where(F.col("column_name") == name).select(F.col("label").alias("_label"), F.col("index").alias("_index"))
+            rows = rows.join(known, F.col(name).cast("string") == F.col("_label"), "left").drop("_label")
+            found = F.col("_index")
+            if handle_invalid == "keep":
+                found = F.coalesce(found, F.lit(float(sizes.get(name, 0))))
+            elif handle_invalid == "error":
+                found = F.coalesce(found, F.raise_error(F.concat(F.lit(f"no index for {name} "), F.coalesce(F.col(name).cast("string"), F.lit("null")))).cast("double"))
+        rows = rows.withColumn("_found", found).drop("_index")
+        if handle_invalid == "skip":
+            rows = rows.where("_found IS NOT NULL")
+        rows = rows.withColumn(index_name(name), F.col("_found").alias(index_name(name), metadata=about)).drop("_found")
+    return rows
 
 
 def assembler(handle_invalid: str = "error") -> VectorAssembler:
@@ -70,7 +107,7 @@ def assembler(handle_invalid: str = "error") -> VectorAssembler:
 @dataclass
 class Trained:
     """A fitted chain and the confusion counts of the rows it was evaluated on."""
-    model: PipelineModel
+    model: Model
     confusion: DataFrame
 
     def accuracy(self) -> float:
@@ -82,29 +119,34 @@ class Trained:
 
 
 def train(features: DataFrame, max_bins: int | None = None, max_memory_mb: int = 1024, seed: int = 1,
-          holdout: DataFrame | None = None) -> Trained:
+          holdout: DataFrame | None = None, hashed: dict[str, int] | None = None) -> Trained:
     """Fit the delay classifier on all rows: bucketise, index, assemble, random forest.
 
-    ``max_bins`` defaults to the number of labels of the largest nominal column (at least 32), the least the forest
-    accepts. The seed is fixed: left out, it would differ between Python processes. Only the label and the vector are kept while the forest iterates. Evaluation runs on the training rows
-    unless ``holdout`` is given.
+    ``max_bins`` defaults to the number of labels of the largest nominal column (at least 32), the least the forest accepts.
+    ``hashed`` is the caller's choice for columns with more labels than a forest should split on: column to number of hash
+    values. The seed is fixed: left out, it would differ between Python processes. Bootstrap samples also depend on how rows lie
+    in partitions, so two runs agree when their input files and settings do. Only the label and the vector are kept while the
+    forest iterates. Evaluation runs on the training rows unless ``holdout`` is given.
     """
+    hashed = hashed or {}
     routed = with_route(features).select(*NUMERIC, *NOMINAL, "ArrDelay")
-    indexers = fit_indexers(routed)
-    inputs = PipelineModel([*indexers, assembler()])
-    largest = max(len(indexer.labels) for indexer in indexers)
+    labels = label_index(routed, [name for name in NOMINAL if name not in hashed]).select("column_name", "label", "index")
+    sizes = _sizes(labels)
+    rows = delay_bucketizer().transform(indexed(routed, labels, sizes, hashed, "error"))
+    vectors = assembler()
+    prepared = vectors.transform(rows).select(VECTOR, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    largest = max([*sizes.values(), *hashed.values(), 32])
     forest = RandomForestClassifier(
-        featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION, maxBins=max_bins or max(32, largest),
+        featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION, maxBins=max_bins or largest,
         maxMemoryInMB=max_memory_mb, seed=seed)
-    prepared = inputs.transform(delay_bucketizer().transform(routed)).select(VECTOR, LABEL)
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = forest.fit(prepared)
-        model = PipelineModel([*inputs.stages, fitted])
+        model = Model(labels, sizes, PipelineModel([vectors, fitted]), hashed)
         if holdout is None:
             judged = fitted.transform(prepared)
         else:
-            judged = model.transform(delay_bucketizer().transform(with_route(holdout)))
+            asked = indexed(delay_bucketizer().transform(with_route(holdout)), labels, sizes, hashed, "error")
+            judged = model.chain.transform(asked)
         counts = confusion(judged.select(LABEL, PREDICTION), LABEL, PREDICTION).collect()  # at most 4 x 4 rows
     finally:
         prepared.unpersist()
@@ -112,20 +154,30 @@ def train(features: DataFrame, max_bins: int | None = None, max_memory_mb: int =
     return Trained(model, table)
 
 
+def _sizes(labels: DataFrame) -> dict[str, int]:
+    """Labels per nominal column: at most one row for each."""
+    return {row["column_name"]: row["count"] for row in labels.groupBy("column_name").count().collect()}
+
+
 def evaluate(predictions: DataFrame, metric: str = "accuracy") -> float:
     """MLlib evaluation of scored rows that carry their class."""
     return MulticlassClassificationEvaluator(
         predictionCol=PREDICTION, labelCol=LABEL, metricName=metric).evaluate(predictions)
 
 
-def save(model: PipelineModel, path: str) -> None:
-    """Persist the chain as one artefact, with the bucketiser of the label beside it."""
-    model.write().overwrite().save(f"{path}/pipeline")
+def save(model: Model, path: str) -> None:
+    """Persist chain and label table as one artefact, with the bucketiser of the label beside it."""
+    model.chain.write().overwrite().save(f"{path}/pipeline")
+    model.labels.write.mode("overwrite").parquet(f"{path}/labels")
+    hashed = model.labels.sparkSession.createDataFrame(list(model.hashed.items()), "column_name string, buckets long")
+    hashed.write.mode("overwrite").parquet(f"{path}/hashed")
     delay_bucketizer().write().overwrite().save(f"{path}/bucketizer")
 
 
-def load(spark: SparkSession, path: str) -> PipelineModel:
-    return PipelineModel.load(f"{path}/pipeline")
+def load(spark: SparkSession, path: str) -> Model:
+    labels = spark.read.parquet(f"{path}/labels")
+    hashed = {row.column_name: row.buckets for row in spark.read.parquet(f"{path}/hashed").collect()}
+    return Model(labels, _sizes(labels), PipelineModel.load(f"{path}/pipeline"), hashed)
 
 
 def load_bucketizer(spark: SparkSession, path: str) -> Bucketizer:
@@ -134,6 +186,7 @@ def load_bucketizer(spark: SparkSession, path: str) -> Bucketizer:
 
 # --- regression -------------------------------------------------------------------------------------------------------
 
+# Inputs of the regression.
 REGRESSION_TEXT = ["Origin", "Dest", "FlightNum"]
 REGRESSION_NUMERIC = ["Distance", "DayOfYear", "DayOfMonth", "DayOfWeek"]
 
@@ -144,8 +197,12 @@ def regression_inputs(df: DataFrame) -> DataFrame:
                             for name in REGRESSION_NUMERIC])
 
 
-def train_regression(features: DataFrame, buckets: int = 1 << 14, max_iter: int = 25) -> PipelineModel:
-    """Linear regression of the arrival delay. Text fields are hashed, so the model size does not grow with the data."""
+def train_regression(features: DataFrame, buckets: int, max_iter: int = 25) -> PipelineModel:
+    """Linear regression of the arrival delay.
+
+    Text fields are hashed into ``buckets`` values, so the model size does not grow with the data. Labels that meet in a bucket
+    share a weight: the caller chooses many more buckets than there are labels.
+    """
     hasher = FeatureHasher(inputCols=REGRESSION_TEXT + [f"_{name}" for name in REGRESSION_NUMERIC],
                            outputCol=VECTOR, numFeatures=buckets)
     line = LinearRegression(featuresCol=VECTOR, labelCol="ArrDelay", predictionCol="Delay", solver="l-bfgs",
@@ -163,3 +220,11 @@ def score_regression(requests: DataFrame, model: PipelineModel) -> DataFrame:
     """Add the predicted ``Delay`` to every request."""
     scored = model.transform(regression_inputs(requests))
     return scored.drop(VECTOR, *[f"_{name}" for name in REGRESSION_NUMERIC])
+
+
+def fit_line(rows: DataFrame, x: str, y: str) -> DataFrame:
+    """Least-squares line through two numeric columns, ``(slope, intercept)``, fitted by the same regression."""
+    known = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    vectors = VectorAssembler(inputCols=["_x"], outputCol=VECTOR).transform(known).select(VECTOR, "_y")
+    line = LinearRegression(featuresCol=VECTOR, labelCol="_y", solver="normal").fit(vectors)
+    return rows.sparkSession.createDataFrame([(float(line.coefficients[0]), float(line.intercept))], "slope double, intercept double")

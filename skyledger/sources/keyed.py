@@ -1,9 +1,9 @@
-"""Keyed tables with last-write-wins, without a table format.
+"""Keyed tables with last-write-wins.
 
-A table is a set of write batches, one directory each. An upsert adds a batch and touches nothing else, so a job that
-dies half-way leaves no wrong state, and a batch that is written again replaces itself. A read keeps the latest row per
-key. A filter on the key passes below that aggregation to the scan, where Parquet statistics and the key's bloom filter
-skip files.
+The operator is ``merged``: old rows and new rows to the latest row per key. A batch job merges into a new version of its
+table. A stream only appends: every micro-batch goes to a place of its own, named by the query that wrote it and its batch
+number, and carries the time of the write, which orders the writes of all queries. A replayed batch replaces itself; a second
+query, or one that starts afresh, cannot touch what another wrote.
 """
 
 from __future__ import annotations
@@ -13,54 +13,36 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.lookups import latest_per_key
 
+WRITTEN = "written_at"
+
 # Columns of the response table in its order, as name in a message and type in the table.
 RESPONSE_FIELDS = {
     "UUID": "string", "Origin": "string", "Dest": "string", "Carrier": "string", "DepDelay": "double",
     "Prediction": "double", "Timestamp": "string", "FlightDate": "string", "DayOfWeek": "int", "DayOfYear": "int",
     "DayOfMonth": "int", "Distance": "double", "Route": "string",
 }
+RESPONSE_KEY, RESPONSE_ORDER = ["uuid"], ["timestamp"]
+DISTANCE_KEY = ["origin", "dest"]
+
+
+def merged(old: DataFrame | None, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The latest row of every key: new rows win over old ones, ``order`` settles several new rows of a key."""
+    rows = new.withColumn("_turn", F.lit(1))
+    if old is not None:
+        rows = old.select(*new.columns).withColumn("_turn", F.lit(0)).unionByName(rows)
+    return latest_per_key(rows, keys, ["_turn", *order]).drop("_turn")
+
 
+def append(rows: DataFrame, path: str, writer: str, batch_id: int) -> None:
+    """Add the rows of one write. The same writer and batch replace their own earlier attempt and nothing else."""
+    stamped = rows.withColumn(WRITTEN, F.current_timestamp())
+    stamped.write.mode("overwrite").parquet(f"{path}/writer={writer}/batch={batch_id}")
 
-class KeyedTable:
-    """A keyed table at ``path``. ``order`` names the columns that settle two writes of a key in one batch.
-
-    ``files`` bounds the files of a batch. Set it for streams: their plans are not adaptive, and a small micro-batch would
-    leave one file per shuffle partition.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None,
-                 files: int | None = None):
-        self.spark, self.path, self.keys, self.order, self.files = spark, path, keys, order or [], files
-
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
-        """Add a batch; duplicates inside it are settled first. Later batches win over earlier ones."""
-        latest = latest_per_key(rows, self.keys, self.order)
-        if self.files:
-            latest = latest.coalesce(self.files)
-        writer = latest.sortWithinPartitions(*self.keys).write.mode("overwrite")
-        for key in self.keys:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
-        writer.parquet(f"{self.path}/batch_id={batch_id}")
-
-    def read(self) -> DataFrame:
-        """The latest row of every key."""
-        stored = self.spark.read.parquet(self.path)
-        merged = latest_per_key(stored.withColumn("batch_id", F.col("batch_id").cast("long")), self.keys,
-                                ["batch_id", *self.order])
-        return merged.drop("batch_id")
-
-    def lookup(self, **key) -> DataFrame:
-        """The latest row of one key."""
-        rows = self.read()
-        for name, value in key.items():
-            rows = rows.where(F.col(name) == value)
-        return rows.limit(1)
-
-    def compact_to(self, path: str) -> "KeyedTable":
-        """Write the latest rows as the single batch of a new table; switch readers to it when it is complete."""
-        compacted = KeyedTable(self.spark, path, self.keys, self.order)
-        compacted.upsert(self.read(), 0)
-        return compacted
+
+def latest(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
+    """The latest row of every key over all writes; of rows written at one time, the greatest ``order``."""
+    rows = spark.read.parquet(path).drop("writer", "batch")
+    return latest_per_key(rows, keys, [WRITTEN, *order]).drop(WRITTEN)
 
 
 def response_rows(scored: DataFrame) -> DataFrame:
@@ -68,9 +50,9 @@ def response_rows(scored: DataFrame) -> DataFrame:
     return scored.select(*[F.col(name).cast(kind).alias(name.lower()) for name, kind in RESPONSE_FIELDS.items()])
 
 
-def responses(spark: SparkSession, path: str, files: int | None = None) -> KeyedTable:
-    """Responses by ``uuid``."""
-    return KeyedTable(spark, path, ["uuid"], ["timestamp"], files)
+def responses(spark: SparkSession, path: str) -> DataFrame:
+    """The latest response per ``uuid``."""
+    return latest(spark, path, RESPONSE_KEY, RESPONSE_ORDER)
 
 
 def distance_rows(distances: DataFrame) -> DataFrame:
@@ -79,12 +61,6 @@ def distance_rows(distances: DataFrame) -> DataFrame:
                             F.col("Distance").cast("int").alias("distance"))
 
 
-def distances(spark: SparkSession, path: str) -> KeyedTable:
-    """Distances by ``(origin, dest)``."""
-    return KeyedTable(spark, path, ["origin", "dest"], ["distance"])
-
-
-def routes(table: KeyedTable) -> DataFrame:
-    """The distance table under the names the request joins use."""
-    return table.read().select(F.col("origin").alias("Origin"), F.col("dest").alias("Dest"),
-                               F.col("distance").alias("Distance"))
+def merged_distances(old: DataFrame | None, distances: DataFrame) -> DataFrame:
+    """The keyed distance table with ``distances`` merged in; of several lines with one key the longest distance stays."""
+    return merged(old, distance_rows(distances), DISTANCE_KEY, ["distance"])

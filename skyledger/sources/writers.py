@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from skyledger.functions.messages import render
 
@@ -16,9 +15,9 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_json(df: DataFrame, path: str, compression: str | None = None, single_file: bool = False) -> None:
-    """JSON Lines. ``single_file`` sends all rows through one task; keep it for small exports."""
-    writer = (df.coalesce(1) if single_file else df).write.mode("overwrite")
+def write_json(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """JSON Lines."""
+    writer = df.write.mode("overwrite")
     if compression:
         writer = writer.option("compression", compression)
     writer.json(path)
@@ -83,7 +82,3 @@ def topic_sink(servers: str, topic: str) -> Sink:
     def write(batch: DataFrame, batch_id: int) -> None:
         write_topic(batch, servers, topic)
     return write
-
-
-def stamp_batch(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.withColumn("batch_id", F.lit(batch_id).cast("long"))

@@ -6,9 +6,9 @@ state and must be a shared folder. ``interval`` is the micro-batch interval, ``N
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,26 +16,31 @@ from pyspark.sql.types import StructType
 
 from skyledger.plans import requests as request_plan
 from skyledger.plans.scoring import score
+from skyledger.plans.training import Model
 from skyledger.schemas import STREAM_MESSAGE
-from skyledger.sources.keyed import KeyedTable, response_rows
+from skyledger.sources import keyed
 from skyledger.sources.writers import Sink
 from skyledger.streaming import messages
 
 INTERVAL = "10 seconds"  # fixed value: micro-batch interval
 
 
+_starting = threading.Lock()
+
+
 def _start(stream: DataFrame, writer, checkpoint: str, interval: str | None, partitions: int | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
     if partitions is None:
         return writer.start()
     conf = stream.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", partitions)  # a query copies the settings when it starts
-    try:
-        return writer.start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    with _starting:  # a query copies the settings of the session when it starts; one start at a time changes them
+        before = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            return writer.start()
+        finally:
+            conf.set("spark.sql.shuffle.partitions", before)
 
 
 def per_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
@@ -59,7 +64,7 @@ def to_console(stream: DataFrame, checkpoint: str, interval: str | None = INTERV
     return _start(stream, stream.writeStream.format("console"), checkpoint, interval, None)
 
 
-def score_stream(source: DataFrame, model: PipelineModel, sinks: Iterable[Sink], checkpoint: str,
+def score_stream(source: DataFrame, model: Model, sinks: Iterable[Sink], checkpoint: str,
                  reject_sink: Sink | None = None, interval: str | None = INTERVAL, handle_invalid: str = "keep",
                  index_source: str = "request", schema: StructType = STREAM_MESSAGE) -> StreamingQuery:
     """Parse, score and fan out: every micro-batch is scored once and written to all sinks from the executors.
@@ -87,19 +92,26 @@ def score_stream(source: DataFrame, model: PipelineModel, sinks: Iterable[Sink],
     return per_batch(source, run, checkpoint, interval)
 
 
-def response_sink(table: KeyedTable) -> Sink:
-    """Upsert scored rows into the response table."""
+def query_id(batch: DataFrame) -> str:
+    """The id of the query that runs a micro-batch. It is kept with the checkpoint: a restart has the same, a fresh start another."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def response_sink(path: str) -> Sink:
+    """Append scored rows to the response table; ``keyed.responses`` reads the latest per id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(response_rows(batch), batch_id)
+        rows = keyed.merged(None, keyed.response_rows(batch), keyed.RESPONSE_KEY, keyed.RESPONSE_ORDER)
+        keyed.append(rows, path, query_id(batch), batch_id)
     return write
 
 
-def listen_responses(source: DataFrame, table: KeyedTable, schema: StructType, checkpoint: str,
+def listen_responses(source: DataFrame, path: str, schema: StructType, checkpoint: str,
                      interval: str | None = INTERVAL) -> StreamingQuery:
-    """Response messages into the response table."""
+    """Response messages into the response table at ``path``."""
+    sink = response_sink(path)
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        flat = messages.parsed(batch, schema).where("flight.UUID IS NOT NULL").select("flight.*")
-        table.upsert(response_rows(flat), batch_id)
+        sink(messages.parsed(batch, schema).where("flight.UUID IS NOT NULL").select("flight.*"), batch_id)
 
     return per_batch(source, run, checkpoint, interval)
 
@@ -114,14 +126,24 @@ def enriched(raw: DataFrame, distances: DataFrame, request_id: Column | None = N
 
 
 def unique_requests(stream: DataFrame, time: str, delay: str, key: str = "UUID") -> DataFrame:
-    """One row per id. Ids are remembered for ``delay`` of event time, which bounds the state.
+    """One row per id, in one stateful step. Ids are remembered for ``delay`` of event time, which bounds the state.
 
-    Copies that arrive in the same source partition go first, in a step keyed by id and partition. An id with very many
-    copies then reaches the second step with one row per partition at most, instead of filling one task.
+    A stream has no stateless aggregate. Where an id may have very many copies, send the stream through ``combine_copies`` first
+    and read what that wrote.
     """
-    marked = stream.withColumn("_part", F.spark_partition_id()).withWatermark(time, delay)
-    local = marked.dropDuplicatesWithinWatermark([key, "_part"])
-    return local.drop("_part").dropDuplicatesWithinWatermark([key])
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+
+
+def combine_copies(stream: DataFrame, path: str, checkpoint: str, key: str = "UUID", interval: str | None = INTERVAL) -> StreamingQuery:
+    """Keep one row per id of every micro-batch and write the batches below ``path`` for a stream to read.
+
+    Inside a micro-batch the copies are combined on the map side, so an id that fills the batch is one row per task before
+    anything is shuffled, and the stateful step that reads the result gets it once per batch.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.dropDuplicates([key]).write.mode("overwrite").parquet(f"{path}/writer={query_id(batch)}/batch={batch_id}")
+
+    return per_batch(stream, run, checkpoint, interval)
 
 
 def request_response(requests: DataFrame, responses: DataFrame, request_time: str, response_time: str,

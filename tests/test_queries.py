@@ -4,10 +4,10 @@ import duckdb  # noqa: F401
 import pytest
 
 import __spark_entry__ as entry_points
+from skyledger import catalog
 from tests.compare import connect, difference
 
-SQL = entry_points.oracle_sql()
-ROWS_ONLY = {"train_score_distribution", "daily_score", "regression_score", "stream_scored"}
+SQL = catalog.ORACLES
 MAY_BE_EMPTY = {"flight_lookup", "route_day_flights", "sample_top6"}
 
 
@@ -27,13 +27,8 @@ def test_sql_has_rows(con, name):
     assert con.execute(f"SELECT count(*) FROM ({SQL[name]})").fetchone()[0] > 0
 
 
-def test_all_others_are_known():
-    assert set(entry_points.queries()) - set(SQL) == ROWS_ONLY
-
-
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_rows_only(spark, small, name):
-    assert entry_points.queries()[name](spark, small).count() > 0
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(SQL) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):

@@ -35,11 +35,11 @@ def test_feature_files_round_trip(spark, base, compression):
     assert all(name.endswith(suffix) for name in glob.glob(f"{base}/part-*"))
 
 
-def test_single_file_is_sorted(spark, base):
-    features.write(feature_frame(spark).repartition(4), base, None, single_file=True)
-    assert len(glob.glob(f"{base}/part-*")) == 1
-    days = [row.DayOfYear for row in readers.json_lines(spark, base, schemas.TRAINING_FEATURE).collect()]
-    assert days == sorted(days)
+def test_files_are_in_order_together(spark, base):
+    features.write(feature_frame(spark).repartition(4), base, None)
+    days = [row.DayOfYear for name in sorted(glob.glob(f"{base}/part-*"))
+            for row in readers.json_lines(spark, name, schemas.TRAINING_FEATURE).collect()]
+    assert days == sorted(days) and len(days) == feature_frame(spark).count()
 
 
 def test_inferred_schema(spark, base):
@@ -121,45 +121,33 @@ def keyed_rows(spark, *values):
     return spark.createDataFrame(list(values), "uuid string, timestamp string, prediction double")
 
 
-def test_keyed_table(spark, base):
-    table = keyed.responses(spark, base)
-    table.upsert(keyed_rows(spark, ("a", "2016-01-01", 0.0), ("a", "2016-01-02", 1.0), ("b", "2016-01-01", 2.0)), 0)
-    assert rows(table.read()) == [("a", "2016-01-02", 1.0), ("b", "2016-01-01", 2.0)]
-    table.upsert(keyed_rows(spark, ("a", "2015-01-01", 3.0), ("c", None, 0.0)), 1)
-    latest = [("a", "2015-01-01", 3.0), ("b", "2016-01-01", 2.0), ("c", None, 0.0)]
-    assert sorted(map(tuple, table.read().collect())) == latest
-    table.upsert(keyed_rows(spark, ("a", "2015-01-01", 3.0), ("c", None, 0.0)), 1)
-    assert sorted(map(tuple, table.read().collect())) == latest
-    assert rows(table.lookup(uuid="a")) == [latest[0]] and table.lookup(uuid="z").count() == 0
-    few = keyed.responses(spark, base + "-few", files=1)
-    few.upsert(table.read().repartition(4), 0)
-    assert sorted(map(tuple, few.read().collect())) == latest
-    assert len(glob.glob(base + "-few/batch_id=0/*.parquet")) == 1
-    compacted = table.compact_to(base + "-compact")
-    assert sorted(map(tuple, compacted.read().collect())) == latest
-    assert len(glob.glob(base + "-compact/batch_id=*")) == 1
+def test_merged_keeps_old_keys(spark):
+    old = keyed_rows(spark, ("a", "2016-01-02", 1.0), ("b", "2016-01-01", 2.0))
+    new = keyed_rows(spark, ("a", "2015-01-01", 3.0), ("a", "2015-01-02", 4.0), ("c", None, 0.0))
+    want = [("a", "2015-01-02", 4.0), ("b", "2016-01-01", 2.0), ("c", None, 0.0)]
+    assert rows(keyed.merged(old, new, ["uuid"], ["timestamp"])) == want
+    assert rows(keyed.merged(keyed.merged(old, new, ["uuid"], ["timestamp"]), new, ["uuid"], ["timestamp"])) == want
 
 
-def test_keyed_batches_pass_the_tenth(spark, base):
-    table = keyed.responses(spark, base)
-    for batch_id in (9, 10, 2):
-        table.upsert(keyed_rows(spark, ("a", "t", float(batch_id))), batch_id)
-    assert rows(table.read()) == [("a", "t", 10.0)]
+def test_writers_do_not_touch_each_other(spark, base):
+    keyed.append(keyed_rows(spark, ("a", "t", 99.0), ("b", "t", 1.0)), base, "first", 0)
+    keyed.append(keyed_rows(spark, ("a", "s", 2.0)), base, "fresh-start", 0)  # the later write wins, whatever its number
+    assert rows(keyed.responses(spark, base)) == [("a", "s", 2.0), ("b", "t", 1.0)]
+    keyed.append(keyed_rows(spark, ("a", "s", 2.0)), base, "fresh-start", 0)  # replayed
+    assert rows(keyed.responses(spark, base)) == [("a", "s", 2.0), ("b", "t", 1.0)]
+    keyed.append(keyed_rows(spark, ("a", "r", 7.0), ("c", None, 0.0)), base, "first", 10)
+    assert sorted(map(tuple, keyed.responses(spark, base).collect())) == [("a", "r", 7.0), ("b", "t", 1.0), ("c", None, 0.0)]
 
 
-def test_keyed_lookup_filter_reaches_the_scan(spark, base):
-    table = keyed.responses(spark, base)
-    table.upsert(keyed_rows(spark, ("a", "t", 0.0)), 0)
-    plan = table.lookup(uuid="a")._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(uuid,a)" in plan
-
-
-def test_distance_table(spark, base):
-    table = keyed.distances(spark, f"{base}/table")
-    df = spark.createDataFrame([("ATL", "SFO", 2139.9), ("SFO", "ATL", 10.2)], "Origin string, Dest string, Distance double")
-    features.write_distances(df, f"{base}/json", single_file=True)
-    features.import_distances(spark, f"{base}/json", table)
-    assert rows(table.read()) == [("ATL", "SFO", 2139), ("SFO", "ATL", 10)]
+def test_distance_imports_add_up(spark, base):
+    schema = "Origin string, Dest string, Distance double"
+    features.write_distances(spark.createDataFrame([("A", "B", 2139.9), ("C", "D", 10.2)], schema), f"{base}/first")
+    features.write_distances(spark.createDataFrame([("A", "B", 5.0), ("A", "B", 7.5)], schema), f"{base}/second")
+    features.import_distances(spark, f"{base}/first", f"{base}/v1")
+    for _ in range(2):
+        got = features.import_distances(spark, f"{base}/second", f"{base}/v2", f"{base}/v1")
+        assert rows(got) == [("A", "B", 7), ("C", "D", 10)]
+    assert rows(features.read_distances(spark, f"{base}/first")) == [("A", "B", 2139.9), ("C", "D", 10.2)]
 
 
 def test_response_layout(spark):
@@ -172,31 +160,12 @@ def test_work_folder(spark):
     assert first != second and first.startswith(shared)
 
 
-class _Conf:
+class _Conf(dict):
     def get(self, key, default=None):
-        return default
-
-
-class _Cluster:
-    """A session on a cluster that names no shared folder."""
-    conf = _Conf()
-
-    class sparkContext:
-        master, applicationId = "spark://host:7077", "app"
-
-
-def test_cluster_needs_a_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.work_folder(_Cluster(), "x")
+        return super().get(key, default)
 
 
-def test_staged_table_is_broadcast_by_size(spark):
-    small = session.staged(spark.range(10).withColumnRenamed("id", "k"), "small")
-    joined = spark.range(1000).join(small, F.col("id") == F.col("k"))
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = spark.range(1000).join(small, F.col("id") == F.col("k"))
-        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_work_folder_is_never_on_one_machine():
+    class Session:
+        conf = _Conf({"spark.sql.warehouse.dir": "hdfs://x/warehouse/"})
+    assert session.work_folder(Session(), "n").startswith("hdfs://x/warehouse/_work/skyledger/n-")

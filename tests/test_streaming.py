@@ -56,7 +56,7 @@ def test_scored_stream_equals_batch(spark, model, tmp_path):
     batches = [[request(i) for i in range(0, 40)], [request(i) for i in range(40, 60)] + ["{bad", '{"Carrier":"AA"}'],
                [request(70, Carrier="??", DepDelay=None), request(1, DepDelay=80.0)]]
     message_files(spark, inbox, *batches)
-    table = keyed.responses(spark, str(tmp_path / "table"))
+    table = str(tmp_path / "table")
     log, rejects, check = (str(tmp_path / n) for n in ("log", "rejects", "checkpoint"))
 
     def run():
@@ -68,25 +68,25 @@ def test_scored_stream_equals_batch(spark, model, tmp_path):
     expected = scoring.score(messages.requests(parsed), model, "keep")
     sent = spark.read.parquet(log)
     assert rows(sent.select("value")) == rows(writers.as_messages(expected))
-    assert table.read().count() == expected.select("UUID").distinct().count() == 61
-    assert table.lookup(uuid="u1").first().depdelay == 80.0
+    assert keyed.responses(spark, table).count() == expected.select("UUID").distinct().count() == 61
+    assert keyed.responses(spark, table).where("uuid = 'u1'").first().depdelay == 80.0
     assert rows(spark.read.parquet(rejects).select("value")) == [('{"Carrier":"AA"}',), ("{bad",)]
 
     run()  # nothing new: nothing changes
     assert spark.read.parquet(log).count() == 62
     message_files(spark, inbox, [request(100)])
     run()  # goes on where it stopped
-    assert spark.read.parquet(log).count() == 63 and table.read().count() == 62
+    assert spark.read.parquet(log).count() == 63 and keyed.responses(spark, table).count() == 62
 
 
 def test_replayed_batch_does_not_duplicate(spark, model, tmp_path):
     batch = spark.createDataFrame([(bytearray(request(i), "utf8"),) for i in range(10)], VALUE)
     scored = scoring.score(messages.requests(messages.parsed(batch)), model, "keep")
-    table = keyed.responses(spark, str(tmp_path / "table"))
+    table = str(tmp_path / "table")
     for sink in (writers.message_log(str(tmp_path / "log")), jobs.response_sink(table)):
         for _ in range(2):
             sink(scored, 0)
-    assert spark.read.parquet(str(tmp_path / "log")).count() == 10 == table.read().count()
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 10 == keyed.responses(spark, table).count()
 
 
 def test_sent_indices_are_used(spark, model, tmp_path):
@@ -144,9 +144,41 @@ def test_listener_keeps_the_latest(spark, tmp_path):
     inbox = str(tmp_path / "inbox")
     message_files(spark, inbox, ['{"UUID":"a","Timestamp":"1","Prediction":0.0}', '{"UUID":"a","Timestamp":"2","Prediction":1.0}', "x"],
                   ['{"UUID":"b","Timestamp":"1","Prediction":2.0}'])
-    table = keyed.responses(spark, str(tmp_path / "table"))
+    table = str(tmp_path / "table")
     wait(jobs.listen_responses(source(spark, inbox), table, schemas.STREAM_RESPONSE, str(tmp_path / "c"), interval=None))
-    assert rows(table.read().select("uuid", "prediction")) == [("a", 1.0), ("b", 2.0)]
+    assert rows(keyed.responses(spark, table).select("uuid", "prediction")) == [("a", 1.0), ("b", 2.0)]
+    assert not glob.glob(f"{table}/writer=batch")  # the writer is the query's own id
+
+
+def test_fresh_checkpoints_and_two_streams_share_a_table(spark, tmp_path):
+    table = str(tmp_path / "table")
+    for turn, (uuid, value) in enumerate([("a", 1.0), ("b", 2.0), ("a", 3.0)]):
+        inbox = str(tmp_path / f"inbox{turn}")
+        message_files(spark, inbox, [f'{{"UUID":"{uuid}","Timestamp":"1","Prediction":{value}}}'])
+        wait(jobs.listen_responses(source(spark, inbox), table, schemas.STREAM_RESPONSE, str(tmp_path / f"c{turn}"), interval=None))
+    assert rows(keyed.responses(spark, table).select("uuid", "prediction")) == [("a", 3.0), ("b", 2.0)]
+
+
+def test_copies_of_a_hot_id_are_combined_before_the_state(spark, tmp_path):
+    inbox, mid, out = (str(tmp_path / n) for n in ("inbox", "mid", "out"))
+    message_files(spark, inbox, [request(7) for _ in range(500)] + [request(8)])  # one source partition, one hot id
+    stream = messages.requests(messages.parsed(source(spark, inbox))).select("UUID", "Timestamp")
+    wait(jobs.combine_copies(stream, mid, str(tmp_path / "c1"), interval=None))
+    combined = spark.read.parquet(mid).select("UUID", "Timestamp")
+    assert rows(combined.select("UUID")) == [("u7",), ("u8",)]
+    again = readers.message_stream(spark, "parquet", {}, combined.schema, f"{mid}/*/*")
+    wait(jobs.to_files(jobs.unique_requests(again, "Timestamp", "1 hour"), out, str(tmp_path / "c2"), interval=None))
+    assert rows(spark.read.parquet(out).select("UUID")) == [("u7",), ("u8",)]
+
+
+def test_event_stream_reads_a_file_and_a_directory(spark, tmp_path, small):
+    from skyledger import catalog
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "dir" / "events.parquet"))
+    for n, folder in enumerate((small, str(tmp_path / "dir"))):
+        out = str(tmp_path / f"out{n}")
+        wait(jobs.to_files(catalog._event_stream(spark, folder), out, str(tmp_path / f"c{n}"), interval=None))
+        assert spark.read.parquet(out).count() == events.count()
 
 
 def test_unanswered_requests_come_out_after_the_watermark(spark, tmp_path):
