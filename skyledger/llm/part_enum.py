@@ -9,7 +9,8 @@ features in each two of the three sub-parts: similar sets share one of them, wha
 Signatures meet in buckets by a packed exchange (see ``exchange``) and come out as groups: sets that share a signature. Groups with the
 same members are one. No group is turned into all its pairs: every set is first held against one pivot of its groups, exact
 Jaccard decides, linked sets become one component, and only groups that still join several components go on. What is left
-after a few rounds is compared across components only. So no link is lost, and copies cost one comparison each.
+after a few rounds is compared across components only, where two sets share as many signatures as similar sets of their sizes
+must. So no link is lost, and copies cost one comparison each.
 
 Hot groups. Similar sets share a known least number of parts, not only one. A set with fewer hot signatures than that has a
 cold group with each of its partners and leaves its hot groups; a set that is hot almost everywhere stays in them.
@@ -17,6 +18,8 @@ cold group with each of its partners and leaves its hot groups; a set that is ho
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,14 +56,17 @@ def node(features: np.ndarray) -> int:
     return int(mixed(np.array([np.add.reduce(mixed(features + U(1))) + U(len(features))], dtype=np.uint64)).view(np.int64)[0])
 
 
-def bands(largest: int) -> list[int]:
-    """Lower bounds of the size bands: about one and a half times the one before."""
+def bounds() -> list[int]:
+    """Lower bounds of all size bands: about one and a half times the one before."""
     out = [1]
-    while out[-1] <= largest:
+    while out[-1] < 1 << 40:
         out.append(max(out[-1] + 1, out[-1] * 3 // 2))
     return out
 
 
+BANDS = bounds()
+
+
 def signatures(features: np.ndarray, percent: int):
     """``(tag, signatures, spare)`` for every band a set signs for.
 
@@ -68,13 +74,12 @@ def signatures(features: np.ndarray, percent: int):
     features. Where that is none, signatures without features are used as well, so that nothing is missed.
     """
     size, rest = len(features), 100 - percent
-    lower = bands(size)
-    own = len(lower) - 2
+    own = bisect_right(BANDS, size) - 1
     for tag in (own - 1, own):
         # Similar sizes are at least `percent` % of each other.
-        if tag < 0 or tag < own and size * percent >= 100 * lower[own]:
+        if tag < 0 or tag < own and size * percent >= 100 * BANDS[own]:
             continue
-        highest = (lower[tag + 1] if tag + 1 < len(lower) else bands(2 * size)[tag + 1]) - 1
+        highest = BANDS[tag + 1] - 1
         differ = lambda n: n * rest // percent  # noqa: E731 features in which a set of n and any similar, larger one differ at most
         if differ(min(size, highest)) == 0:
             continue  # only equal sets are similar
@@ -98,8 +103,8 @@ def set_keys(length: int):
     def run(batches):
         for batch in batches:
             sets = [shingles(text.as_py(), length) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node(s) for s in sets], pa.int64())],
-                                             ["doc_id", "n_shingles", "node"])
+            made = [pa.array([len(s) for s in sets], pa.int64()), pa.array([node(s) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, batch.column(2)], ["doc_id", "n_shingles", "node", "text_key"])
     return run
 
 
@@ -211,7 +216,7 @@ def components(links: DataFrame) -> DataFrame:
         last = tuple(state)
 
 
-def join(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
+def join(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2,
          bucket_bytes: int = 16 << 20) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs``.
 
@@ -222,20 +227,23 @@ def join(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc
     spark = docs.sparkSession
     texts = documents(docs, id_col, text_col)
     buckets = block_count(texts, bucket_bytes)
-    keys = stored(texts.select("doc_id", "text").mapInArrow(set_keys(length), "doc_id long, n_shingles long, node long"), "set-keys")
+    keyed = texts.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    keys = stored(keyed.mapInArrow(set_keys(length), "doc_id long, n_shingles long, node long, text_key long"), "set-keys")
     letters = texts.select("text").mapInArrow(sign_letters(buckets, length, percent), exchange.schema(SENT))
     found = stored(letters.groupBy("bucket").applyInArrow(groups, GROUP).groupBy("gid", "node", "tag", "hot").agg(
         F.sum("n").alias("n"), F.max("size").alias("size"), F.max("spare").alias("spare")), "groups")
     heat = found.where("hot").groupBy("node", "tag").agg(F.sum("n").alias("heat"))
-    members = found.join(heat, ["node", "tag"], "left").where("NOT hot OR heat >= spare").select("gid", "node", "size").distinct()
-    members = stored(members, "members")
+    # `need` is the least number of signatures that a set shares with a similar one in the groups that are kept.
+    need = F.greatest(F.col("spare") - F.coalesce("heat", F.lit(0)), F.lit(1)).alias("need")
+    members = stored(found.join(heat, ["node", "tag"], "left").where("NOT hot OR heat >= spare").select("gid", "node", "tag", "size", "n", need), "members")
     wanted = members.select("node").distinct()
-    first = keys.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    known = stored(texts.join(first, "doc_id").groupBy("node").agg(F.min("text").alias("text")), "set-texts")
+    first = keys.join(wanted, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("node", "row.*")
+    # A row repeated whole repeats its text here, and a pair repeats its outcome.
+    known = stored(texts.withColumn("text_key", F.xxhash64("text")).join(first, ["doc_id", "text_key"]).select("node", "text"), "set-texts")
     links = spark.createDataFrame([], "a long, b long")
     tested, labels = links, spark.createDataFrame([], "node long, component long")
     for turn in range(rounds + 1):
-        labelled = members.select("gid", "node", "size").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = members.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         state = labelled.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         members = stored(labelled.join(state.where("low <> high").select("gid"), "gid"), "open-groups")
         if members.isEmpty():
@@ -249,8 +257,9 @@ def join(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc
             pairs = members.join(pivot, "gid").where(apart & close).groupBy("node").agg(F.min("node_").alias("node_"))
         else:
             # What is left: members of one group that are in different components.
-            other = members.select("gid", F.col("node").alias("node_"), F.col("size").alias("size_"), F.col("component").alias("component_"))
-            pairs = members.join(other, "gid").where((F.col("node") < F.col("node_")) & apart & close)
+            other = members.select("gid", *[F.col(name).alias(f"{name}_") for name in ("node", "size", "component", "need")])
+            pairs = members.join(other, "gid").where((F.col("node") < F.col("node_")) & apart & close).groupBy("node", "node_", "tag").agg(
+                F.sum("n").alias("shared"), F.max(F.greatest("need", "need_")).alias("least")).where("shared >= least")
         pairs = pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
