@@ -17,35 +17,50 @@ REJECT_BELOW = 0.3
 
 def row_id():
     """The id without nulls, for joins."""
-    return F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias("_id")
+    return F.coalesce(F.col("doc_id"), F.lit(NULL_ID))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
+def matched(docs: DataFrame, verdict: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` whose id is, or is not, in ``verdict``; all their columns."""
+    name = fresh(docs, "_id")
+    ids = verdict.select(row_id().alias(name)).distinct()
+    return docs.withColumn(name, row_id()).join(ids, name, how).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects rows that the classifier scores below ``REJECT_BELOW``; it learns from all labels that are not held out."""
-    scored = compression_quality.scored(docs, queries.quality_model(spark, sf_dir), "_quality")
-    return scored.where(F.col("_quality") >= REJECT_BELOW).select(*docs.columns)
+    name = fresh(docs, "_quality")
+    scored = compression_quality.scored(docs, queries.quality_model(spark, sf_dir), name)
+    return scored.where(F.col(name) >= REJECT_BELOW).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; of a row repeated whole, one."""
-    kept = block_naming.exact_duplicates(docs).where("kept").select(row_id(), F.col("text_sha256").alias("_sha"))
+    key = [fresh(docs, "_id"), fresh(docs, "_sha")]
+    kept = block_naming.exact_duplicates(docs).where("kept").select(row_id().alias(key[0]), F.col("text_sha256").alias(key[1]))
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)
-    rows = docs.withColumns({"_id": row_id(), "_sha": sha}).dropDuplicates(["_id", "_sha"])
-    return rows.join(kept, ["_id", "_sha"], "left_semi").select(*docs.columns)
+    rows = docs.withColumns({key[0]: row_id(), key[1]: sha}).dropDuplicates(key)
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of linked texts the document with the smallest id stays."""
     groups = part_enum.join(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(row_id()).distinct()
-    return docs.withColumn("_id", row_id()).join(kept, "_id", "left_semi").select(*docs.columns)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return matched(docs, kept, "left_semi")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go; all others stay."""
     found = positional_index.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
-    gone = found.where("contaminated").select(row_id()).distinct()
-    return docs.withColumn("_id", row_id()).join(gone, "_id", "left_anti").select(*docs.columns)
+    return matched(docs, found.where("contaminated"), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,7 +52,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, text_bytes: int)
     room = F.greatest(F.octet_length("text") - text_bytes, F.lit(0)) + 1
     piece = F.substring(binary, (F.pmod(F.xxhash64("doc_id", "text"), room) + 1).cast("int"), F.lit(text_bytes))
     # The picked ids are at most 2 * per_class rows.
-    rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", piece.alias("piece"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "label", piece.alias("piece"))
     rows = rows.groupBy("doc_id", "label").agg(F.min("piece").alias("piece"))
     return [(bytes(r.piece), r.label) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
 
@@ -123,7 +123,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, text_bytes: i
 
 
 def scored(docs: DataFrame, model: Model, score_col: str = "score", text_col: str = "text") -> DataFrame:
-    """``docs`` with a score between 0 and 1 for every whole text; null texts count as empty."""
+    """``docs`` with a score between 0 and 1 for every whole text; null texts count as empty.
+
+    A column of the name ``score_col`` is replaced. Rows are scored one by one, so repeated rows repeat their score.
+    """
+    docs = docs.drop(score_col)
     schema = docs.select("*", F.lit(0.0).alias(score_col)).schema
 
     def run(batches):

@@ -38,23 +38,6 @@ _ANSWER = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *[(n, pa.bin
                      ("vocabulary", pa.int64()), ("total", pa.int64())])
 
 
-def planes(values: np.ndarray) -> bytes:
-    """The bytes of an array by significance: sorted or small numbers then compress well."""
-    return values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
-
-
-def whole(data: bytes, width: int) -> np.ndarray:
-    """Numbers of ``width`` bytes written by ``planes``."""
-    parts = np.frombuffer(data, dtype=np.uint8).reshape(width, -1)
-    out = np.zeros((parts.shape[1], 8), dtype=np.uint8)
-    out[:, :width] = parts.T
-    return out.view("<u8").ravel()
-
-
-def narrow(values: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
 @dataclass
 class Tokens:
     """All tokens of some documents: ``word`` hashes, the end of each text among them, and the pair with the token before."""
@@ -97,7 +80,7 @@ class Asked:
         """Totals per distinct word or pair from the buckets' answers."""
         out = np.zeros(len(self.words if words else self.pairs), dtype=np.int64)
         for bucket, part in self.word_deal if words else self.pair_deal:
-            out[part["at"]] = whole(answers[bucket][0 if words else 1], 8)
+            out[part["at"]] = exchange.whole(answers[bucket][0 if words else 1], 8)
         return out
 
 
@@ -118,11 +101,11 @@ def question(tokens: Tokens, block: int, buckets: int, role: np.ndarray) -> list
     rows: dict[int, dict] = {}
     for bucket, part in asked.word_deal:
         at = part["at"]
-        rows[bucket] = dict.fromkeys(SENT, b"") | {"words": planes(asked.words[at]), "word_counts": planes(made[0][0][at]), "word_deleted": planes(made[1][0][at])}
+        rows[bucket] = dict.fromkeys(SENT, b"") | {"words": exchange.planes(asked.words[at]), "word_counts": exchange.planes(made[0][0][at]), "word_deleted": exchange.planes(made[1][0][at])}
     for bucket, part in asked.pair_deal:
         at = part["at"]
         rows.setdefault(bucket, dict.fromkeys(SENT, b"")).update(
-            pairs=narrow(asked.pairs[at] >> U(24), 5), pair_counts=planes(made[0][1][at]), pair_deleted=planes(made[1][1][at]))
+            pairs=exchange.narrow(asked.pairs[at] >> U(24), 5), pair_counts=exchange.planes(made[0][1][at]), pair_deleted=exchange.planes(made[1][1][at]))
     return [(bucket, block, row) for bucket, row in rows.items()]
 
 
@@ -146,13 +129,13 @@ def totals(blocks: int):
         block = table.column("block").to_pylist()
         out = {"bucket": [key[0].as_py()] * len(block), "block": block, "vocabulary": [0] * len(block), "total": [0] * len(block)}
         for kind, width in (("word", 8), ("pair", 5)):
-            keys = [whole(x, width) for x in got[f"{kind}s"]]
+            keys = [exchange.whole(x, width) for x in got[f"{kind}s"]]
             cuts = np.cumsum([len(x) for x in keys])[:-1]
             values, at = np.unique(np.concatenate(keys), return_inverse=True)
             for which in ("counts", "deleted"):
-                each = np.concatenate([whole(x, 8) for x in got[f"{kind}_{which}"]]).astype(np.int64)
+                each = np.concatenate([exchange.whole(x, 8) for x in got[f"{kind}_{which}"]]).astype(np.int64)
                 sums = counts(at, len(values), each)
-                answer = [planes(x) for x in np.split(sums[at], cuts)]
+                answer = [exchange.planes(x) for x in np.split(sums[at], cuts)]
                 if which == "counts":
                     out[f"{kind}s"] = answer
                     if kind == "word":

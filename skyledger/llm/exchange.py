@@ -62,3 +62,21 @@ def received(table: pa.Table, **columns: str) -> tuple[np.ndarray, dict[str, np.
 def texts_of(table: pa.Table) -> list[tuple[int, str]]:
     """The distinct ``(doc_id, text)`` rows of a block, by id and text: the same order in every step."""
     return sorted(set(zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), strict=True)))
+
+
+def planes(values: np.ndarray) -> bytes:
+    """The bytes of an array by significance: sorted or small numbers then compress well."""
+    return values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
+
+
+def whole(data: bytes, width: int) -> np.ndarray:
+    """Numbers of ``width`` bytes written by ``planes``."""
+    parts = np.frombuffer(data, dtype=np.uint8).reshape(width, -1)
+    out = np.zeros((parts.shape[1], 8), dtype=np.uint8)
+    out[:, :width] = parts.T
+    return out.view("<u8").ravel()
+
+
+def narrow(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of 64-bit numbers, by significance."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()

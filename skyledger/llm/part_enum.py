@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import exchange
 from skyledger.llm.common import block_count, documents, public_id, stored
-from skyledger.llm.deleted_interpolation import narrow, planes, whole
+from skyledger.llm.exchange import narrow, planes, whole
 from skyledger.llm.rolling import Slices, mixed, word_bounds, word_pieces
 
 U = np.uint64

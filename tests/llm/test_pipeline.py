@@ -48,7 +48,7 @@ def test_nulls_repeats_ties_and_names(spark, small):
     from tests.llm.conftest import prose
     root = prose(1, 100, 4000)
     texts = [root, root, edited(rng, root, 1), None, None, "", "x y", "x y", "x y", prose(2, 300, 50)]
-    docs = corpus(spark, texts, [1, 2, 3, 4, None, 6, 7, 7, 8, 9]).withColumn("_bucket", F.lit(1)).withColumn("name", F.lit("n"))
+    docs = corpus(spark, texts, [1, 2, 3, 4, None, 6, 7, 7, 8, 9]).withColumn("_id", F.lit(1)).withColumn("_SHA", F.lit(2)).withColumn("name", F.lit("n"))
     exact = pipeline.exact_dedup(spark, docs, small)
     assert exact.columns == docs.columns
     assert sorted(r.doc_id for r in exact.collect()) == [2, 3, 6, 8, 9]
