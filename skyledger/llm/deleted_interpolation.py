@@ -40,10 +40,13 @@ _ANSWER = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *[(n, pa.bin
 
 @dataclass
 class Tokens:
-    """All tokens of some documents: ``word`` hashes, the end of each text among them, and the pair with the token before."""
+    """All tokens of some documents: ``word`` hashes, the end of each text among them, and the pair with the token before.
+
+    ``first`` is where each text starts; the token before it is the start mark.
+    """
     word: np.ndarray
     pair: np.ndarray
-    context: np.ndarray
+    first: np.ndarray
     lengths: np.ndarray
 
     def __init__(self, texts: list[str]):
@@ -60,9 +63,10 @@ class Tokens:
         inner[ends] = False
         if hashes:
             self.word[inner] = np.concatenate(hashes)
-        self.context = np.roll(self.word, 1)
-        self.context[np.concatenate(([0], ends[:-1] + 1)) if len(ends) else []] = START
-        self.pair = mixed(self.context * U(3) + self.word * U(0x9FB21C651E98DF25))
+        self.first = ends + 1 - self.lengths
+        context = np.roll(self.word, 1)
+        context[self.first] = START
+        self.pair = mixed(context * U(3) + self.word * U(0x9FB21C651E98DF25))
 
 
 @dataclass
@@ -70,8 +74,10 @@ class Asked:
     """Distinct words and pairs of some tokens, where each token's are, and the deal over buckets."""
 
     def __init__(self, tokens: Tokens, buckets: int):
-        self.words, at = np.unique(np.concatenate((tokens.word, tokens.context)), return_inverse=True)
-        self.word_at, self.context_at = at[:len(tokens.word)], at[len(tokens.word):]
+        self.words, at = np.unique(np.append(tokens.word, START), return_inverse=True)
+        self.word_at, self.start_at = at[:-1], int(at[-1])
+        self.context_at = np.roll(self.word_at, 1)
+        self.context_at[tokens.first] = self.start_at
         self.pairs, self.pair_at = np.unique(tokens.pair, return_inverse=True)
         self.word_deal = exchange.parcels((self.words >> U(32)) % U(buckets), at=np.arange(len(self.words)))
         self.pair_deal = exchange.parcels(self.pairs % U(buckets), at=np.arange(len(self.pairs)))
@@ -92,11 +98,11 @@ def question(tokens: Tokens, block: int, buckets: int, role: np.ndarray) -> list
     """Rows for the buckets: distinct n-grams, how often each stands in training texts, and in deleted ones."""
     asked = Asked(tokens, buckets)
     each = np.repeat(role, tokens.lengths)
-    first = tokens.context == START
     made = []
     for wanted in ((each != UNSEEN), (each == DELETED)):
         # A context is counted as the word it is; the start, which is no word, once per text.
-        word = counts(asked.word_at, len(asked.words), wanted) + counts(asked.context_at, len(asked.words), wanted & first)
+        word = counts(asked.word_at, len(asked.words), wanted)
+        word[asked.start_at] = wanted[tokens.first].sum()
         made.append((word, counts(asked.pair_at, len(asked.pairs), wanted)))
     rows: dict[int, dict] = {}
     for bucket, part in asked.word_deal:
@@ -221,9 +227,8 @@ def scorer(blocks: int, mix: np.ndarray, vocabulary: int, total: int):
         base = np.log10((c + 0.5) / (total + 0.5 * (vocabulary + 1)))
         own = mix[level(context)]
         score = np.log10(own[:, 0] * ratio(pair[asked.pair_at], context) + own[:, 1] * ratio(c, total) + own[:, 2] / (vocabulary + 1))
-        first = np.cumsum(tokens.lengths) - tokens.lengths
         ids = [None if i == NULL_ID else i for i in table.column("doc_id").to_pylist()]
-        sums = [np.add.reduceat(x, first) for x in ((c > 0).astype(np.int64), base, score)]
+        sums = [np.add.reduceat(x, tokens.first) for x in ((c > 0).astype(np.int64), base, score)]
         return pa.table([pa.array(x, kind) for x, kind in zip([ids, table.column("role").to_pylist(), tokens.lengths, *sums], kinds, strict=True)], names=names)
     return run
 
