@@ -130,11 +130,11 @@ ORACLES = {
             FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM doc WHERE len(w) > 0)),
         size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
         link AS (
-            SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM gram x JOIN gram y USING (g) GROUP BY ALL) p
-            JOIN size s ON s.doc_id = a JOIN size t ON t.doc_id = b WHERE 100 * both >= 80 * (s.n + t.n - both)),
+            SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM gram x JOIN gram y USING (g) GROUP BY ALL) p
+            JOIN size s ON s.doc_id = a JOIN size t ON t.doc_id = b WHERE 100 * shared >= 80 * (s.n + t.n - shared)),
         reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
-        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, doc_id) AS component_id
-        FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) r ON r.a = doc_id
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, doc_id) AS component_id
+        FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) r ON r.a = doc_id
     """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
