@@ -4,7 +4,8 @@ Templates (bare phrases and the opening lines of licences) are cut into word pai
 pair of every document is joined to them by hash, and a hit is confirmed on the words themselves. A hit votes for its
 diagonal, the difference of document and template position; votes are counted per document, template and diagonal,
 neighbouring diagonals of a template are merged (words were added or lost), and a merged span is verified by the share of the
-template that it covers. A bare phrase must be covered entirely on one diagonal.
+template that it covers. A bare phrase (the base phrases, and texts too short to lose a pair) must be covered entirely on one
+diagonal.
 """
 
 from __future__ import annotations
@@ -28,10 +29,11 @@ class Template:
     label: str
     text: str
     base: bool = False
+    whole: bool = False
 
 
 # The base phrases.
-BASE = [Template("mit", "mit license", True), Template("apache", "apache license", True), Template("gpl", "general public license", True)]
+BASE = [Template("mit", "mit license", True, True), Template("apache", "apache license", True, True), Template("gpl", "general public license", True, True)]
 # Short characteristic lines of public licences.
 TEXTS = [
     Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -43,7 +45,7 @@ TEXTS = [
     Template("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     Template("cc-by-sa", "Licensed under CC BY-SA 4.0"),
     Template("cc-by", "Licensed under a Creative Commons Attribution 4.0 International License"),
-    Template("proprietary", "Copyright. All rights reserved"),
+    Template("proprietary", "All rights reserved", whole=True),
 ]
 END = " "  # stands behind the last word of every document and in the template of document ends; no word contains it
 
@@ -89,14 +91,15 @@ def spans(votes: DataFrame, templates: list[Template], needed: dict[int, int], c
     other within ``gap`` words become one span, which stands if it holds ``coverage`` of the template's pairs.
     """
     table = votes.sparkSession.createDataFrame(
-        [(n, needed[n], t.base, t.label) for n, t in enumerate(templates)], "template int, needed int, base boolean, label string")
+        [(n, needed[n], t.base, t.whole, t.label) for n, t in enumerate(templates)],
+        "template int, needed int, base boolean, whole boolean, label string")
     known = votes.join(F.broadcast(table), "template")
-    whole = known.where("base AND votes = needed").select(
+    whole = known.where("whole AND votes = needed").select(
         "doc_id", "text_key", "template", "label", "base", F.col("diagonal").alias("start"), F.lit(1.0).alias("covered"))
     order = W.partitionBy("doc_id", "text_key", "template").orderBy("low", "diagonal")
     fresh = (F.coalesce(F.col("low") - F.lag("high").over(order) > gap, F.lit(True))
              | F.coalesce(F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > drift, F.lit(True)))
-    merged = known.where("NOT base").withColumn("span", F.sum(fresh.cast("int")).over(order)).groupBy(
+    merged = known.where("NOT whole").withColumn("span", F.sum(fresh.cast("int")).over(order)).groupBy(
         "doc_id", "text_key", "template", "label", "base", "needed", "span").agg(
         F.min("low").cast("int").alias("start"), F.least(F.sum("votes") / F.col("needed"), F.lit(1.0)).alias("covered"))
     return whole.unionByName(merged.where(F.col("covered") >= coverage).select(*whole.columns))
@@ -104,7 +107,7 @@ def spans(votes: DataFrame, templates: list[Template], needed: dict[int, int], c
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coverage: float = 0.7, drift: int = 4,
            gap: int = 12) -> DataFrame:
-    """Base places, labels and a score per document: 0 without a licence, the coverage of the best text, or 0.8 for a phrase.
+    """Base places, labels and a score per document: 0 without a licence, the coverage of the best text, or 0.8 for a base phrase.
 
     A row repeated whole (same id and text) is one document; a document without words has no places and a score of 0.
     """

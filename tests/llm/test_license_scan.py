@@ -33,6 +33,13 @@ def test_texts_by_merged_diagonals(spark):
     assert rows[1].labels == "" and rows[2].labels == "bsd" and rows[2].score == 1.0 and rows[3].score == 0.0
 
 
+def test_notice_alone_and_behind_year_and_name(spark):
+    texts = ["All rights reserved.", "Copyright 2020 Acme. All rights reserved.", "Copyright. All rights reserved", "all rights are reserved, rights reserved"]
+    rows = {r.doc_id: r for r in scan.report(corpus(spark, texts)).collect()}
+    assert all((rows[i].labels, rows[i].score, rows[i].n_base, rows[i].base_labels) == ("proprietary", 1.0, 0, "") for i in range(3))
+    assert rows[3].labels == "" and rows[3].score == 0.0
+
+
 def test_repeated_null_ids_and_empty(spark):
     df = corpus(spark, ["mit license", "mit license", "apache license", None], [7, 7, 7, None]).selectExpr("*", "1 AS words", "2 AS pos")
     got = sorted((r.doc_id or -1, r.labels, r.n_words) for r in scan.report(df).collect())
