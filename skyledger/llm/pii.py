@@ -6,6 +6,9 @@ length of the pieces between the matches (``split``) and of the matches before (
 A pattern with a repeated group recurses in the regular-expression engine and fails on long runs. The inner separators of
 numbers and host names are therefore first replaced, one character for one, by a private mark wherever they stand between two
 members; the patterns then need character classes only. Marks already in the text are blanked out before.
+
+An account number is as long as its country code says, whatever word follows it. Its pattern looks ahead only, so a proposal that
+the checksum rejects does not hide one that begins inside it.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ class Kind:
     confidence: float
     context: tuple[str, ...] = field(default=())
     context_only: bool = False
+    ahead: bool = False  # the pattern is without width, its first group holds the value
 
 
 def _digits(value: Column) -> Column:
@@ -56,6 +60,24 @@ def _digit_count(low: int, high: int):
     return lambda value: F.length(_digits(value)).between(low, high)
 
 
+# Characters of an account number by country code.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+
+
+def iban_pattern() -> str:
+    """Places where an account number may begin: of the length of its country, or the longest for a code without one."""
+    codes = lambda listed: listed.replace(" ", "|")
+    known = [f"(?:{codes(listed)})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+             for n, listed in IBAN_LENGTHS.items()]
+    other = f"(?!{codes(' '.join(IBAN_LENGTHS.values()))})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return f"(?<![A-Z0-9])(?=((?:{'|'.join([*known, other])})(?![A-Z0-9])))"
+
+
 # The base kinds, their order in a listing, patterns and limits.
 KINDS = [
     Kind("email", "(?:(?<![A-Za-z0-9._%+\ue001-])|\\G)[A-Za-z0-9._%+\ue001-]+@[A-Za-z0-9-]+\ue001[A-Za-z0-9\ue001-]+", "dots", "@",
@@ -66,8 +88,8 @@ KINDS = [
     Kind("card", "[0-9][0-9]{10,}[0-9]", "digits", "", lambda v: _digit_count(12, 19)(v) & luhn(v), True, 0.7,
          ("card", "visa", "credit", "payment")),
     Kind("phone", "\\+[0-9][\\x20().0-9-]+[0-9]", "text", "+", _digit_count(9, 15), True, 0.7, ("phone", "tel", "call", "mobile")),
-    Kind("iban", "(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])", "text", "",
-         lambda v: F.length(F.regexp_replace(v, " ", "")).between(15, 34) & mod97(v), False, 0.8, ("iban", "account", "bank")),
+    Kind("iban", iban_pattern(), "text", "",
+         lambda v: F.length(F.regexp_replace(v, " ", "")).between(15, 34) & mod97(v), False, 0.8, ("iban", "account", "bank"), ahead=True),
     Kind("ssn", "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "text", "-",
          lambda v: ~v.rlike("^(?:000|666|9)|-00-|-0000$"), False, 0.4, ("ssn", "social", "security"), True),
 ]
@@ -96,13 +118,17 @@ def _worth(text: Column, kind: Kind) -> Column:
 def _proposed(kind: Kind, number: int) -> Column:
     """All matches as ``(start, kind, stop, value)``; confirmed ones only."""
     shown = _view(F.col("text"), kind.view)
-    between, found = F.split(shown, kind.pattern, -1), F.regexp_extract_all(shown, F.lit(kind.pattern), 0)
+    # A match without width at the very beginning does not split, so a blank goes before it.
+    between = F.split(F.concat(F.lit(" "), shown) if kind.ahead else shown, kind.pattern, -1)
+    found = F.regexp_extract_all(shown, F.lit(kind.pattern), int(kind.ahead))
+    passed = lambda s: F.lit(0) if kind.ahead else F.length(s["value"])
     steps = F.arrays_zip(F.transform(between, lambda x: F.length(x)).alias("gap"), found.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,stop:int,value:string>>").alias("spans"))
+    start = F.struct(F.lit(-int(kind.ahead)).alias("at"),
+                     F.array().cast("array<struct<start:int,kind:int,stop:int,value:string>>").alias("spans"))
     walked = F.aggregate(
         steps, start,
         lambda a, s: F.when(s["value"].isNull(), a).otherwise(F.struct(
-            (a["at"] + s["gap"] + F.length(s["value"])).alias("at"),
+            (a["at"] + s["gap"] + passed(s)).alias("at"),
             F.concat(a["spans"], F.array(F.struct(
                 (a["at"] + s["gap"]).alias("start"), F.lit(number).alias("kind"),
                 (a["at"] + s["gap"] + F.length(s["value"])).alias("stop"),

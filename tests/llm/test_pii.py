@@ -62,6 +62,21 @@ def test_added_kinds_scores_and_redaction(spark):
     assert text[0] == "my IBAN [IBAN]" and text[4] == "mail [EMAIL]" and text[3] == "part 123-45-6789"
 
 
+def test_account_numbers_end_where_their_country_says(spark):
+    texts = {
+        "BE68 5390 0754 7034 EUR 250": ["BE68 5390 0754 7034"], "ES9121000418450200051332 2024": ["ES9121000418450200051332"],
+        "to AT61 1904 3002 3457 3201 BIC1, PL61 1090 1014 0000 0712 1981 2874 A": ["AT61 1904 3002 3457 3201", "PL61 1090 1014 0000 0712 1981 2874"],
+        "BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00 NO93 8601 1117 947": ["BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"],
+        "BE12 BE68 5390 0754 7034": ["BE68 5390 0754 7034"], "ZZ12 BE68 5390 0754 7034 X": ["BE68 5390 0754 7034"],
+        "\U0001f600 é MT84 MALT 0110 0001 2345 MTLC AST0 01S US": ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"],
+        "BE68 5390 0754 7035 EUR": [], "BE68 5390 0754 703": [], "BE685390075470341": [], "xBE68539007547034 ABE68539007547034": ["BE68539007547034"],
+    }
+    rows = {r.doc_id: r.spans for r in pii.report(corpus(spark, list(texts))).collect()}
+    for i, (text, want) in enumerate(texts.items()):
+        got = [tuple(map(int, s.split(":")[1:])) for s in rows[i].split(",") if s.startswith("iban")]
+        assert [text[a:b] for a, b in got] == want, text
+
+
 def test_no_python_and_empty(spark):
     df = pii.report(corpus(spark, []))
     assert df.count() == 0 and "Python" not in df._jdf.queryExecution().toString()
