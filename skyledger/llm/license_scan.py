@@ -11,8 +11,10 @@ diagonal.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,7 +67,7 @@ def template_pairs(spark: SparkSession, templates: list[Template]) -> DataFrame:
 
 
 def scan(docs: DataFrame, templates: list[Template]) -> tuple[DataFrame, dict[int, int]]:
-    """Votes ``(doc_id, text_key, template, diagonal, votes, low, high)`` and the pairs of every template.
+    """Votes ``(doc_id, text_key, template, diagonal, ats, low, high)`` and the pairs of every template; ``ats`` are the pairs hit.
 
     Template -1 is the end of a document: its only vote stands at the number of words.
     """
@@ -80,29 +82,72 @@ def scan(docs: DataFrame, templates: list[Template]) -> tuple[DataFrame, dict[in
     hits = rolling.withColumn("pair", F.xxhash64(first, second)).join(F.broadcast(seeds), "pair").where(
         (first == F.col("first_word")) & ((second == F.col("second_word")) | (F.col("template") == -1)))
     votes = hits.groupBy("doc_id", "text_key", "template", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
-        F.countDistinct("at").alias("votes"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+        F.collect_set("at").alias("ats"), F.min("pos").alias("low"), F.max("pos").alias("high"))
     return votes, needed
 
 
+def chained(rows: Iterable[tuple], drift: int, gap: int) -> Iterator[tuple]:
+    """Spans ``(key, start, pairs)`` of diagonals ``(key, diagonal, low, high, ats)`` that lie in order of key and ``low``.
+
+    A diagonal joins every span that has one within ``drift`` words of it that ended at most ``gap`` words before. A pair that
+    several diagonals hit counts once. No more than the diagonals around one place are held: each is as long as its template.
+    """
+    current, held = None, []  # spans: start, pairs, diagonals that a later one may still join
+    for key, diagonal, low, high, ats in rows:
+        if key != current:
+            yield from ((current, start, len(pairs)) for start, pairs, _ in held)
+            current, held = key, []
+        mine, others = (low, set(ats), [(diagonal, high)]), []
+        for start, pairs, members in held:
+            members = [m for m in members if low - m[1] <= gap]
+            if not members:
+                yield current, start, len(pairs)
+            elif any(abs(diagonal - m[0]) <= drift for m in members):
+                mine = (min(start, mine[0]), pairs | mine[1], members + mine[2])
+            else:
+                others.append((start, pairs, members))
+        held = [*others, mine]
+    yield from ((current, start, len(pairs)) for start, pairs, _ in held)
+
+
 def spans(votes: DataFrame, templates: list[Template], needed: dict[int, int], coverage: float, drift: int, gap: int) -> DataFrame:
     """Verified spans ``(doc_id, text_key, template, label, base, start, covered)``; ``start`` is a word from 0.
 
-    A phrase needs all its votes on one diagonal. For texts, diagonals that differ by at most ``drift`` words and follow each
-    other within ``gap`` words become one span, which stands if it holds ``coverage`` of the template's pairs.
+    A phrase needs all its pairs on one diagonal. For texts, diagonals that differ by at most ``drift`` words and follow each
+    other within ``gap`` words become one span, whatever lies between them, which stands if it holds ``coverage`` of the
+    template's pairs.
     """
     table = votes.sparkSession.createDataFrame(
         [(n, needed[n], t.base, t.whole, t.label) for n, t in enumerate(templates)],
         "template int, needed int, base boolean, whole boolean, label string")
     known = votes.join(F.broadcast(table), "template")
-    whole = known.where("whole AND votes = needed").select(
+    whole = known.where(F.col("whole") & (F.size("ats") == F.col("needed"))).select(
         "doc_id", "text_key", "template", "label", "base", F.col("diagonal").alias("start"), F.lit(1.0).alias("covered"))
-    order = W.partitionBy("doc_id", "text_key", "template").orderBy("low", "diagonal")
-    fresh = (F.coalesce(F.col("low") - F.lag("high").over(order) > gap, F.lit(True))
-             | F.coalesce(F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > drift, F.lit(True)))
-    merged = known.where("NOT whole").withColumn("span", F.sum(fresh.cast("int")).over(order)).groupBy(
-        "doc_id", "text_key", "template", "label", "base", "needed", "span").agg(
-        F.min("low").cast("int").alias("start"), F.least(F.sum("votes") / F.col("needed"), F.lit(1.0)).alias("covered"))
-    return whole.unionByName(merged.where(F.col("covered") >= coverage).select(*whole.columns))
+    key = ["doc_id", "text_key", "template"]
+    # Where all diagonals of a template together have too few pairs, no span of them has enough.
+    enough = F.sum(F.size("ats")).over(W.partitionBy(*key)) / F.col("needed") >= coverage
+    rows = known.where("NOT whole").repartition(*key).withColumn("enough", enough).where("enough").select(
+        *key, "diagonal", "low", "high", "ats").sortWithinPartitions(*key, "low", "diagonal")
+
+    def run(batches):
+        values = (row for batch in batches for row in zip(*(batch.column(n).to_pylist() for n in range(7)), strict=True))
+        out = []
+        for (doc, text, template), start, pairs in chained(((row[:3], *row[3:]) for row in values), drift, gap):
+            if pairs / needed[template] >= coverage:
+                out.append((doc, text, template, start, pairs / needed[template]))
+            if len(out) == 10_000:
+                yield batch_of(out)
+                out = []
+        if out:
+            yield batch_of(out)
+
+    def batch_of(out):
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                          names=[*key, "start", "covered"])
+
+    merged = rows.mapInArrow(run, "doc_id long, text_key long, template int, start int, covered double")
+    return whole.unionByName(merged.join(F.broadcast(table), "template").select(*whole.columns))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coverage: float = 0.7, drift: int = 4,

@@ -40,6 +40,23 @@ def test_notice_alone_and_behind_year_and_name(spark):
     assert rows[3].labels == "" and rows[3].score == 0.0
 
 
+def test_strays_do_not_break_a_span(spark):
+    apache = scan.TEXTS[1].text.replace("may not use", "may not ever use")
+    pairs = len(scan.words_of(scan.TEXTS[1].text)) - 1
+    texts = [apache, "plain words", "this software " * 40, "the license " * 40]
+    rows = {r.doc_id: r for r in scan.report(corpus(spark, texts)).collect()}
+    assert rows[0].labels == "apache" and abs(rows[0].score - (pairs - 1) / pairs) < 1e-9
+    assert rows[2].labels == "" and rows[2].score == 0.0  # one pair, however often, covers no more of a template
+    assert rows[3].labels == "" and rows[3].score == 0.0
+
+
+def test_chain_reaches_past_strays_and_counts_pairs_once():
+    rows = [("a", 0, 0, 8, range(8)), ("a", 12, 5, 5, [3]), ("a", 1, 10, 20, range(9, 18)), ("a", 2, 60, 70, range(10)),
+            ("b", 0, 0, 3, [0, 1]), ("b", 5, 1, 3, [7]), ("b", 3, 4, 6, [1, 2]), ("b", 3, 90, 91, [2])]
+    assert sorted(scan.chained(rows, 4, 12)) == [("a", 0, 17), ("a", 5, 1), ("a", 60, 10), ("b", 0, 4), ("b", 90, 1)]
+    assert list(scan.chained([], 4, 12)) == []
+
+
 def test_repeated_null_ids_and_empty(spark):
     df = corpus(spark, ["mit license", "mit license", "apache license", None], [7, 7, 7, None]).selectExpr("*", "1 AS words", "2 AS pos")
     got = sorted((r.doc_id or -1, r.labels, r.n_words) for r in scan.report(df).collect())
