@@ -38,8 +38,9 @@ class Model:
         return self.scores[at - 1] + share * (self.scores[at] - self.scores[at - 1])
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int, text_bytes: int) -> list[tuple[bytes, int]]:
-    """At most ``per_class`` texts of each label, chosen by a hash of the id, each cut to ``text_bytes`` around a hashed place.
+def sample(docs: DataFrame, labels: DataFrame, per_class: int, text_bytes: int) -> list[tuple[object, bytes, int]]:
+    """Id, piece and label of at most ``per_class`` texts of each label, chosen by a hash of the id; a piece is cut to
+    ``text_bytes`` around a hashed place.
 
     This bounds what the driver holds while it fits: ``2 * per_class * text_bytes`` bytes.
     """
@@ -54,7 +55,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, text_bytes: int)
     # The picked ids are at most 2 * per_class rows.
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "label", piece.alias("piece"))
     rows = rows.groupBy("doc_id", "label").agg(F.min("piece").alias("piece"))
-    return [(bytes(r.piece), r.label) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    return [(r.doc_id, bytes(r.piece), r.label) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
 
 
 def dictionary(texts: list[bytes], size: int, chunk: int = 1024) -> bytes:
@@ -82,6 +83,22 @@ def difference(text: bytes, good, bad) -> float:
     return (len(bad.compress(text)) - len(good.compress(text))) / math.sqrt(len(text) + 1)
 
 
+def differences(docs: DataFrame, picked: list[tuple[object, int]], good: bytes, bad: bytes) -> list[tuple[float, int]]:
+    """Difference and label of the ``picked`` ids, on whole texts. Texts stay in the tasks; a number per id comes back."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    ids = docs.sparkSession.createDataFrame(picked, f"doc_id {id_type}, label int")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
+
+    def run(batches):
+        pair = compressors(good, bad)
+        for batch in batches:
+            values = [difference(text.as_py().encode(), *pair) for text in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values, pa.float64())], ["doc_id", "label", "difference"])
+
+    found = rows.mapInArrow(run, f"doc_id {id_type}, label int, difference double")
+    return [(r.difference, r.label) for r in found.groupBy("doc_id", "label").agg(F.min("difference").alias("difference")).collect()]
+
+
 def isotonic(points: list[tuple[float, int]], prior: float) -> tuple[tuple[float, ...], tuple[float, ...]]:
     """Non-decreasing share of label 1 over the difference: pool adjacent violators over runs of at least 20 points."""
     points = sorted(points)
@@ -101,19 +118,21 @@ def isotonic(points: list[tuple[float, int]], prior: float) -> tuple[tuple[float
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, text_bytes: int = 8192, dictionary_bytes: int = 49_152) -> Model:
-    """Fit on a bounded sample of labelled rows (see ``sample``): every second text builds a dictionary, the others calibrate.
+    """Fit on a bounded sample of labelled rows (see ``sample``): every second text builds a dictionary with its
+    piece, the others calibrate as they are scored, whole.
 
     ``labels`` is ``(doc_id, quality)``; rows with a null in either, or with another quality than 0 or 1, are left out. A class
     without texts leaves the score at the share of the other.
     """
-    rows = sample(docs.where("doc_id IS NOT NULL AND text IS NOT NULL"), labels.where("doc_id IS NOT NULL"), per_class, text_bytes)
-    of = {label: [text for text, y in rows if y == label] for label in (0, 1)}
-    build = {label: texts[::2] for label, texts in of.items()}
+    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    rows = sample(docs, labels.where("doc_id IS NOT NULL"), per_class, text_bytes)
+    of = {label: [(doc_id, text) for doc_id, text, y in rows if y == label] for label in (0, 1)}
+    build = {label: [text for _, text in texts[::2]] for label, texts in of.items()}
     good, bad = dictionary(build[1], dictionary_bytes), dictionary(build[0], dictionary_bytes)
-    pair = compressors(good, bad)
     # Both classes weigh as they stand in the labels, not as in the sample.
     totals = {r.quality: r["count"] for r in labels.where("quality IN (0, 1)").groupBy("quality").count().collect()}
-    held = {label: [difference(text, *pair) for text in of[label][1::2]] for label in (0, 1)}
+    points = differences(docs, [(doc_id, label) for label in (0, 1) for doc_id, _ in of[label][1::2]], good, bad)
+    held = {label: [d for d, y in points if y == label] for label in (0, 1)}
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if not held[0] or not held[1]:
         return Model(good, bad, (0.0,), (share if totals else 0.5,))

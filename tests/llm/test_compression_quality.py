@@ -33,3 +33,16 @@ def test_one_class_or_no_labels(spark):
     one = quality.fit(docs, spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int"))
     none = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert one.score(0.0) == 1.0 and none.score(0.0) == 0.5
+
+
+def test_calibrated_on_whole_texts(spark):
+    texts = {i: " ".join(f"{'good' if i % 2 else 'bad'}{(i * 7 + j) % 50}" for j in range(3000)) for i in range(80)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    model = quality.fit(docs, labels, text_bytes=500)
+    pair = quality.compressors(model.good, model.bad)
+    rows = quality.sample(docs, labels, 3000, 500)
+    held = [(doc_id, y) for label in (0, 1) for doc_id, _, y in [r for r in rows if r[2] == label][1::2]]
+    known = [(quality.difference(texts[doc_id].encode(), *pair), y) for doc_id, y in held]
+    assert sorted(quality.differences(docs, held, model.good, model.bad)) == sorted(known)
+    assert model.knots == quality.isotonic(known, 0.5)[0]
