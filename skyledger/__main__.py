@@ -126,7 +126,7 @@ def status_stream(spark: SparkSession, args) -> None:
         sides.append(stream.select(fields).select("m.UUID", F.col("m.Timestamp").alias(name), F.col("m.Prediction").alias(f"{name}_prediction")))
     paired = jobs.request_response(*sides, "asked_at", "answered_at", args.wait, args.delay, "left_outer")
     made = paired.select(F.col("request_uuid").alias("UUID"), F.when(F.col("response_uuid").isNull(), "WAIT").otherwise("OK").alias("status"),
-                         F.col("answered_at_prediction").alias("Prediction"))
+                         F.col("answered_at_prediction").alias("Prediction"), F.col("answered_at").alias("AnsweredAt"))
     jobs.to_files(made, args.out, args.checkpoint, args.interval).awaitTermination()
 
 

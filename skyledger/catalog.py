@@ -633,9 +633,9 @@ FROM (SELECT r.*, e.user_id, e.value, row_number() OVER (PARTITION BY UUID ORDER
 
 
 def _upserted(spark, sf_dir) -> DataFrame:
-    """Second answers by one writer, first ones by another that started earlier, and a batch sent twice, as after a restart.
+    """First answers by one writer, second ones by another, and both batches sent again, the older one last, as after a restart.
 
-    All writers start with batch 0. Answers carry their own time, so within one write the later answer wins.
+    All writers start with batch 0. Answers carry their own time, so the later answer wins whenever it was written.
     """
     path = session.work_folder(spark, "responses")
     rows = _responses(spark, sf_dir)
@@ -643,6 +643,7 @@ def _upserted(spark, sf_dir) -> DataFrame:
     keyed.append(sent(0), path, "first", 0)
     keyed.append(sent(1), path, "second", 0)
     keyed.append(sent(1), path, "second", 0)
+    keyed.append(sent(0), path, "first", 0)
     return keyed.responses(spark, path)
 
 
@@ -653,10 +654,16 @@ def latest_response_upsert(spark, sf_dir):
 
 @query("responses", sql=_LATEST_SQL)
 def responses_compacted(spark, sf_dir):
-    """Old rows and new rows to the latest per id, as a batch job merges them."""
+    """Several writes folded into one place, the older answers written again afterwards and folded once more."""
+    path = session.work_folder(spark, "responses")
     rows = _responses(spark, sf_dir)
     old, new = (keyed.response_rows(_response_messages(rows.where(F.col("copy") == copy))) for copy in (0, 1))
-    return keyed.merged(old, new, keyed.RESPONSE_KEY, keyed.RESPONSE_ORDER)
+    for batch, sent in enumerate((old, new, old)):
+        keyed.append(sent, path, "first", batch)
+    keyed.compact(spark, path, keyed.RESPONSE_KEY, keyed.RESPONSE_ORDER)
+    keyed.append(old, path, "first", 1)
+    keyed.compact(spark, path, keyed.RESPONSE_KEY, keyed.RESPONSE_ORDER)
+    return spark.read.parquet(path).drop("writer", "batch")
 
 
 @query("responses", sql=f"SELECT uuid, prediction FROM ({_LATEST_SQL}) WHERE uuid = '40'")
@@ -1107,15 +1114,14 @@ def stream_equals_batch(spark, sf_dir):
 
 
 @query("requests", "responses", sql="""
-SELECT DISTINCT r.UUID AS request_uuid, r.Carrier, p.UUID AS response_uuid
+SELECT r.UUID AS request_uuid, any_value(r.Carrier) AS Carrier, min_by(p.Prediction, p.ResponseTime) AS Prediction,
+ strftime(min(p.ResponseTime), '%Y-%m-%d %H:%M:%S') AS ResponseTime
 FROM requests r JOIN responses p ON r.UUID = p.UUID AND p.ResponseTime >= r."Timestamp"
- AND p.ResponseTime <= r."Timestamp" + INTERVAL 605 SECOND""")
+ AND p.ResponseTime <= r."Timestamp" + INTERVAL 10 MINUTE GROUP BY r.UUID""")
 def stream_status_join(spark, sf_dir):
-    """Repeated requests and repeated answers: one pair per request that was answered in time.
-
-    Which of two answers arrives first is not fixed, so the pair is compared by its ids; both lie on one side of the bound.
-    """
+    """Repeated requests and answers, answers on both sides of the bound: the earliest answer in time of every request that has one."""
     asked = _repeated(fixtures.request_rows(_event_stream(spark, sf_dir)).select("UUID", "Carrier", "Timestamp"))
-    answers = _response_rows(_event_stream(spark, sf_dir)).select("UUID", "ResponseTime", "Prediction")
-    paired = jobs.request_response(asked, answers, "Timestamp", "ResponseTime", "605 SECONDS", "1 hour")
-    return _finished(spark, paired.select("request_uuid", "Carrier", "response_uuid"), "paired")
+    answers = _repeated(_response_rows(_event_stream(spark, sf_dir)).select("UUID", "ResponseTime", "Prediction"))
+    paired = jobs.request_response(asked, answers, "Timestamp", "ResponseTime", "10 MINUTES", "1 hour")
+    pairs = _finished(spark, paired.select("request_uuid", "Carrier", "ResponseTime", "Prediction"), "paired")
+    return _plain(jobs.first_answers(pairs, "ResponseTime"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from skyledger.operators.lookups import first_per_key
 from skyledger.plans import requests as request_plan
 from skyledger.plans.scoring import score
 from skyledger.plans.training import Model
@@ -28,8 +29,8 @@ INTERVAL = "10 seconds"  # fixed value: micro-batch interval
 _starting = threading.Lock()
 
 
-def _start(stream: DataFrame, writer, checkpoint: str, interval: str | None, partitions: int | None) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
+def _start(stream: DataFrame, writer, checkpoint: str, interval: str | None, partitions: int | None, mode: str = "append") -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint).outputMode(mode)
     writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
     if partitions is None:
         return writer.start()
@@ -44,13 +45,13 @@ def _start(stream: DataFrame, writer, checkpoint: str, interval: str | None, par
 
 
 def per_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-              interval: str | None = INTERVAL, partitions: int | None = None) -> StreamingQuery:
+              interval: str | None = INTERVAL, partitions: int | None = None, mode: str = "append") -> StreamingQuery:
     """Run a frame function on every micro-batch.
 
     ``partitions`` is the number of state partitions, fixed for the life of the checkpoint (by default the session's
     shuffle partitions). Every stateful step keeps that many state stores.
     """
-    return _start(stream, stream.writeStream.foreachBatch(fn), checkpoint, interval, partitions)
+    return _start(stream, stream.writeStream.foreachBatch(fn), checkpoint, interval, partitions, mode)
 
 
 def to_files(stream: DataFrame, path: str, checkpoint: str, interval: str | None = INTERVAL,
@@ -116,6 +117,28 @@ def listen_responses(source: DataFrame, path: str, schema: StructType, checkpoin
     return per_batch(source, run, checkpoint, interval)
 
 
+def latest_answers(stream: DataFrame, keys: list[str], order: list[str], time: str | None = None, keep: str | None = None) -> DataFrame:
+    """The latest row per key so far, by ``order`` and then by the remaining columns: a streaming aggregate for update mode.
+
+    Its state is the table (``keyed.state_table`` reads it), so neither a read nor a restart looks at what was written before. Copies
+    of a key combine on the map side of every micro-batch. By default every key stays in the state, as in a keyed table. With ``time``
+    and ``keep`` keys are kept per window of that length and forgotten when the watermark, as long behind, has passed the window.
+    """
+    rest = [name for name in stream.columns if name not in keys and name not in order]
+    row = F.max(F.struct(*order, *rest, *keys)).alias("row")
+    if time is None:
+        return stream.groupBy(*keys).agg(row).select("row.*")
+    return stream.withWatermark(time, keep).groupBy(*keys, F.window(time, keep)).agg(row).select("row.*")
+
+
+def keep_latest(latest: DataFrame, push: Sink, checkpoint: str, interval: str | None = INTERVAL, partitions: int | None = None) -> StreamingQuery:
+    """Run ``latest_answers`` and hand the rows of every key that a micro-batch touched to ``push``, which must write all of them.
+
+    The table is in the state below ``checkpoint``; what is pushed may repeat after a restart, with the same rows.
+    """
+    return per_batch(latest, push, checkpoint, interval, partitions, mode="update")
+
+
 def enriched(raw: DataFrame, distances: DataFrame, request_id: Column | None = None, **options) -> DataFrame:
     """Raw form rows of a stream to requests: distance, date parts, time and id.
 
@@ -148,15 +171,17 @@ def combine_copies(stream: DataFrame, path: str, checkpoint: str, key: str = "UU
 
 def request_response(requests: DataFrame, responses: DataFrame, request_time: str, response_time: str,
                      wait: str, delay: str, how: str = "inner", unique: bool = True) -> DataFrame:
-    """Pair each request with the response that carries its id and arrives within ``wait``.
+    """Pair each request with every response that carries its id and is given within ``wait`` of it.
 
     Both sides have an event-time watermark and a time bound, so Spark can forget rows that no longer match.
-    ``how="left_outer"`` also gives the requests without a response, once the watermark has passed them. Copies of an id
-    would multiply the pairs, so each side goes through ``unique_requests`` first; ``unique=False`` leaves that out for
-    sides that have no copies.
+    ``how="left_outer"`` also gives the requests without a response, once the watermark has passed them. Copies of a request
+    and rows of a response that were sent twice are dropped first; ``unique=False`` leaves that out for sides without copies. Different
+    answers to one request are all paired, since which of them lies inside the bound is known only there: ``first_answers`` keeps
+    the earliest.
     """
     if unique:
-        left, right = unique_requests(requests, request_time, delay), unique_requests(responses, response_time, delay)
+        left = unique_requests(requests, request_time, delay)
+        right = responses.withWatermark(response_time, delay).dropDuplicatesWithinWatermark(responses.columns)
     else:
         left, right = requests.withWatermark(request_time, delay), responses.withWatermark(response_time, delay)
     left, right = left.withColumnRenamed("UUID", "request_uuid"), right.withColumnRenamed("UUID", "response_uuid")
@@ -164,3 +189,13 @@ def request_response(requests: DataFrame, responses: DataFrame, request_time: st
     in_time = (F.col(response_time) >= F.col(request_time)) & (
         F.col(response_time) <= F.col(request_time) + F.expr(f"INTERVAL {wait}"))
     return left.join(right, same & in_time, how)
+
+
+def first_answers(pairs: DataFrame, response_time: str) -> DataFrame:
+    """Of the pairs that were written, the one with the earliest response per request; a request without one keeps its row.
+
+    The same whatever order micro-batches came in. Equal times are settled by the remaining columns.
+    """
+    never = F.lit("9999-12-31").cast("timestamp")
+    first = first_per_key(pairs.withColumn("_at", F.coalesce(response_time, never)), ["request_uuid"], ["_at"])
+    return first.drop("_at")

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.driver.memory", "6g")
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()

@@ -129,14 +129,49 @@ def test_merged_keeps_old_keys(spark):
     assert rows(keyed.merged(keyed.merged(old, new, ["uuid"], ["timestamp"]), new, ["uuid"], ["timestamp"])) == want
 
 
-def test_writers_do_not_touch_each_other(spark, base):
-    keyed.append(keyed_rows(spark, ("a", "t", 99.0), ("b", "t", 1.0)), base, "first", 0)
-    keyed.append(keyed_rows(spark, ("a", "s", 2.0)), base, "fresh-start", 0)  # the later write wins, whatever its number
-    assert rows(keyed.responses(spark, base)) == [("a", "s", 2.0), ("b", "t", 1.0)]
-    keyed.append(keyed_rows(spark, ("a", "s", 2.0)), base, "fresh-start", 0)  # replayed
-    assert rows(keyed.responses(spark, base)) == [("a", "s", 2.0), ("b", "t", 1.0)]
-    keyed.append(keyed_rows(spark, ("a", "r", 7.0), ("c", None, 0.0)), base, "first", 10)
-    assert sorted(map(tuple, keyed.responses(spark, base).collect())) == [("a", "r", 7.0), ("b", "t", 1.0), ("c", None, 0.0)]
+def test_a_replay_does_not_turn_time_back(spark, base):
+    first, second = keyed_rows(spark, ("a", "2024-01-01T00:00", 0.0), ("b", "2024-01-01T00:00", 1.0)), keyed_rows(spark, ("a", "2024-01-01T00:10", 3.0))
+    keyed.append(first, base, "first", 0)
+    keyed.append(second, base, "second", 0)
+    want = [("a", "2024-01-01T00:10", 3.0), ("b", "2024-01-01T00:00", 1.0)]
+    assert rows(keyed.responses(spark, base)) == want
+    keyed.append(first, base, "first", 0)  # the older batch again, as after a restart
+    assert rows(keyed.responses(spark, base)) == want
+    keyed.append(keyed_rows(spark, ("a", "2023-12-31T00:00", 9.0), ("c", None, 0.0)), base, "late", 0)
+    assert rows(keyed.responses(spark, base)) == [*want, ("c", None, 0.0)]
+
+
+def test_latest_does_not_depend_on_the_order_of_writes(spark, base):
+    writes = [[("a", "t1", 1.0), ("b", "t9", 4.0)], [("a", "t2", 2.0)], [("a", "t2", 5.0), ("b", "t1", 0.0)], [("c", None, 1.0), ("c", "t0", 0.5)]]
+    want = [("a", "t2", 5.0), ("b", "t9", 4.0), ("c", "t0", 0.5)]
+    for turn, order in enumerate(([0, 1, 2, 3], [3, 2, 1, 0], [2, 0, 3, 1, 2, 0])):
+        for batch, write in enumerate(order):
+            keyed.append(keyed_rows(spark, *writes[write]), f"{base}/{turn}", f"w{write}", batch)
+        assert rows(keyed.responses(spark, f"{base}/{turn}")) == want
+
+
+def test_compaction_keeps_the_table_and_bounds_reads(spark, base):
+    for batch in range(12):
+        keyed.append(keyed_rows(spark, ("a", f"t{batch:02}", float(batch)), (f"k{batch}", "t", 0.0)), base, "w", batch)
+    before = rows(keyed.responses(spark, base))
+    files = len(keyed.responses(spark, base).inputFiles())
+    keyed.compact(spark, base, keyed.RESPONSE_KEY, keyed.RESPONSE_ORDER)
+    assert rows(keyed.responses(spark, base)) == before and keyed.places(spark, base) == [("compacted", 0)]
+    assert len(keyed.responses(spark, base).inputFiles()) <= 4 < files
+    keyed.append(keyed_rows(spark, ("a", "t03", 3.0)), base, "w", 3)  # sent again, older than what is there
+    keyed.append(keyed_rows(spark, ("a", "t99", 99.0)), base, "w", 12)
+    keyed.compact(spark, base, keyed.RESPONSE_KEY, keyed.RESPONSE_ORDER)
+    assert keyed.places(spark, base) == [("compacted", 1)] and keyed.responses(spark, base).where("uuid = 'a'").first().prediction == 99.0
+
+
+def test_interrupted_compaction_changes_nothing(spark, base):
+    """The folded place is there, the places it covers are still there too."""
+    keyed.append(keyed_rows(spark, ("a", "t1", 1.0)), base, "w", 0)
+    keyed.append(keyed_rows(spark, ("a", "t2", 2.0)), base, "w", 1)
+    keyed.append(keyed.responses(spark, base), base, keyed.COMPACTED, 0)
+    assert rows(keyed.responses(spark, base)) == [("a", "t2", 2.0)] and len(keyed.places(spark, base)) == 3
+    keyed.compact(spark, base, keyed.RESPONSE_KEY, keyed.RESPONSE_ORDER)
+    assert rows(keyed.responses(spark, base)) == [("a", "t2", 2.0)] and keyed.places(spark, base) == [("compacted", 1)]
 
 
 def test_distance_imports_add_up(spark, base):

@@ -156,7 +156,7 @@ def test_fresh_checkpoints_and_two_streams_share_a_table(spark, tmp_path):
         inbox = str(tmp_path / f"inbox{turn}")
         message_files(spark, inbox, [f'{{"UUID":"{uuid}","Timestamp":"1","Prediction":{value}}}'])
         wait(jobs.listen_responses(source(spark, inbox), table, schemas.STREAM_RESPONSE, str(tmp_path / f"c{turn}"), interval=None))
-    assert rows(keyed.responses(spark, table).select("uuid", "prediction")) == [("a", 3.0), ("b", 2.0)]
+    assert rows(keyed.responses(spark, table).select("uuid", "prediction")) == [("a", 3.0), ("b", 2.0)]  # of equal times the greater row
 
 
 def test_copies_of_a_hot_id_are_combined_before_the_state(spark, tmp_path):
@@ -212,6 +212,65 @@ def test_unanswered_requests_come_out_after_the_watermark(spark, tmp_path):
     assert {("a", "a"), ("b", None), ("late", None), ("z", "z")} <= set(got) and len(got) == len(set(got))
 
 
+def test_answers_outside_the_bound_do_not_hide_one_inside(spark, tmp_path):
+    """A request at 100 s, its answers read in the order 5,000 s and 110 s, bound 10 minutes: the answer at 110 s."""
+    asked_in, answers_in, out = (str(tmp_path / n) for n in ("asked", "answers", "out"))
+    at = lambda seconds: START + dt.timedelta(seconds=seconds)
+    spark.createDataFrame([("a", at(100)), ("a", at(100)), ("b", at(100))], "UUID string, asked timestamp").write.parquet(asked_in)
+    schema = "UUID string, answered timestamp, Prediction double"
+
+    def answer(*rows_):
+        spark.createDataFrame([(u, at(s), p) for u, s, p in rows_], schema).coalesce(1).write.mode("append").parquet(answers_in)
+
+    def run():
+        asked = readers.message_stream(spark, "parquet", {}, spark.read.parquet(asked_in).schema, asked_in)
+        answers = readers.message_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, spark.read.parquet(answers_in).schema, answers_in)
+        paired = jobs.request_response(asked, answers, "asked", "answered", "10 MINUTES", "2 hours")
+        wait(jobs.to_files(paired.select("request_uuid", "answered", "Prediction"), out, str(tmp_path / "c"), interval=None))
+
+    answer(("a", 5000, 9.0), ("b", 701, 8.0))
+    run()
+    assert spark.read.parquet(out).count() == 0
+    answer(("a", 300, 3.0))
+    answer(("a", 110, 1.0), ("a", 110, 1.0), ("b", 700, 7.0))
+    run()
+    pairs = spark.read.parquet(out)
+    assert pairs.count() == 3  # copies of an answer once, different answers each
+    want = [("a", at(110), 1.0), ("b", at(700), 7.0)]
+    got = jobs.first_answers(pairs, "answered")
+    assert [(r.request_uuid, r.answered.replace(tzinfo=None), r.Prediction) for r in got.orderBy("request_uuid").collect()] == [
+        (u, t.replace(tzinfo=None), p) for u, t, p in want]
+
+
+def latest_run(spark, tmp_path, batches, **options):
+    inbox, checkpoint, pushed = (str(tmp_path / n) for n in ("inbox", "checkpoint", "pushed"))
+    schema = "uuid string, timestamp string, prediction double, at timestamp"
+    for batch in batches:
+        made = [(u, f"t{s:05}", p, START + dt.timedelta(seconds=s)) for u, s, p in batch]
+        spark.createDataFrame(made, schema).coalesce(1).write.mode("append").parquet(inbox)
+        stream = readers.message_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, spark.read.parquet(inbox).schema, inbox)
+        latest = jobs.latest_answers(stream, ["uuid"], ["timestamp"], **options)
+        wait(jobs.keep_latest(latest, writers.row_log(pushed), checkpoint, interval=None))
+    state = keyed.state_table(spark, checkpoint, ["uuid"], ["timestamp"])
+    return rows(state.select("uuid", "timestamp", "prediction")), spark.read.parquet(pushed), checkpoint
+
+
+def test_latest_is_in_the_state(spark, tmp_path):
+    batches = [[("a", 10, 1.0), ("a", 5, 0.0), ("b", 7, 2.0)], [("a", 3, 9.0)], [("a", 10, 1.0), ("c", 1, 4.0)], [("b", 700, 3.0)], [("b", 7, 2.0)]]
+    got, pushed, checkpoint = latest_run(spark, tmp_path, batches)
+    assert got == [("a", "t00010", 1.0), ("b", "t00700", 3.0), ("c", "t00001", 4.0)]
+    assert pushed.where("uuid = 'a'").select("prediction").distinct().collect()[0][0] == 1.0  # late and repeated answers push what is latest
+    # A read looks at the state only: as many rows as ids, however many micro-batches there were.
+    assert spark.read.format("statestore").load(checkpoint).count() == 3
+
+
+def test_windows_bound_the_state(spark, tmp_path):
+    day = 86_400
+    batches = [[("a", 10, 1.0), ("b", 10, 2.0)], [("a", 20, 3.0)], [("b", 9 * day, 4.0)], [("c", 20 * day, 5.0)], [("c", 20 * day + 1, 6.0)]]
+    got, _, _ = latest_run(spark, tmp_path, batches, time="at", keep="2 days")
+    assert got == [("c", f"t{20 * day + 1:05}", 6.0)]
+
+
 def test_console_and_interval(spark, tmp_path):
     inbox = str(tmp_path / "inbox")
     message_files(spark, inbox, [request(0)])
