@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -51,8 +50,8 @@ def train(spark: SparkSession, args) -> None:
 
 
 def train_regression(spark: SparkSession, args) -> None:
-    model = training.train_regression(features.read(spark, args.features, args.offset_dates), args.buckets)
-    model.write().overwrite().save(args.model)
+    model = training.train_regression(features.read(spark, args.features, args.offset_dates))
+    training.save_regression(model, args.model)
 
 
 def _forms(spark: SparkSession, args):
@@ -77,7 +76,7 @@ def regress_requests(spark: SparkSession, args) -> None:
     """Form rows to predicted delays."""
     raw, table = _forms(spark, args)
     asked = requests.regression_requests(raw, table, numbering=args.numbering)
-    writers.write_json(training.score_regression(asked, PipelineModel.load(args.model)), args.out)
+    writers.write_json(training.score_regression(asked, training.load_regression(spark, args.model)), args.out)
 
 
 def fetch_requests(spark: SparkSession, args) -> None:
@@ -152,7 +151,6 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--max-bins", type=int)
     sub.add_argument("--offset-dates", action="store_true")
     sub = job(train_regression, "features", "model")
-    sub.add_argument("--buckets", type=int, required=True, help="hash values for text fields; many more than there are labels")
     sub.add_argument("--offset-dates", action="store_true")
     sub = job(build_requests, "forms", "distances")
     sub.add_argument("--out", help="task table to append to")

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -987,13 +986,12 @@ def daily_score_days(spark, sf_dir):
         F.count_distinct("Route").alias("routes")))
 
 
-def _regressed(spark, sf_dir) -> DataFrame:
+def _regression(spark, sf_dir) -> training.Regression:
     def make() -> str:
         path = session.work_folder(spark, "regression")
-        training.train_regression(features.extract(_flights(spark, sf_dir)), buckets=1 << 14).write().save(path)
+        training.save_regression(training.train_regression(features.extract(_flights(spark, sf_dir))), path)
         return path
-    model = PipelineModel.load(_once(spark, sf_dir, "regression", make))
-    return training.score_regression(_typed_requests(spark, sf_dir), model)
+    return training.load_regression(spark, _once(spark, sf_dir, "regression", make))
 
 
 @query("features", sql="""
@@ -1001,11 +999,9 @@ SELECT count(*) AS scored, round(var_pop(ArrDelay), 6) AS variance, true AS erro
  round(regr_slope(ArrDelay, DepDelay), 6) AS slope, round(regr_intercept(ArrDelay, DepDelay), 6) AS intercept FROM features""")
 def regression_score(spark, sf_dir):
     """The squared error of the regression beside the variance, which a constant guess would leave; and a line by one input."""
-    _regressed(spark, sf_dir)
     known = features.extract(_flights(spark, sf_dir))
-    model = PipelineModel.load(_once(spark, sf_dir, "regression", lambda: None))
     error = F.avg(F.pow(F.col("Delay") - F.col("ArrDelay"), 2))
-    judged = training.score_regression(known, model).agg(
+    judged = training.score_regression(known, _regression(spark, sf_dir)).agg(
         F.count(F.lit(1)).alias("scored"), F.round(F.var_pop("ArrDelay"), 6).alias("variance"),
         (error <= F.var_pop("ArrDelay")).alias("error_at_most_variance"))
     line = training.fit_line(known, "DepDelay", "ArrDelay")
@@ -1017,7 +1013,8 @@ def regression_score(spark, sf_dir):
 def regression_rows(spark, sf_dir):
     """Requests with a finite predicted delay per carrier: all of them."""
     finite = F.col("Delay").isNotNull() & ~F.isnan("Delay") & (F.abs("Delay") < 1e6)
-    return _regressed(spark, sf_dir).where(finite).groupBy("Carrier").agg(F.count(F.lit(1)).alias("scored"))
+    scored = training.score_regression(_typed_requests(spark, sf_dir), _regression(spark, sf_dir))
+    return scored.where(finite).groupBy("Carrier").agg(F.count(F.lit(1)).alias("scored"))
 
 
 @query("requests", sql="SELECT count(*) AS scored, CAST(0 AS BIGINT) AS differing FROM requests")

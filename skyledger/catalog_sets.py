@@ -6,13 +6,16 @@ They add to ``catalog``; dates and times are text here too.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyledger import fixtures, schemas, session
-from skyledger.catalog import (_LATEST_SQL, _MICROS, _PAGE_COLUMNS, _distances, _event_stream, _finished, _flights, _once, _plain, _repeated,
+from skyledger.catalog import (_LATEST_SQL, _MICROS, _PAGE_COLUMNS, _distances, _event_stream, _finished, _flights, _md5_bucket, _once, _repeated,
                                _response_messages, _response_rows, query)
-from skyledger.functions import times
-from skyledger.operators import batch_search, directory, joins, search
+from skyledger.functions import forms, times, variants
+from skyledger.operators import aggregates, batch_search, directory, joins, search
+from skyledger.plans import day_pages as day_plan
+from skyledger.plans import encoding, features, training
 from skyledger.sources import bucketed, keyed, layout, readers, writers
 from skyledger.streaming import jobs
 
@@ -277,3 +280,136 @@ def stream_restart(spark, sf_dir):
     go_on()
     rows = spark.read.parquet(out).join(spark.read.parquet(known), "UUID", "left")
     return rows.select("UUID", "Carrier", times.iso_text(F.col("Timestamp")).alias("Timestamp"), F.coalesce("_known", F.lit(False)).alias("before_restart"))
+
+
+# --- page tables by day, documents, sketches and counts on the way ----------------------------------------------------
+
+@query("flights", sql="""
+SELECT 'month' AS page, concat("Year", '-', "Month") AS key, count(*) AS value FROM flights WHERE FlightDate <> '1997-02-03' GROUP BY "Year", "Month"
+UNION ALL SELECT 'airplane', TailNum, count(*) FROM flights WHERE FlightDate <> '1997-02-03' GROUP BY TailNum
+UNION ALL SELECT 'carrier', Carrier, count(DISTINCT TailNum) FROM flights WHERE FlightDate <> '1997-02-03' GROUP BY Carrier""")
+def day_pages(spark, sf_dir):
+    """Pages merged from the states of days: half of a month arrives late, one day becomes empty, and an update is repeated."""
+    base = session.work_folder(spark, "day-pages")
+    flights = _flights(spark, sf_dir).select("FlightDate", "Year", "Month", "Carrier", "TailNum", "row_key")
+    late, empty = F.col("FlightDate").startswith("1998-05"), F.col("FlightDate") == "1997-02-03"
+    day_plan.update(spark, base, flights.where(~late | (F.pmod(F.xxhash64("row_key"), F.lit(2)) == 0)))
+    for _ in range(2):
+        day_plan.update(spark, base, flights.where(late))
+    day_plan.update(spark, base, flights.where(empty & F.lit(False)), spark.sql("SELECT DATE '1997-02-03' AS dt"))
+    months, planes, fleets = day_plan.flights_by_month(spark, base), day_plan.flights_per_airplane(spark, base), day_plan.fleet_counts(spark, base)
+    named = lambda df, page, key, value: df.select(F.lit(page).alias("page"), key.alias("key"), F.col(value).alias("value"))
+    return named(months, "month", F.concat_ws("-", "Year", "Month"), "total_flights").unionByName(
+        named(planes, "airplane", F.col("TailNum"), "FlightCount")).unionByName(named(fleets, "carrier", F.col("Carrier"), "FleetCount"))
+
+
+@query("flights", sql="""
+SELECT Carrier, count(DISTINCT TailNum) AS FleetCount, true AS within_error FROM flights WHERE FlightDate >= '1996-01-01' GROUP BY Carrier""")
+def fleet_estimates(spark, sf_dir):
+    """Fleets of some days from merged sketches, beside the exact ones: within three standard deviations of the sketch."""
+    base = session.work_folder(spark, "fleet-states")
+    flights = _flights(spark, sf_dir)
+    day_plan.update(spark, base, flights)
+    exact = flights.where("FlightDate >= '1996-01-01'").groupBy("Carrier").agg(F.count_distinct("TailNum").alias("FleetCount"))
+    guessed = day_plan.fleet_estimates(spark, base, F.col("dt") >= F.lit("1996-01-01").cast("date"))
+    off = F.abs(F.col("estimate") - F.col("FleetCount")) <= F.greatest(F.lit(0.5), F.col("FleetCount") * day_plan.sketch_error())
+    return exact.join(guessed, "Carrier", "left").select("Carrier", "FleetCount", F.coalesce(off, F.lit(False)).alias("within_error"))
+
+
+_DOCUMENT_SQL = """CASE event_type WHEN 'click' THEN concat('{{"id":', event_id, ',"value":', value, ',"user":', user_id, '}}')
+ WHEN 'view' THEN concat('{{"id":"e', event_id, '","user":{{"id":', user_id, '}},"tags":["t', event_id % 7, '","x"]}}')
+ WHEN 'error' THEN {bad} ELSE concat('{{"id":', event_id, ',"value":"', value, '","note":null}}') END"""
+
+
+@query(sql="""
+SELECT event_id, CASE WHEN event_type = 'view' THEN concat('e', event_id) WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS id,
+ CASE event_type WHEN 'click' THEN user_id WHEN 'view' THEN user_id END AS "user", CASE WHEN event_type = 'view' THEN concat('t', event_id % 7) END AS first_tag,
+ CASE WHEN event_type <> 'view' AND event_type <> 'error' THEN value END AS value, event_type NOT IN ('click', 'view', 'error') AS has_note,
+ event_type = 'error' AS rejected FROM events""")
+def variant_documents(spark, sf_dir):
+    """Documents whose fields differ in presence, type and depth: written as they are, read again, and asked by path."""
+    path = session.work_folder(spark, "variants")
+    events = fixtures.table(spark, sf_dir, "events")
+    texts = events.select("event_id", F.expr(_DOCUMENT_SQL.format(bad="concat('{\"id\":', event_id)").replace("{{", "{").replace("}}", "}")).alias("text"))
+    texts.withColumn("document", variants.parsed(F.col("text"))).write.parquet(path)
+    read = spark.read.parquet(path)
+    document = F.col("document")
+    user = F.coalesce(variants.taken(document, "$.user.id", "bigint"), variants.taken(document, "$.user", "bigint"))
+    return read.select(
+        "event_id", variants.taken(document, "$.id", "string").alias("id"), user.alias("user"), variants.taken(document, "$.tags[0]", "string").alias("first_tag"),
+        variants.taken(document, "$.value", "double").alias("value"), variants.has(document, "$.note").alias("has_note"),
+        (F.col("text").isNotNull() & document.isNull()).alias("rejected"))
+
+
+@query(sql="""
+SELECT event_type, field, count(*) AS documents FROM events, (VALUES ('click', 'id'), ('click', 'value'), ('click', 'user'), ('view', 'id'), ('view', 'user'),
+ ('view', 'tags'), ('', 'id'), ('', 'value'), ('', 'note')) f(kind, field)
+WHERE event_type <> 'error' AND kind = CASE WHEN event_type IN ('click', 'view') THEN event_type ELSE '' END GROUP BY ALL""")
+def variant_fields(spark, sf_dir):
+    """Which fields the documents of each kind have, and how often."""
+    events = fixtures.table(spark, sf_dir, "events")
+    text = F.expr(_DOCUMENT_SQL.format(bad="'not json'").replace("{{", "{").replace("}}", "}"))
+    found = variants.fields(events.select("event_type", variants.parsed(text).alias("document")), "document", ("event_type",))
+    return found.groupBy("event_type", "field").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query("flights", sql="""
+SELECT i AS edge, (SELECT count(ArrDelay) FROM flights) AS known, true AS within_error, true AS ascending FROM (SELECT unnest(range(1, 10)) AS i)""")
+def delay_equal_depth(spark, sf_dir):
+    """Edges of ten buckets of equal size from one sketch; each misses its exact rank by no more than the stated error."""
+    flights = _flights(spark, sf_dir)
+    edges = flights.limit(1).select(aggregates.equal_depth_edges(flights, "ArrDelay", 10).alias("edges")).first().edges
+    delay, places = F.col("ArrDelay"), range(len(edges))
+    counted = flights.agg(F.count("ArrDelay").alias("known"), *[F.count_if(delay < edges[i]).alias(f"below_{i}") for i in places],
+                          *[F.count_if(delay <= edges[i]).alias(f"upto_{i}") for i in places]).first()
+    slack = aggregates.rank_error(800) * counted.known + 1
+    rows = [(i + 1, counted.known, counted[f"below_{i}"] - slack <= counted.known * (i + 1) / 10 <= counted[f"upto_{i}"] + slack,
+             i == 0 or edges[i - 1] <= edges[i]) for i in places]
+    return spark.createDataFrame(rows, "edge long, known long, within_error boolean, ascending boolean")
+
+
+@query("flights", sql="""
+SELECT sum(n) AS counted, min(lo) AS low, max(hi) AS high, true AS apart FROM (SELECT count(ArrDelay) AS n, min(ArrDelay) AS lo, max(ArrDelay) AS hi FROM flights)""")
+def delay_equal_depth_histogram(spark, sf_dir):
+    """The histogram counts every known value once, in buckets that do not overlap."""
+    made = aggregates.histogram_equal_depth(_flights(spark, sf_dir), "ArrDelay", 10)
+    before = F.lag("high").over(W.orderBy("label"))  # ten rows
+    return made.withColumn("_apart", F.coalesce(before < F.col("low"), F.lit(True))).agg(
+        F.sum("value").alias("counted"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("_apart").alias("apart"))
+
+
+_OBSERVED = ["ArrDelay", "Carrier", "DepDelay", "WeatherDelay"]
+
+
+@query("flights", sql=" UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, count(*) FILTER ({name} IS NULL) AS null_count, count(*) AS row_count FROM flights" for name in _OBSERVED))
+def observed_write(spark, sf_dir):
+    """Rows and nulls, counted while the table is written."""
+    path = session.work_folder(spark, "observed")
+    rows, nulls = writers.write_observed(_flights(spark, sf_dir).select(*_OBSERVED), lambda df: writers.write_parquet(df, path), _OBSERVED)
+    return spark.createDataFrame([(name, count, rows) for name, count in nulls.items()], "column_name string, null_count long, row_count long")
+
+
+# --- models whose results SQL can state -------------------------------------------------------------------------------
+
+@query("features", sql="""
+SELECT * FROM (WITH f AS (SELECT row_key, Origin || '-' || Dest AS Route, ArrDelay, """ + _md5_bucket("row_key", "5") + """ AS fold FROM features),
+ w AS (SELECT *, sum(ArrDelay) OVER (PARTITION BY Route) - sum(ArrDelay) OVER (PARTITION BY Route, fold) AS s,
+  count(*) OVER (PARTITION BY Route) - count(*) OVER (PARTITION BY Route, fold) AS n,
+  (sum(ArrDelay) OVER () - sum(ArrDelay) OVER (PARTITION BY fold)) / (count(*) OVER () - count(*) OVER (PARTITION BY fold)) AS prior FROM f)
+SELECT row_key, fold, round((s + 20 * prior) / (n + 20), 6) AS encoded FROM w)""")
+def target_encoding(spark, sf_dir):
+    """The mean delay of each route, for every flight from the folds it is not in."""
+    known = training.with_route(_flights(spark, sf_dir)).where("ArrDelay IS NOT NULL AND DepDelay IS NOT NULL").select("row_key", "Route", "ArrDelay")
+    fold = forms.hash_bucket(F.col("row_key"), 5)
+    made = encoding.encoded_by_fold(known, ["Route"], "ArrDelay", fold, {"Route": "encoded"})
+    return made.select("row_key", fold.alias("fold"), F.round("encoded", 6).alias("encoded"))
+
+
+@query("requests", "features", sql="""
+SELECT UUID, r.Origin, round(m.mean, 2) AS Delay FROM requests r JOIN (SELECT Origin, avg(ArrDelay) AS mean FROM features GROUP BY Origin) m ON r.Origin = m.Origin""")
+def regression_by_origin(spark, sf_dir):
+    """Predicted delays of a line that knows the origin only: least squares then gives each origin its mean."""
+    model = training.train_regression(features.extract(_flights(spark, sf_dir)), ["Origin"], [], max_iter=300, regularisation=0.0, tolerance=1e-14)
+    known = fixtures.requests(spark, sf_dir).where("Origin <> 'NATION_99'").withColumns({name: F.lit(0) for name in training.REGRESSION_NUMERIC})
+    return training.score_regression(known, model).select("UUID", "Origin", F.round("Delay", 2).alias("Delay"))

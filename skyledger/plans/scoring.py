@@ -28,7 +28,7 @@ def score(requests: DataFrame, model: Model, handle_invalid: str = "error", inde
     sent = index_source == "message"
     rows = with_route(requests.drop("Prediction", *([] if sent else map(index_name, NOMINAL))))
     if not sent:
-        rows = indexed(rows, model.labels, model.sizes, model.hashed, handle_invalid)
+        rows = indexed(rows, model.labels, model.sizes, model.hashed, handle_invalid, encoded=model.encoded)
     for stage in model.chain.copy().stages:
         if isinstance(stage, VectorAssembler):
             stage.setHandleInvalid("keep" if sent else handle_invalid)

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Bucketizer, FeatureHasher, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from skyledger.functions.forms import hash_bucket
 from skyledger.functions.text import route
 from skyledger.operators.aggregates import DELAY_SPLITS, confusion
+from skyledger.plans import encoding
 from skyledger.session import work_folder
 
 # Model inputs.
@@ -65,21 +67,30 @@ def label_index(df: DataFrame, columns: list[str] = NOMINAL) -> DataFrame:
 class Model:
     """The label table, the number of labels per nominal column, and the chain behind them: assembler and forest.
 
-    ``hashed`` names columns that are indexed by a hash of that many values in place of the label table.
+    ``hashed`` names columns that are indexed by a hash of that many values in place of the label table. ``encoded`` names columns
+    that stand for a number, the mean delay of their label, with the number of an unseen label; the label table holds it as index.
     """
     labels: DataFrame
     sizes: dict[str, int]
     chain: PipelineModel
     hashed: dict[str, int]
+    encoded: dict[str, float] = field(default_factory=dict)
 
 
-def indexed(rows: DataFrame, labels: DataFrame, sizes: dict[str, int], hashed: dict[str, int], handle_invalid: str) -> DataFrame:
+def indexed(rows: DataFrame, labels: DataFrame, sizes: dict[str, int], hashed: dict[str, int], handle_invalid: str,
+            columns: list[str] = NOMINAL, encoded: dict[str, float] | None = None) -> DataFrame:
     """Add the index of every nominal column by a join with the label table.
 
     Unseen and missing labels fail the job (``error``), lose their row (``skip``) or get one index more (``keep``). The columns
-    say how many values they have, so the forest treats them as categories.
+    say how many values they have, so the forest treats them as categories. A column in ``encoded`` becomes a plain number.
     """
-    for name in NOMINAL:
+    encoded = encoded or {}
+    for name in columns:
+        if name in encoded:
+            known = labels.where(F.col("column_name") == name).select(F.col("label").alias("_label"), F.col("index").alias("_index"))
+            rows = rows.join(known, F.col(name).cast("string").eqNullSafe(F.col("_label")), "left")
+            rows = rows.withColumn(index_name(name), F.coalesce("_index", F.lit(encoded[name]))).drop("_label", "_index")
+            continue
         values = hashed.get(name) or sizes.get(name, 0) + (handle_invalid == "keep")
         about = {"ml_attr": {"type": "nominal", "name": index_name(name), "num_vals": max(values, 1)}}
         if name in hashed:
@@ -119,20 +130,33 @@ class Trained:
 
 
 def train(features: DataFrame, max_bins: int | None = None, max_memory_mb: int = 1024, seed: int = 1,
-          holdout: DataFrame | None = None, hashed: dict[str, int] | None = None) -> Trained:
+          holdout: DataFrame | None = None, hashed: dict[str, int] | None = None, encoded: tuple[str, ...] = ()) -> Trained:
     """Fit the delay classifier on all rows: bucketise, index, assemble, random forest.
 
     ``max_bins`` defaults to the number of labels of the largest nominal column (at least 32), the least the forest accepts.
-    ``hashed`` is the caller's choice for columns with more labels than a forest should split on: column to number of hash
-    values. The seed is fixed: left out, it would differ between Python processes. Bootstrap samples also depend on how rows lie
+    For columns with more labels than a forest should split on the caller chooses ``encoded``, the mean delay of the label, taken
+    out of fold for the training rows (``plans.encoding``), or ``hashed``, column to number of hash values. The seed is fixed: left out, it would differ between Python processes. Bootstrap samples also depend on how rows lie
     in partitions, so two runs agree when their input files and settings do. Only the label and the vector are kept while the
     forest iterates. Evaluation runs on the training rows unless ``holdout`` is given.
     """
     hashed = hashed or {}
     routed = with_route(features).select(*NUMERIC, *NOMINAL, "ArrDelay")
-    labels = label_index(routed, [name for name in NOMINAL if name not in hashed]).select("column_name", "label", "index")
+    numbered = [name for name in NOMINAL if name not in encoded]
+    labels = label_index(routed, [name for name in numbered if name not in hashed]).select("column_name", "label", "index")
     sizes = _sizes(labels)
-    rows = delay_bucketizer().transform(indexed(routed, labels, sizes, hashed, "error"))
+    rows = indexed(routed, labels, sizes, hashed, "error", numbered)
+    priors: dict[str, float] = {}
+    if encoded:
+        # Equal rows share a fold, so no row is encoded from a copy of itself.
+        fold = hash_bucket(F.to_json(F.struct(*NUMERIC, *NOMINAL, "ArrDelay")), encoding.FOLDS)
+        path = work_folder(features.sparkSession, "target-sums")
+        encoding.sums(routed, list(encoded), "ArrDelay", fold).write.parquet(path)
+        parts = features.sparkSession.read.parquet(path)
+        priors = dict.fromkeys(encoded, encoding.prior_of(parts))
+        rows = encoding.encoded_by_fold(rows, list(encoded), "ArrDelay", fold, {name: index_name(name) for name in encoded}, parts=parts)
+        means = encoding.means(parts, next(iter(priors.values())))
+        labels = labels.unionByName(means.withColumnRenamed("mean", "index"))
+    rows = delay_bucketizer().transform(rows)
     vectors = assembler()
     prepared = vectors.transform(rows).select(VECTOR, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     largest = max([*sizes.values(), *hashed.values(), 32])
@@ -141,11 +165,11 @@ def train(features: DataFrame, max_bins: int | None = None, max_memory_mb: int =
         maxMemoryInMB=max_memory_mb, seed=seed)
     try:
         fitted = forest.fit(prepared)
-        model = Model(labels, sizes, PipelineModel([vectors, fitted]), hashed)
+        model = Model(labels, sizes, PipelineModel([vectors, fitted]), hashed, priors)
         if holdout is None:
             judged = fitted.transform(prepared)
         else:
-            asked = indexed(delay_bucketizer().transform(with_route(holdout)), labels, sizes, hashed, "error")
+            asked = indexed(delay_bucketizer().transform(with_route(holdout)), labels, sizes, hashed, "error", encoded=priors)
             judged = model.chain.transform(asked)
         counts = confusion(judged.select(LABEL, PREDICTION), LABEL, PREDICTION).collect()  # at most 4 x 4 rows
     finally:
@@ -171,13 +195,17 @@ def save(model: Model, path: str) -> None:
     model.labels.write.mode("overwrite").parquet(f"{path}/labels")
     hashed = model.labels.sparkSession.createDataFrame(list(model.hashed.items()), "column_name string, buckets long")
     hashed.write.mode("overwrite").parquet(f"{path}/hashed")
+    encoded = model.labels.sparkSession.createDataFrame(list(model.encoded.items()), "column_name string, prior double")
+    encoded.write.mode("overwrite").parquet(f"{path}/encoded")
     delay_bucketizer().write().overwrite().save(f"{path}/bucketizer")
 
 
 def load(spark: SparkSession, path: str) -> Model:
     labels = spark.read.parquet(f"{path}/labels")
     hashed = {row.column_name: row.buckets for row in spark.read.parquet(f"{path}/hashed").collect()}
-    return Model(labels, _sizes(labels), PipelineModel.load(f"{path}/pipeline"), hashed)
+    encoded = {row.column_name: row.prior for row in spark.read.parquet(f"{path}/encoded").collect()}
+    numbered = labels.where(~F.col("column_name").isin(list(encoded))) if encoded else labels
+    return Model(labels, _sizes(numbered), PipelineModel.load(f"{path}/pipeline"), hashed, encoded)
 
 
 def load_bucketizer(spark: SparkSession, path: str) -> Bucketizer:
@@ -197,29 +225,77 @@ def regression_inputs(df: DataFrame) -> DataFrame:
                             for name in REGRESSION_NUMERIC])
 
 
-def train_regression(features: DataFrame, buckets: int, max_iter: int = 25) -> PipelineModel:
+@dataclass
+class Regression:
+    """The label table, the labels per text field, and the chain behind them: one-hot vectors, assembler and line."""
+    labels: DataFrame
+    sizes: dict[str, int]
+    chain: PipelineModel
+
+
+def train_regression(features: DataFrame, text: list[str] = REGRESSION_TEXT, numeric: list[str] = REGRESSION_NUMERIC, max_iter: int = 25,
+                     regularisation: float = 0.01, tolerance: float = 1e-6) -> Regression:
     """Linear regression of the arrival delay.
 
-    Text fields are hashed into ``buckets`` values, so the model size does not grow with the data. Labels that meet in a bucket
-    share a weight: the caller chooses many more buckets than there are labels.
+    Every label of a text field has a weight of its own: labels are numbered in a table and become sparse vectors with a single
+    entry. The line has as many weights as there are labels, however they are spelt; no two share one. A label that training has not
+    seen has none.
     """
-    hasher = FeatureHasher(inputCols=REGRESSION_TEXT + [f"_{name}" for name in REGRESSION_NUMERIC],
-                           outputCol=VECTOR, numFeatures=buckets)
+    rows = regression_inputs(features).select(*text, *[f"_{name}" for name in numeric], "ArrDelay")
+    labels = label_index(rows, text).select("column_name", "label", "index")
+    sizes = _sizes(labels)
+    entries = [f"{name}_entry" for name in text]
+    one_hot = OneHotEncoder(inputCols=[index_name(name) for name in text], outputCols=entries, dropLast=False)
+    vectors = VectorAssembler(inputCols=[*entries, *[f"_{name}" for name in numeric]], outputCol=VECTOR)
     line = LinearRegression(featuresCol=VECTOR, labelCol="ArrDelay", predictionCol="Delay", solver="l-bfgs",
-                            maxIter=max_iter, regParam=0.01)
-    rows = hasher.transform(regression_inputs(features)).select(VECTOR, "ArrDelay")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                            maxIter=max_iter, regParam=regularisation, tol=tolerance)
+    numbered = indexed(rows, labels, sizes, {}, "keep", text)
+    encoder = one_hot.fit(numbered)
+    prepared = vectors.transform(encoder.transform(numbered)).select(VECTOR, "ArrDelay").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = line.fit(rows)
+        fitted = line.fit(prepared)
     finally:
-        rows.unpersist()
-    return PipelineModel([hasher, fitted])
+        prepared.unpersist()
+    return Regression(labels, sizes, PipelineModel([encoder, vectors, fitted]))
 
 
-def score_regression(requests: DataFrame, model: PipelineModel) -> DataFrame:
+def score_regression(requests: DataFrame, model: Regression) -> DataFrame:
     """Add the predicted ``Delay`` to every request."""
-    scored = model.transform(regression_inputs(requests))
-    return scored.drop(VECTOR, *[f"_{name}" for name in REGRESSION_NUMERIC])
+    text = sorted(model.sizes)
+    working = {VECTOR, *[index_name(name) for name in text], *[f"{name}_entry" for name in text], *[f"_{name}" for name in REGRESSION_NUMERIC]}
+    scored = model.chain.transform(indexed(regression_inputs(requests), model.labels, model.sizes, {}, "keep", text))
+    return scored.drop(*working)
+
+
+def regression_weights(model: Regression) -> DataFrame:
+    """``(column_name, label, weight)`` of every label of the text fields; numeric fields follow with their name and no label.
+
+    The weights of a line are in the driver's memory; the rows are spread from there.
+    """
+    spark = model.labels.sparkSession
+    encoder, vectors, line = model.chain.stages
+    offset, starts = 0, []
+    for name, size in zip(encoder.getInputCols(), encoder.categorySizes, strict=True):
+        starts.append((name.removesuffix("_index"), offset))
+        offset += size
+    numeric = vectors.getInputCols()[len(starts):]
+    weights = spark.createDataFrame([(i, float(w)) for i, w in enumerate(line.coefficients)], "place long, weight double")
+    firsts = spark.createDataFrame(starts, "column_name string, first long")
+    placed = model.labels.join(firsts, "column_name").select("column_name", "label", (F.col("first") + F.col("index")).cast("long").alias("place"))
+    plain = spark.createDataFrame([(name[1:], None, offset + i) for i, name in enumerate(numeric)] + [("intercept", None, -1)],
+                                  "column_name string, label string, place long")
+    known = placed.unionByName(plain).join(weights.unionByName(spark.createDataFrame([(-1, float(line.intercept))], "place long, weight double")), "place")
+    return known.select("column_name", "label", "weight")
+
+
+def save_regression(model: Regression, path: str) -> None:
+    model.chain.write().overwrite().save(f"{path}/pipeline")
+    model.labels.write.mode("overwrite").parquet(f"{path}/labels")
+
+
+def load_regression(spark: SparkSession, path: str) -> Regression:
+    labels = spark.read.parquet(f"{path}/labels")
+    return Regression(labels, _sizes(labels), PipelineModel.load(f"{path}/pipeline"))
 
 
 def fit_line(rows: DataFrame, x: str, y: str) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.functions.messages import render
 
@@ -50,6 +51,17 @@ def append(df: DataFrame, fmt: str, options: dict[str, str] | None = None, path:
     writer.save(path) if path else writer.save()
 
 
+def write_observed(df: DataFrame, write: Callable[[DataFrame], None], columns: list[str] | None = None) -> tuple[int, dict[str, int]]:
+    """Run ``write`` on ``df`` and return the number of rows it wrote and the nulls of every column.
+
+    The counts are taken while rows pass to the write, so nothing is read again to learn them, nor to know whether a write was empty.
+    """
+    columns = df.columns if columns is None else columns
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(name).isNull()).alias(f"null_{place}") for place, name in enumerate(columns)]))
+    return seen.get["rows"], {name: seen.get[f"null_{place}"] for place, name in enumerate(columns)}
+
+
 def as_messages(df: DataFrame) -> DataFrame:
     """Every row as one JSON text in a ``value`` column."""
     return df.select(render(*df.columns).alias("value"))

@@ -263,3 +263,26 @@ def test_top_by(flights, flight_rows):
 
 def test_preview(flights):
     assert lookups.preview(flights).count() == 6
+
+
+def test_equal_depth_edges_are_within_the_stated_error(spark):
+    values = [float(i * i % 9973) for i in range(20_000)] + [float("nan"), float("inf"), -float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
+    known = sorted(v for v in values if v is not None and v == v and abs(v) != float("inf"))
+    edges = spark.range(1).select(aggregates.equal_depth_edges(df, "x", 20).alias("e")).first().e
+    slack = aggregates.rank_error(800) * len(known) + 1
+    for i, edge in enumerate(edges, 1):
+        below, upto = sum(v < edge for v in known), sum(v <= edge for v in known)
+        assert below - slack <= len(known) * i / 20 <= upto + slack
+    got = aggregates.histogram_equal_depth(df, "x", 20).orderBy("label").collect()
+    assert sum(r.value for r in got) == len(known) and got[0].low == known[0] and got[-1].high == known[-1]
+    assert all(a.high < b.low for a, b in zip(got, got[1:], strict=False))
+    assert max(r.value for r in got) < len(known) / 20 + 2 * slack + 10
+
+
+def test_equal_depth_of_hot_values(spark):
+    """A value that most rows have is one bucket; no rows, no buckets."""
+    df = spark.createDataFrame([(5.0,)] * 90 + [(float(i),) for i in range(10)], "x double")
+    got = {r.label: (r.low, r.high, r.value) for r in aggregates.histogram_equal_depth(df, "x", 4).collect()}
+    assert sum(v for _, _, v in got.values()) == 100 and any(low <= 5.0 <= high and v >= 91 for low, high, v in got.values())
+    assert aggregates.histogram_equal_depth(df.where("x < -1"), "x", 4).count() == 0

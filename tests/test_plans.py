@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from skyledger import schemas
 from skyledger.functions.text import DELAY_CLASSES_3
-from skyledger.operators import aggregates
-from skyledger.plans import daily, features, requests, scoring, training
+from skyledger.operators import aggregates, ordering
+from skyledger.plans import daily, encoding, features, requests, scoring, training
 from skyledger.sources import readers
 from tests.conftest import rows
 
@@ -196,7 +196,7 @@ def test_indices_from_the_message(sample, trained):
 
 
 def test_regression(sample):
-    model = training.train_regression(sample, buckets=1 << 12)
+    model = training.train_regression(sample)
     scored = training.score_regression(sample, model)
     assert set(scored.columns) == {*sample.columns, "Delay"} and scored.count() == sample.count()
     spread = scored.agg(F.avg(F.pow(F.col("Delay") - F.col("ArrDelay"), 2)), F.var_pop("ArrDelay")).first()
@@ -208,6 +208,54 @@ def test_regression(sample):
     assert training.score_regression(unknown, model).first().Delay is not None
 
 
+def test_regression_has_a_weight_per_label(spark, sample, tmp_path):
+    """No hash width: as many weights as labels, and predictions follow from the exported table."""
+    model = training.train_regression(sample, ["Origin"], [], max_iter=200, regularisation=0.0, tolerance=1e-12)
+    weights = {(r["column_name"], r.label): r.weight for r in training.regression_weights(model).collect()}
+    origins = {r.Origin for r in sample.select("Origin").distinct().collect()}
+    assert set(weights) == {("Origin", o) for o in origins} | {("intercept", None)}
+    mean = {r.Origin: r.m for r in sample.groupBy("Origin").agg(F.avg("ArrDelay").alias("m")).collect()}
+    path = str(tmp_path / "line")
+    training.save_regression(model, path)
+    for row in training.score_regression(sample, training.load_regression(spark, path)).select("Origin", "Delay").distinct().collect():
+        assert row.Delay == pytest.approx(weights["Origin", row.Origin] + weights["intercept", None], abs=1e-9)
+        assert row.Delay == pytest.approx(mean[row.Origin], abs=1e-4)
+
+
+def test_target_encoding_is_out_of_fold(spark):
+    made = [(f"k{i % 7}" if i % 11 else None, float(i * 37 % 101), i % 3) for i in range(400)] + [("solo", 1000.0, 1)]
+    df = spark.createDataFrame(made, "k string, t double, f int").withColumn("id", F.monotonically_increasing_id())
+    got = {r.id: r.m for r in encoding.encoded_by_fold(df, ["k"], "t", F.col("f"), {"k": "m"}, weight=4.0).collect()}
+    for r in df.collect():
+        others = [x for x in made if x[2] != r.f]
+        mine = [t for k, t, _ in others if k == r.k]
+        prior = sum(x[1] for x in others) / len(others)
+        assert got[r.id] == pytest.approx((sum(mine) + 4 * prior) / (len(mine) + 4))
+    parts = encoding.sums(df, ["k"], "t", F.col("f"))
+    prior = encoding.prior_of(parts)
+    assert prior == pytest.approx(sum(x[1] for x in made) / len(made))
+    table = {r.label: r["mean"] for r in encoding.means(parts, prior, 4.0).collect()}
+    assert table["solo"] == pytest.approx((1000 + 4 * prior) / 5) and None in table
+    assert encoding.prior_of(parts.where("n < 0")) == 0.0
+
+
+def test_encoded_forest_needs_few_bins(spark, sample, tmp_path):
+    """A column of very many labels: as a number it needs no bin for each, and held-out accuracy is no worse."""
+    wide = sample.withColumn("Dest", F.concat("Dest", F.lit("-"), F.pmod(F.xxhash64("FlightNum", "DepDelay"), F.lit(300)).cast("string")))
+    kept, held = ordering.split_by_key(wide, F.concat_ws("-", "FlightNum", "DepDelay", "ArrDelay"), 4)
+    trained = training.train(kept, encoded=("Dest", "Route"), holdout=held)
+    assert set(trained.model.sizes) == {"Carrier", "Origin"} and set(trained.model.encoded) == {"Dest", "Route"}
+    assert trained.model.chain.stages[-1].getOrDefault("maxBins") == 32
+    most = held.select(aggregates.bucket_delay(F.col("ArrDelay")).alias("b")).groupBy("b").count().agg(F.max("count")).first()[0]
+    assert trained.accuracy() >= most / held.count() - 0.02
+    path = str(tmp_path / "m")
+    training.save(trained.model, path)
+    unseen = held.withColumn("Dest", F.lit("nowhere"))
+    again = training.load(spark, path)
+    assert again.sizes == trained.model.sizes and again.encoded == trained.model.encoded
+    assert scoring.score(unseen, again).where("Prediction IS NULL").count() == 0 and scoring.score(unseen, again).count() == held.count()
+
+
 def test_daily_chain(spark, sample, trained, tmp_path):
     tasks_base, results_base, table = (str(tmp_path / name) for name in ("tasks", "results", "table"))
     tasks = sample.select(*[c for c in schemas.BATCH_REQUEST.fieldNames() if c != "Timestamp"],

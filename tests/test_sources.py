@@ -204,3 +204,12 @@ def test_work_folder_is_never_on_one_machine():
     class Session:
         conf = _Conf({"spark.sql.warehouse.dir": "hdfs://x/warehouse/"})
     assert session.work_folder(Session(), "n").startswith("hdfs://x/warehouse/_work/skyledger/n-")
+
+
+def test_counts_are_taken_on_the_way(spark, base):
+    """Rows, nulls and whether there was anything to write, without reading a row twice."""
+    from pyspark.sql import functions as F
+    df = spark.range(100).select("id", F.when(F.col("id") % 4 == 0, F.col("id")).alias("x"), F.lit(None).cast("string").alias("never"))
+    rows_, nulls = writers.write_observed(df, lambda out: writers.write_parquet(out, base))
+    assert (rows_, nulls) == (100, {"id": 0, "x": 75, "never": 100}) and spark.read.parquet(base).columns == df.columns
+    assert writers.write_observed(df.where("id < 0"), lambda out: writers.write_parquet(out, f"{base}/none"), ["x"]) == (0, {"x": 0})
