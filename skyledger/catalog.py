@@ -119,12 +119,19 @@ def query(*uses: str, sql: str | None = None):
 # --- shared inputs ----------------------------------------------------------------------------------------------------
 
 _built: dict[tuple[str, str, str], object] = {}
+_SOURCES = ("lineitem", "orders", "supplier", "customer", "part", "nation")  # what flights are made of
+
+
+def _file_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Files, bytes and latest change of a table, from the listing of its folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return len(files), sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
-    """Build a shared input once per application and state of the source folder: when the fact table changes, it is built anew."""
-    at = F.col("_metadata.file_modification_time")
-    state = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(at.alias("at")).agg(F.max("at"), F.count("at")).first()
+    """Build a shared input once per application and state of the source tables: when one of them changes, it is built anew."""
+    state = [_file_state(spark, f"{sf_dir}/{table}.parquet") for table in _SOURCES]
     key = (spark.sparkContext.applicationId, f"{sf_dir} {state}", name)
     if key not in _built:
         _built[key] = make()

@@ -8,16 +8,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger import fixtures, schemas, session
-from skyledger.catalog import (_LATEST_SQL, _MICROS, _PAGE_COLUMNS, _distances, _event_stream, _finished, _flights, _md5_bucket, _once, _repeated,
-                               _response_messages, _response_rows, query)
-from skyledger.functions import forms, times, variants
-from skyledger.operators import aggregates, batch_search, directory, joins, search
+from skyledger.catalog import (_LATEST_SQL, _MICROS, _PAGE_COLUMNS, _distances, _event_stream, _finished, _flights, _md5_bucket, _messages, _once,
+                               _repeated, _response_messages, _response_rows, _trained, _typed_requests, query)
+from skyledger.functions import forms, messages, times, variants
+from skyledger.operators import aggregates, batch_search, directory, joins, lookups, search
 from skyledger.plans import day_pages as day_plan
-from skyledger.plans import encoding, features, training
+from skyledger.plans import encoding, features, forest_table, scoring, training
 from skyledger.sources import bucketed, keyed, layout, readers, writers
 from skyledger.streaming import jobs
+from skyledger.streaming import messages as stream_messages
 
 # --- searches for many requests ---------------------------------------------------------------------------------------
 
@@ -413,3 +415,71 @@ def regression_by_origin(spark, sf_dir):
     model = training.train_regression(features.extract(_flights(spark, sf_dir)), ["Origin"], [], max_iter=300, regularisation=0.0, tolerance=1e-14)
     known = fixtures.requests(spark, sf_dir).where("Origin <> 'NATION_99'").withColumns({name: F.lit(0) for name in training.REGRESSION_NUMERIC})
     return training.score_regression(known, model).select("UUID", "Origin", F.round("Delay", 2).alias("Delay"))
+
+
+@query("requests", sql="SELECT count(*) AS scored, CAST(0 AS BIGINT) AS differing, true AS several_classes FROM requests")
+def forest_by_table(spark, sf_dir):
+    """Classes of all requests by joins with the table of the forest's nodes, beside those of the chain: none differs."""
+    path = _trained(spark, sf_dir)
+    model, asked = training.load(spark, path), _typed_requests(spark, sf_dir)
+    table = forest_table.nodes(spark, path)
+    by_table = forest_table.classified(forest_table.feature_rows(asked, model, "UUID"), table, "UUID", forest_table.levels(table))
+    by_chain = scoring.score(asked, model, "keep").select("UUID", F.col("Prediction").alias("chain"))
+    return by_chain.join(by_table, "UUID", "full_outer").agg(
+        F.count("Prediction").alias("scored"), F.count_if(~F.col("Prediction").eqNullSafe(F.col("chain"))).alias("differing"),
+        (F.count_distinct("Prediction") > 1).alias("several_classes"))
+
+
+# --- sinks and previews -----------------------------------------------------------------------------------------------
+
+@query("requests", sql="""SELECT UUID, Carrier, strftime("Timestamp", {0}) AS "Timestamp" FROM requests""".format(_MICROS))
+def collection_append(spark, sf_dir):
+    """Requests appended to a table in two writes, as the request jobs do."""
+    path = session.work_folder(spark, "collection")
+    asked = fixtures.requests(spark, sf_dir).select("UUID", "Carrier", "Timestamp")
+    half = F.col("UUID").cast("bigint") % 2 == 0
+    for part in (asked.where(half), asked.where(~half)):
+        writers.append(part, "parquet", path=path)
+    return readers.collection(spark, "parquet", path=path).withColumn("Timestamp", times.iso_text(F.col("Timestamp")))
+
+
+@query("requests", sql="""
+SELECT UUID, Carrier, Origin, Dest FROM requests ORDER BY CAST(UUID AS BIGINT) LIMIT 6""")
+def first_rows(spark, sf_dir):
+    """The six rows a job shows of its result."""
+    asked = fixtures.requests(spark, sf_dir).orderBy(F.col("UUID").cast("bigint"))
+    return lookups.preview(asked.select("UUID", "Carrier", "Origin", "Dest"))
+
+
+@query("requests", sql="""
+SELECT count(*) FILTER (event_id % 3 = 1) AS accepted, count(*) FILTER (event_id % 3 <> 1) AS rejected, CAST(1 AS BIGINT) AS writes FROM requests""")
+def stream_skips_empty_writes(spark, sf_dir):
+    """Three micro-batches of which two hold rejects only: a single one is written to the sink."""
+    path = session.work_folder(spark, "skips")
+    rows = fixtures.request_rows(fixtures.table(spark, sf_dir, "events"))
+    body = messages.render(F.when(F.col("UUID").cast("bigint") % 3 == 1, F.col("UUID")).alias("UUID"), "Carrier", "Origin", "Dest", "DepDelay")
+    sent = rows.select((F.col("UUID").cast("bigint") % 3).alias("part"), body.cast("binary").alias("value"))
+    for part in range(3):
+        sent.where(F.col("part") == part).select("value").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = readers.message_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, schemas.layout(value="string"), f"{path}/in")
+    jobs.score_stream(stream.withColumn("value", F.col("value").cast("string")), training.load(spark, _trained(spark, sf_dir)), [writers.row_log(f"{path}/out")],
+                      f"{path}/checkpoint", reject_sink=writers.row_log(f"{path}/rejects"), interval=None).awaitTermination()
+    out = spark.read.parquet(f"{path}/out")
+    rejected = spark.read.parquet(f"{path}/rejects").agg(F.count(F.lit(1))).scalar()
+    return out.agg(F.count(F.lit(1)).alias("accepted"), F.count_distinct("batch_id").alias("writes")).withColumn("rejected", rejected)
+
+
+@query("requests", sql="""
+SELECT count(*) AS parsed, true AS in_several_batches FROM requests WHERE event_id % 41 <> 0 AND event_id % 43 <> 0""")
+def stream_by_interval(spark, sf_dir):
+    """Messages read at an interval, two files each time, until all have been read."""
+    path = session.work_folder(spark, "interval")
+    _messages(fixtures.table(spark, sf_dir, "events")).repartition(4).write.parquet(f"{path}/in")
+    stream = readers.message_stream(spark, "parquet", {"maxFilesPerTrigger": "2"}, T.StructType([T.StructField("value", T.BinaryType())]), f"{path}/in")
+    parsed = stream_messages.requests(stream_messages.parsed(stream))
+    running = jobs.per_batch(parsed, writers.row_log(f"{path}/out"), f"{path}/checkpoint", "1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(f"{path}/out").agg(F.count("UUID").alias("parsed"), (F.count_distinct("batch_id") > 1).alias("in_several_batches"))

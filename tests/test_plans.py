@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skyledger import schemas
 from skyledger.functions.text import DELAY_CLASSES_3
 from skyledger.operators import aggregates, ordering
-from skyledger.plans import daily, encoding, features, requests, scoring, training
+from skyledger.plans import daily, encoding, features, forest_table, requests, scoring, training
 from skyledger.sources import readers
 from tests.conftest import rows
 
@@ -195,6 +195,23 @@ def test_indices_from_the_message(sample, trained):
         scoring.score(asked, trained.model, index_source="other")
 
 
+def test_forest_as_a_table(spark, sample, trained, tmp_path):
+    """Joins with the table of nodes give the classes of the chain, also for unseen labels and missing numbers."""
+    path = str(tmp_path / "forest")
+    training.save(trained.model, path)
+    table = forest_table.nodes(spark, path)
+    assert table.select("tree").distinct().count() == 20 and table.where("leaf AND (threshold IS NOT NULL OR left_values IS NOT NULL)").count() == 0
+    odd = sample.limit(60).withColumns({"Origin": F.lit("??"), "DepDelay": F.when(F.col("DepDelay") > 10, F.col("DepDelay"))})
+    sample.unionByName(odd).withColumn("id", F.monotonically_increasing_id()).write.parquet(str(tmp_path / "asked"))
+    asked = spark.read.parquet(str(tmp_path / "asked"))
+    model = training.load(spark, path)
+    depth = forest_table.levels(table)
+    assert 1 <= depth <= 5
+    got = forest_table.classified(forest_table.feature_rows(asked, model, "id"), table, "id", depth)
+    want = scoring.score(asked, model, "keep").select("id", "Prediction")
+    assert rows(got) == rows(want) and got.select("Prediction").distinct().count() > 1
+
+
 def test_regression(sample):
     model = training.train_regression(sample)
     scored = training.score_regression(sample, model)
