@@ -5,6 +5,7 @@ Every setting here is a runtime SQL setting, so ``prepare`` works on a session s
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,8 +49,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table, below a folder that driver and executors share.
 
-    That is the folder named by ``spark.checkpoint.dir``, or where it is unset the warehouse folder of the session. A folder
-    on one machine is never used: other executors do not see it, and it is lost with its host.
+    That is the folder named by ``spark.checkpoint.dir``. Where it is unset, the warehouse folder of the session takes its place,
+    unless that lies on one machine while the session runs on several: other executors would not see it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if warehouse.startswith(("file:", "/")) and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share; the warehouse lies on one machine")
+        base = f"{warehouse}/_work"
     return f"{base.rstrip('/')}/skyledger/{name}-{uuid.uuid4().hex}"

@@ -213,3 +213,22 @@ def test_counts_are_taken_on_the_way(spark, base):
     rows_, nulls = writers.write_observed(df, lambda out: writers.write_parquet(out, base))
     assert (rows_, nulls) == (100, {"id": 0, "x": 75, "never": 100}) and spark.read.parquet(base).columns == df.columns
     assert writers.write_observed(df.where("id < 0"), lambda out: writers.write_parquet(out, f"{base}/none"), ["x"]) == (0, {"x": 0})
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    class Session:
+        """A session of several machines, as far as ``work_folder`` looks at one."""
+        def __init__(self, master, **settings):
+            self.conf, self.sparkContext = self, self
+            self.master, self.settings = master, settings
+
+        def get(self, key, default=None):
+            return self.settings.get(key, default)
+
+    local = {"spark.sql.warehouse.dir": "file:/data/warehouse"}
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.work_folder(Session(master, **local), "x")
+        assert session.work_folder(Session(master, **local, **{"spark.checkpoint.dir": "hdfs://n/c"}), "x").startswith("hdfs://n/c/skyledger/x-")
+    assert session.work_folder(Session("yarn", **{"spark.sql.warehouse.dir": "s3a://b/w"}), "x").startswith("s3a://b/w/_work/skyledger/x-")
+    assert session.work_folder(Session("local[8]", **local), "x").startswith("file:/data/warehouse/_work/")
