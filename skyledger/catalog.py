@@ -1010,10 +1010,8 @@ def regression_score(spark, sf_dir):
     error = F.avg(F.pow(F.col("Delay") - F.col("ArrDelay"), 2))
     judged = training.score_regression(known, _regression(spark, sf_dir)).agg(
         F.count(F.lit(1)).alias("scored"), F.round(F.var_pop("ArrDelay"), 6).alias("variance"),
-        (error <= F.var_pop("ArrDelay")).alias("error_at_most_variance"))
-    line = training.fit_line(known, "DepDelay", "ArrDelay")
-    return judged.join(line, F.lit(True)).select("scored", "variance", "error_at_most_variance", F.round("slope", 6).alias("slope"),
-                                                 F.round("intercept", 6).alias("intercept"))
+        (error <= F.var_pop("ArrDelay")).alias("error_at_most_variance"), *training.line_of("DepDelay", "ArrDelay"))
+    return judged.withColumns({"slope": F.round("slope", 6), "intercept": F.round("intercept", 6)})
 
 
 @query("requests", sql="SELECT Carrier, count(*) AS scored FROM requests GROUP BY 1")

@@ -55,7 +55,8 @@ def update(spark: SparkSession, base: str, flights: DataFrame, days: DataFrame |
     replaced = spark.read.parquet(f"{aside}/days")
     periods = replaced.select(PERIOD).distinct()
     chosen = flights.join(replaced.select(F.col(DAY).alias("_day")), F.col("FlightDate").cast("date") == F.col("_day"), "left_semi")
-    for name, made in day_states(chosen).items():
+    chosen.select("FlightDate", "Year", "Month", "Carrier", "TailNum").write.parquet(f"{aside}/flights")  # read once per table below
+    for name, made in day_states(spark.read.parquet(f"{aside}/flights")).items():
         rows, target = made, f"{base}/{name}"
         if _exists(spark, target):
             old = spark.read.schema(made.schema).parquet(target)

@@ -10,7 +10,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Bucketizer, OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -298,9 +298,12 @@ def load_regression(spark: SparkSession, path: str) -> Regression:
     return Regression(labels, _sizes(labels), PipelineModel.load(f"{path}/pipeline"))
 
 
+def line_of(x: str, y: str) -> list[Column]:
+    """Slope and intercept of the least-squares line through two numeric columns, as aggregates: one pass, beside any others."""
+    return [F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double")).alias("slope"),
+            F.regr_intercept(F.col(y).cast("double"), F.col(x).cast("double")).alias("intercept")]
+
+
 def fit_line(rows: DataFrame, x: str, y: str) -> DataFrame:
-    """Least-squares line through two numeric columns, ``(slope, intercept)``, fitted by the same regression."""
-    known = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    vectors = VectorAssembler(inputCols=["_x"], outputCol=VECTOR).transform(known).select(VECTOR, "_y")
-    line = LinearRegression(featuresCol=VECTOR, labelCol="_y", solver="normal").fit(vectors)
-    return rows.sparkSession.createDataFrame([(float(line.coefficients[0]), float(line.intercept))], "slope double, intercept double")
+    """The least-squares line of the rows where both columns are known, ``(slope, intercept)``."""
+    return rows.agg(*line_of(x, y))
