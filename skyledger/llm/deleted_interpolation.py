@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import exchange
 from skyledger.llm.common import NULL_ID, stored
-from skyledger.llm.rolling import Slices, mixed, word_bounds, word_pieces
+from skyledger.llm.rolling import Words, mixed
 
 U = np.uint64
 START, END = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)  # stand before and behind every text
@@ -55,14 +55,12 @@ class Tokens:
             own = text.encode().translate(_FOLD).split()
             words += own
             lengths.append(len(own) + 1)
-        hashes = [Slices(data).hashes(*word_bounds(data)) for _, data in word_pieces(words, 0)] if words else []
         self.lengths = np.array(lengths, dtype=np.int64)
         ends = np.cumsum(self.lengths) - 1
         self.word = np.full(int(self.lengths.sum()), END)
         inner = np.ones(len(self.word), dtype=bool)
         inner[ends] = False
-        if hashes:
-            self.word[inner] = np.concatenate(hashes)
+        self.word[inner] = Words(words).runs(1)
         self.first = ends + 1 - self.lengths
         context = np.roll(self.word, 1)
         context[self.first] = START

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from skyledger.llm import exchange
 from skyledger.llm.common import block_count, documents, public_id, stored
 from skyledger.llm.exchange import narrow, planes, whole
-from skyledger.llm.rolling import Slices, mixed, word_bounds, word_pieces
+from skyledger.llm.rolling import Words, mixed, word_pieces
 
 U = np.uint64
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -43,12 +43,7 @@ def shingles(text: str, length: int) -> np.ndarray:
     if not words:
         return np.zeros(0, dtype=np.uint64)
     length = min(length, len(words))
-    made = []
-    for _, data in word_pieces(words, length - 1):
-        starts, stops = word_bounds(data)
-        if len(starts) >= length:
-            made.append(Slices(data).hashes(starts[:len(starts) - length + 1], stops[length - 1:]))
-    return np.unique(np.concatenate(made))
+    return np.unique(np.concatenate([Words(part).runs(length) for _, part in word_pieces(words, length - 1)]))
 
 
 def node(features: np.ndarray) -> int:

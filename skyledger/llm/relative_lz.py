@@ -5,7 +5,7 @@ their word windows (see ``rolling``): a window can stand in another place only i
 greedily, left to right, against the index of all blocks: a factor starts at the first window whose anchor another place
 shares and goes on for as long as each further window's anchor is shared too; what is between factors is literal. Factors are
 at least a window long, but their windows may have been gathered from several reference places. So each factor is checked
-window by window, over its boundaries and inside, against the windows of all other factors, by 128-bit hashes. Windows that
+window by window, over its boundaries and inside, against the windows of all other factors, by 127-bit hashes. Windows that
 stand anywhere else are duplicate, and the words they cover are removed.
 
 Index and check are packed exchanges (see ``exchange``): a passage that is in a third of all documents is one entry per block.
@@ -13,6 +13,7 @@ Index and check are packed exchanges (see ``exchange``): a passage that is in a
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from skyledger.llm import exchange
 from skyledger.llm.common import NULL_ID
-from skyledger.llm.rolling import Slices, anchors, known, tallied, word_bounds, word_pieces
+from skyledger.llm.rolling import Words, anchors, known, tallied, word_pieces
 
 U = np.uint64
 ONE = U(1)
@@ -31,26 +32,30 @@ RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans a
 class Windows:
     """The windows of one piece of a text: anchor hashes and, on request, two independent hashes of each."""
 
-    def __init__(self, data: bytes, length: int, gram: int):
-        self.data, self.length = data, length
-        self.starts, self.stops = word_bounds(data)
-        self.count = max(0, len(self.starts) - length + 1)
+    def __init__(self, words: list[bytes], length: int, gram: int):
+        self.length = length
+        self.count = max(0, len(words) - length + 1)
         if self.count:
-            grams = Slices(data).hashes(self.starts[:len(self.starts) - gram + 1], self.stops[gram - 1:])
+            self.words = Words(words)
+            grams = self.words.runs(gram)
             # The lowest bit is kept free for marks.
             self.place = anchors(grams, length - gram + 1)
             self.anchor = grams[self.place] & ~ONE
 
-    def names(self, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        starts, stops = self.starts[picked], self.stops[picked + self.length - 1]
-        return Slices(self.data, 1).hashes(starts, stops) & ~ONE, Slices(self.data, 0).hashes(starts, stops)
+    def names(self, first: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        """Both hashes of the windows that start at the words from ``first`` to ``stop``; together 127 bits."""
+        return tuple(x[first:stop] for x in self.both)
+
+    @functools.cached_property
+    def both(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.words.runs(self.length, 1) & ~ONE, self.words.runs(self.length, 0)
 
 
 def pieces(table: pa.Table, length: int, gram: int):
     """The windows of every piece of a block's documents."""
     for _, text in exchange.texts_of(table):
-        for _, data in word_pieces(text.encode().split(), length - 1):
-            windows = Windows(data, length, gram)
+        for _, words in word_pieces(text.encode().split(), length - 1):
+            windows = Windows(words, length, gram)
             if windows.count:
                 yield windows
 
@@ -96,7 +101,7 @@ def factor_letters(buckets: int, length: int, gram: int):
         index, firsts, seconds = answers(replies, "anchor"), [], []
         for windows in pieces(table, length, gram):
             for first, stop in factors(windows, index):
-                a, b = windows.names(np.arange(first, stop))
+                a, b = windows.names(first, stop)
                 firsts.append(a)
                 seconds.append(b)
         if not firsts:
@@ -124,8 +129,19 @@ def repeated(key, table):
     twice = np.bincount(group) > 1
     twice[group[(got["first"] & ONE) == ONE]] = True
     keep = twice[group]
-    sent = [(key[0].as_py(), to, part) for to, part in exchange.parcels(block[keep], window=plain[keep])]
-    return exchange.letters(sent, ["window"])
+    sent = [(key[0].as_py(), to, part) for to, part in exchange.parcels(block[keep], first=plain[keep], second=second[keep])]
+    return exchange.letters(sent, ["first", "second"])
+
+
+def among(a: np.ndarray, b: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Which pairs of ``a`` and ``b`` are among the pairs of ``first``, which is sorted, and ``second``."""
+    at, stop = np.searchsorted(first, a, "left"), np.searchsorted(first, a, "right")
+    hit = np.zeros(len(a), dtype=bool)
+    while (at < stop).any():
+        open_ = at < stop
+        hit[open_] |= second[at[open_]] == b[open_]
+        at += 1
+    return hit
 
 
 def covered(count: int, length: int, hit: np.ndarray) -> np.ndarray:
@@ -145,14 +161,16 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
 def cleaner(length: int, gram: int):
     """Step 5, per block: removes the words that repeated windows cover."""
     def run(key, table, replies):
-        names, out = answers(replies, "window"), {}
+        got, out = exchange.received(replies, first="<u8", second="<u8")[1], {}
+        order = np.argsort(got["first"], kind="stable")
+        names = got["first"][order], got["second"][order]
         for doc_id, text in set(exchange.texts_of(table)):
             words = text.encode().split()
             hits = []
-            for first, data in word_pieces(words, length - 1):
-                windows = Windows(data, length, gram)
-                if windows.count and len(names):
-                    hits.append(first + np.flatnonzero(known(windows.names(np.arange(windows.count))[0], names)))
+            for first, part in word_pieces(words, length - 1):
+                windows = Windows(part, length, gram)
+                if windows.count and len(order):
+                    hits.append(first + np.flatnonzero(among(*windows.both, *names)))
             gone = covered(len(words), length, np.concatenate(hits) if hits else np.zeros(0, dtype=np.int64))
             kept = b" ".join(word for word, drop in zip(words, gone.tolist(), strict=True) if not drop)
             out[doc_id, text] = (len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(),
@@ -181,5 +199,5 @@ def remove_repeats(docs: DataFrame, length: int = 35, gram: int = 12, id_col: st
     index = texts.groupBy("block").applyInArrow(index_letters(blocks, length, gram), exchange.schema(["anchor"]))
     index = index.groupBy("bucket").applyInArrow(shared, exchange.schema(["anchor"]))
     names = per_block(index).applyInArrow(factor_letters(blocks, length, gram), exchange.schema(["first", "second"]))
-    names = names.groupBy("bucket").applyInArrow(repeated, exchange.schema(["window"]))
+    names = names.groupBy("bucket").applyInArrow(repeated, exchange.schema(["first", "second"]))
     return per_block(names).applyInArrow(cleaner(length, gram), RESULT)

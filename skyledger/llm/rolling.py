@@ -1,6 +1,7 @@
-"""Hashes of slices of a byte buffer, words of a text, and anchors: positions that equal texts choose alike.
+"""Hashes of runs of words and of slices of bytes, and anchors: positions that equal texts choose alike.
 
-A slice's hash is the difference of two prefix sums, so all windows of a text cost a few array operations. Anchors are window
+Runs of words may be told apart by their hashes (``Words``). A slice's hash (``Slices``) is the difference of two prefix sums; unlike
+slices that mirror each other can share it, so it may choose places, but no result may rest on its equality. Anchors are window
 minimisers: of every ``width`` consecutive grams the one with the least hash. The choice depends on the window's content only,
 so two equal windows, wherever they stand, have the same anchor at the same place.
 """
@@ -10,12 +11,14 @@ from __future__ import annotations
 import functools
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 _PLACE = U((1 << 24) - 1)
 PIECE_BYTES = 1 << 20  # texts are hashed in pieces of about this size, so a very long text needs no long arrays
 _random = np.random.default_rng(7)
 _TABLE = _random.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * U(2) + _random.integers(0, 2, (2, 256), dtype=np.uint64)
+_JOIN = U(0x9FB21C651E98DF25), U(0xD6E8FEB86659FD93)
 _BASE = [int(x) | 5 for x in _random.integers(1 << 62, 1 << 63, 2)]
 
 
@@ -49,27 +52,53 @@ class Slices:
         return mixed((self.sums[stops] - self.sums[starts]) * self.back[starts])
 
 
-def word_bounds(words: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and stops of the words of a text whose words are joined by one space."""
-    if not words:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    spaces = np.flatnonzero(np.frombuffer(words, dtype=np.uint8) == 32)
-    return np.concatenate(([0], spaces + 1)), np.concatenate((spaces, [len(words)]))
+def joined(left: np.ndarray, right: np.ndarray, which: int) -> np.ndarray:
+    """Hashes of two neighbouring runs as one; not a polynomial, and not symmetric."""
+    return mixed(left * U(3) + right * _JOIN[which])
+
+
+class Words:
+    """Hashes of runs of consecutive words; ``which`` picks one of two independent functions.
+
+    Each word has a 128-bit hash, half of it for each function. A run is joined from runs whose lengths are powers of two, so all
+    runs of one length cost a few array operations, and only equal words in equal order give equal inputs to any step.
+    """
+
+    def __init__(self, words: list[bytes]):
+        at = {word: n for n, word in enumerate(dict.fromkeys(words))}
+        self.at = np.fromiter(map(at.__getitem__, words), dtype=np.int64, count=len(words))
+        self.names = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, at)), dtype="<u8").reshape(-1, 2)
+
+    def runs(self, length: int, which: int = 0) -> np.ndarray:
+        """The hash of every run of ``length`` words, by its first word; nothing if there are fewer words."""
+        count = len(self.at) - length + 1
+        if count < 1:
+            return np.zeros(0, dtype=np.uint64)
+        level, span = mixed(self.names[:, which] ^ _JOIN[which])[self.at], 1
+        made, done = None, 0
+        while True:
+            if length & span:
+                made = level if made is None else joined(made[:len(level) - done], level[done:], which)
+                done += span
+            if done == length:
+                return made[:count]
+            level = joined(level[:-span], level[span:], which)
+            span *= 2
 
 
 def word_pieces(words: list[bytes], overlap: int, size: int = PIECE_BYTES):
-    """``(first word, joined words)`` of consecutive pieces of about ``size`` bytes; each repeats ``overlap`` words of the next.
+    """``(first word, words)`` of consecutive pieces of about ``size`` bytes; each repeats ``overlap`` words of the next.
 
     Windows of ``overlap + 1`` words thus start in exactly one piece each.
     """
     if sum(map(len, words)) + len(words) <= size:
-        yield 0, b" ".join(words)
+        yield 0, words
         return
     ends = np.cumsum([len(word) + 1 for word in words])
     first = 0
     while first < len(words):
         last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + size)))
-        yield first, b" ".join(words[first:last + overlap])
+        yield first, words[first:last + overlap]
         first = last
 
 

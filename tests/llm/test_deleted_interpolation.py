@@ -76,3 +76,11 @@ def test_weights_sum_to_one_and_edges(spark):
     none = lm.score(df, F.lit(False), F.lit(False)).collect()
     assert {(r.n_known, r.train_tokens) for r in none} == {(0, 0)} and all(r.score < 0 for r in none)
     assert lm.score(corpus(spark, []), F.lit(True), F.lit(True)).count() == 0
+
+
+def test_mirrored_words_are_counted_apart():
+    from tests.llm.test_relative_lz import mirrored
+
+    one, two = mirrored()
+    word = lm.Tokens([f"{one} {two} {one}", ""]).word
+    assert word[0] == word[2] != word[1] and word[3] == word[4] == lm.END

@@ -87,3 +87,10 @@ def test_hot_groups_and_empty(spark):
     assert result(corpus(spark, [t for _, t in rows])) == expected(rows)
     df = corpus(spark, []).withColumnRenamed("lang", "node")
     assert part_enum.join(df).count() == 0
+
+
+def test_mirrored_texts_are_not_linked(spark):
+    from tests.llm.test_relative_lz import mirrored
+
+    rows = [(n + 1, " ".join([text] * 9)) for n, text in enumerate(mirrored())]
+    assert result(corpus(spark, [t for _, t in rows], [i for i, _ in rows])) == expected(rows) == [(1, 1, 1), (2, 1, 2)]

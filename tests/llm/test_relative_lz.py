@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -48,7 +49,36 @@ def test_long_texts_are_cut_in_pieces():
 
     words = prose(3, 500).encode().split()
     seen = []
-    for first, data in word_pieces(words, 4, 100):
-        part = data.split()
+    for first, part in word_pieces(words, 4, 100):
         seen += [(first + p, tuple(part[p:p + 5])) for p in range(len(part) - 4)]
     assert seen == [(p, tuple(words[p:p + 5])) for p in range(len(words) - 4)]
+
+
+def mirrored(bits: int = 10):
+    """The Thue-Morse sequence and its mirror: polynomials modulo a power of two hash both alike."""
+    text = "".join("ab"[n.bit_count() % 2] for n in range(1 << bits))
+    return text, text.translate(str.maketrans("ab", "ba"))
+
+
+def test_mirrored_texts_are_not_equal(spark):
+    one, two = mirrored()
+    assert not set(relative_lz.Words([one.encode()]).runs(1)) & set(relative_lz.Words([two.encode()]).runs(1))
+    texts = [" ".join([t] * 35) for t in (one, two)] + [" ".join(t) for t in (one, two)]
+    got = {r.doc_id: (r.n_removed, r.n_words) for r in relative_lz.remove_repeats(corpus(spark, texts)).collect()}
+    assert got[0] == (0, 35) and got[1] == (0, 35)
+
+
+def test_runs_tell_windows_apart():
+    rng = random.Random(4)
+    words = [rng.choice(["a", "b", "ab", "c"]).encode() for _ in range(400)]
+    for length in (1, 2, 3, 5, 12, 35, 64, 400, 401):
+        hashes = relative_lz.Words(words).runs(length)
+        windows = [tuple(words[i:i + length]) for i in range(len(words) - length + 1)]
+        assert len(hashes) == len(windows) and len(set(zip(windows, hashes.tolist()))) == len(set(windows)) == len(set(hashes.tolist()))
+
+
+def test_both_hashes_decide():
+    first, second = (relative_lz.np.array(x, dtype=relative_lz.np.uint64) for x in ([2, 2, 2, 8], [5, 6, 7, 1]))
+    asked = [(2, 7), (2, 9), (8, 1), (8, 5), (4, 5)]
+    a, b = (relative_lz.np.array(x, dtype=relative_lz.np.uint64) for x in zip(*asked))
+    assert relative_lz.among(a, b, first, second).tolist() == [True, False, True, False, False]
