@@ -12,8 +12,12 @@ Jaccard decides, linked sets become one component, and only groups that still jo
 after a few rounds is compared across components only, where two sets share as many signatures as similar sets of their sizes
 must. So no link is lost, and copies cost one comparison each.
 
-Hot groups. Similar sets share a known least number of parts, not only one. A set with fewer hot signatures than that has a
-cold group with each of its partners and leaves its hot groups; a set that is hot almost everywhere stays in them.
+Large groups. Similar sets share a known least number of signatures, not only one. So a set leaves its largest groups, as long
+as they hold fewer of its signatures than that number: the smallest group that two similar sets share is never left by either.
+
+Exact Jaccard needs both texts. Before they are fetched, bitmaps decide most pairs: bit ``b`` of a set tells whether an odd number of
+its features have the hash ``b``, so bitmaps differ in at most as many bits as the sets differ in features, and a pair whose bitmaps
+differ in more bits than similar sets of these sizes may is not similar.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm import exchange
@@ -32,7 +36,8 @@ from skyledger.llm.rolling import Words, mixed, word_pieces
 
 U = np.uint64
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-HOT, SLACK = 64, 1.25
+SMALL, SLACK = 4, 1.25  # groups of no more than SMALL members are not worth leaving
+BITS = 1024
 SENT = ["signatures", "owners", "nodes", "tags", "sizes", "spare"]
 PAIRS = ((0, 1), (0, 2), (1, 2))
 
@@ -51,6 +56,12 @@ def node(features: np.ndarray) -> int:
     return int(mixed(np.array([np.add.reduce(mixed(features + U(1))) + U(len(features))], dtype=np.uint64)).view(np.int64)[0])
 
 
+def bitmap(features: np.ndarray) -> np.ndarray:
+    """For each of ``BITS`` hashes whether an odd number of features have it, as 64-bit numbers."""
+    odd = np.bincount((features & U(BITS - 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view("<i8")
+
+
 def bounds() -> list[int]:
     """Lower bounds of all size bands: about one and a half times the one before."""
     out = [1]
@@ -94,12 +105,13 @@ def signatures(features: np.ndarray, percent: int):
 
 
 def set_keys(length: int):
-    """Per row: the size of its set and the set's name."""
+    """Per row: the size of its set, the set's name and bitmap."""
     def run(batches):
         for batch in batches:
             sets = [shingles(text.as_py(), length) for text in batch.column(1)]
             made = [pa.array([len(s) for s in sets], pa.int64()), pa.array([node(s) for s in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made, batch.column(2)], ["doc_id", "n_shingles", "node", "text_key"])
+            bits = pa.array([bitmap(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, batch.column(2), bits], ["doc_id", "n_shingles", "node", "text_key", "bits"])
     return run
 
 
@@ -132,13 +144,13 @@ def sign_letters(buckets: int, length: int, percent: int, some: int = 2048):
     return run
 
 
-GROUP = "gid long, node long, tag int, size long, spare long, hot boolean, n long"
+GROUP = "gid long, node long, tag int, size long, spare long, members long, n long"
 
 
 def groups(key, table):
     """Per bucket: sets that share a signature, one row per member; groups with the same members appear once with their number."""
     schema = pa.schema([("gid", pa.int64()), ("node", pa.int64()), ("tag", pa.int32()), ("size", pa.int64()), ("spare", pa.int64()),
-                        ("hot", pa.bool_()), ("n", pa.int64())])
+                        ("members", pa.int64()), ("n", pa.int64())])
     got = {name: [x.as_py() for x in table.column(name)] for name in SENT}
     sign = np.concatenate([whole(x, 5) for x in got["signatures"]])
     nodes = np.concatenate([np.frombuffer(x, dtype="<i8") for x in got["nodes"]])
@@ -167,7 +179,30 @@ def groups(key, table):
     rows = np.repeat(at[head] - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
     who = keep[member[rows]]
     return pa.table([np.repeat(gid[head].view(np.int64), times), nodes[who], tags[who].astype(np.int32), sizes[who], spare[who],
-                     np.repeat(times > HOT, times), np.repeat(n, times)], schema=schema)
+                     np.repeat(times, times), np.repeat(n, times)], schema=schema)
+
+
+def smaller(found: DataFrame) -> DataFrame:
+    """The groups of every set without the largest ones that it can leave; ``left`` is how many signatures it left.
+
+    Similar sets share at least ``spare`` signatures. Groups are ordered alike for all sets, and a set leaves fewer than ``spare``
+    signatures, from the top of that order; then two similar sets stay in the last group that they share, and share
+    at least ``spare - left`` signatures in what they keep, each taken as the larger of the two sets.
+    """
+    order = Window.partitionBy("node", "tag").orderBy(F.desc("members"), "gid")
+    down = found.withColumn("down", F.sum("n").over(order))
+    leaves = (F.col("down") < F.col("spare")) & (F.col("members") > SMALL)
+    total = F.coalesce(F.sum(F.when(leaves, F.col("n"))).over(Window.partitionBy("node", "tag")), F.lit(0))
+    return down.withColumn("left", total).where(~leaves).select("gid", "node", "tag", "size", "n", "spare", "left")
+
+
+def possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their bitmaps do not rule out."""
+    a, b = (maps.select(F.col("node").alias(n), F.col("size").alias(f"size_{n}"), F.col("bits").alias(f"bits_{n}")) for n in ("a", "b"))
+    differ = sum((F.bit_count(F.col("bits_a")[n].bitwiseXOR(F.col("bits_b")[n])) for n in range(1, BITS // 64)),
+                 F.bit_count(F.col("bits_a")[0].bitwiseXOR(F.col("bits_b")[0])))
+    return pairs.join(b, "b").join(a, "a").where(
+        differ * (100 + percent) <= (F.col("size_a") + F.col("size_b")) * (100 - percent)).select("a", "b")
 
 
 def similar(length: int, percent: int):
@@ -223,18 +258,17 @@ def join(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc
     texts = documents(docs, id_col, text_col)
     buckets = block_count(texts, bucket_bytes)
     keyed = texts.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    keys = stored(keyed.mapInArrow(set_keys(length), "doc_id long, n_shingles long, node long, text_key long"), "set-keys")
+    keys = stored(keyed.mapInArrow(set_keys(length), "doc_id long, n_shingles long, node long, text_key long, bits array<long>"), "set-keys")
     letters = texts.select("text").mapInArrow(sign_letters(buckets, length, percent), exchange.schema(SENT))
-    found = stored(letters.groupBy("bucket").applyInArrow(groups, GROUP).groupBy("gid", "node", "tag", "hot").agg(
-        F.sum("n").alias("n"), F.max("size").alias("size"), F.max("spare").alias("spare")), "groups")
-    heat = found.where("hot").groupBy("node", "tag").agg(F.sum("n").alias("heat"))
-    # `need` is the least number of signatures that a set shares with a similar one in the groups that are kept.
-    need = F.greatest(F.col("spare") - F.coalesce("heat", F.lit(0)), F.lit(1)).alias("need")
-    members = stored(found.join(heat, ["node", "tag"], "left").where("NOT hot OR heat >= spare").select("gid", "node", "tag", "size", "n", need), "members")
+    found = letters.groupBy("bucket").applyInArrow(groups, GROUP).groupBy("gid", "node", "tag").agg(
+        F.sum("n").alias("n"), F.max("members").alias("members"), F.max("size").alias("size"), F.max("spare").alias("spare"))
+    members = stored(smaller(found), "members")
     wanted = members.select("node").distinct()
-    first = keys.join(wanted, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("node", "row.*")
+    first = keys.join(wanted, "node").groupBy("node").agg(
+        F.min(F.struct("doc_id", "text_key", "n_shingles", "bits")).alias("row")).select("node", "row.*")
     # A row repeated whole repeats its text here, and a pair repeats its outcome.
     known = stored(texts.withColumn("text_key", F.xxhash64("text")).join(first, ["doc_id", "text_key"]).select("node", "text"), "set-texts")
+    maps = stored(first.select("node", F.col("n_shingles").alias("size"), "bits"), "set-bitmaps")
     links = spark.createDataFrame([], "a long, b long")
     tested, labels = links, spark.createDataFrame([], "node long, component long")
     for turn in range(rounds + 1):
@@ -252,11 +286,12 @@ def join(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc
             pairs = members.join(pivot, "gid").where(apart & close).groupBy("node").agg(F.min("node_").alias("node_"))
         else:
             # What is left: members of one group that are in different components.
-            other = members.select("gid", *[F.col(name).alias(f"{name}_") for name in ("node", "size", "component", "need")])
+            other = members.select("gid", *[F.col(name).alias(f"{name}_") for name in ("node", "size", "component", "spare", "left")])
             pairs = members.join(other, "gid").where((F.col("node") < F.col("node_")) & apart & close).groupBy("node", "node_", "tag").agg(
-                F.sum("n").alias("shared"), F.max(F.greatest("need", "need_")).alias("least")).where("shared >= least")
+                F.sum("n").alias("shared"), 
+                F.max(F.greatest("spare", "spare_") - F.greatest("left", "left_")).alias("least")).where("shared >= least")
         pairs = pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = stored(possible(pairs.join(tested, ["a", "b"], "left_anti"), maps, percent), "pairs")
         tested = tested.unionByName(pairs)
         left, right = (known.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}")) for n in ("a", "b"))
         sides = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")

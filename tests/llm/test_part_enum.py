@@ -59,7 +59,7 @@ def rows_for(seed):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(spark, docs, seed, monkeypatch):
-    monkeypatch.setattr(part_enum, "HOT", 8)
+    monkeypatch.setattr(part_enum, "SMALL", 1 + seed)
     texts = rows_for(seed) + [r.text for r in docs.collect()]
     rows = list(enumerate(texts)) + [(5, texts[5]), (None, texts[7])]
     df = corpus(spark, [t for _, t in rows], [i for i, _ in rows])
@@ -94,3 +94,33 @@ def test_mirrored_texts_are_not_linked(spark):
 
     rows = [(n + 1, " ".join([text] * 9)) for n, text in enumerate(mirrored())]
     assert result(corpus(spark, [t for _, t in rows], [i for i, _ in rows])) == expected(rows) == [(1, 1, 1), (2, 1, 2)]
+
+
+def test_bitmaps_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        a, b = (np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 3000)), dtype=np.uint64)) for _ in range(2))
+        b = np.union1d(b, a[:int(rng.integers(0, len(a) + 1))])
+        bits = part_enum.bitmap(a) ^ part_enum.bitmap(b)
+        assert len(bits) * 64 == part_enum.BITS and sum(int(x).bit_count() for x in bits.view(np.uint64)) <= len(np.setxor1d(a, b))
+
+
+def test_similar_sets_stay_in_a_group_they_share(spark):
+    rng = random.Random(8)
+    rows, shared = [], {}
+    for tag in range(40):
+        lists = [sorted(rng.sample(range(30), rng.randrange(5, 25))) for _ in range(2)]
+        both = len(set(lists[0]) & set(lists[1]))
+        shared[tag] = both
+        for node, own in enumerate(lists):
+            rows += [(tag * 100 + g, node, tag, 1 + g % 7 * 3, 50, rng.randrange(0, both + 1) if g == own[0] else 0, 1) for g in own]
+    found = spark.createDataFrame(rows, "gid long, node long, tag int, members long, size long, spare long, n long")
+    spare = found.groupBy("node", "tag").agg({"spare": "max"}).withColumnRenamed("max(spare)", "spare")
+    kept = {}
+    for r in part_enum.smaller(found.drop("spare").join(spare, ["node", "tag"])).collect():
+        kept.setdefault((r.tag, r.node), []).append(r)
+    for tag, both in shared.items():
+        if both:
+            one, two = kept[tag, 0], kept[tag, 1]
+            same = {r.gid for r in one} & {r.gid for r in two}
+            assert same and len(same) >= max(one[0].spare, two[0].spare) - max(one[0].left, two[0].left)
