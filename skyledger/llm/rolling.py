@@ -53,8 +53,9 @@ class Slices:
 
 
 def joined(left: np.ndarray, right: np.ndarray, which: int) -> np.ndarray:
-    """Hashes of two neighbouring runs as one; not a polynomial, and not symmetric."""
-    return mixed(left * U(3) + right * _JOIN[which])
+    """Hashes of two neighbouring runs as one; neither a polynomial of them nor symmetric."""
+    both = left * _JOIN[which] + right * _JOIN[1 - which]
+    return both ^ (both >> U(32))
 
 
 class Words:
@@ -65,16 +66,14 @@ class Words:
     """
 
     def __init__(self, words: list[bytes]):
-        at = {word: n for n, word in enumerate(dict.fromkeys(words))}
-        self.at = np.fromiter(map(at.__getitem__, words), dtype=np.int64, count=len(words))
-        self.names = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, at)), dtype="<u8").reshape(-1, 2)
+        self.names = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), dtype="<u8").reshape(-1, 2)
 
     def runs(self, length: int, which: int = 0) -> np.ndarray:
         """The hash of every run of ``length`` words, by its first word; nothing if there are fewer words."""
-        count = len(self.at) - length + 1
+        count = len(self.names) - length + 1
         if count < 1:
             return np.zeros(0, dtype=np.uint64)
-        level, span = mixed(self.names[:, which] ^ _JOIN[which])[self.at], 1
+        level, span = self.names[:, which], 1
         made, done = None, 0
         while True:
             if length & span:
