@@ -39,7 +39,7 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 SMALL, SLACK = 4, 1.25  # groups of no more than SMALL members are not worth leaving
 BITS = 1024
 SENT = ["signatures", "owners", "nodes", "tags", "sizes", "spare"]
-PAIRS = ((0, 1), (0, 2), (1, 2))
+LEFT, RIGHT = [0, 0, 1], [1, 2, 2]  # each two of three sub-parts
 
 
 def shingles(text: str, length: int) -> np.ndarray:
@@ -81,6 +81,7 @@ def signatures(features: np.ndarray, percent: int):
     """
     size, rest = len(features), 100 - percent
     own = bisect_right(BANDS, size) - 1
+    values = mixed(features ^ U(0x5851F42D4C957F2D))
     for tag in (own - 1, own):
         # Similar sizes are at least `percent` % of each other.
         if tag < 0 or tag < own and size * percent >= 100 * BANDS[own]:
@@ -92,16 +93,13 @@ def signatures(features: np.ndarray, percent: int):
         parts = int(SLACK * (differ(highest) // 2 + 1)) + 1
         sub = ((features >> U(32)) * U(3 * parts)) >> U(32)
         cuts = np.searchsorted(sub, np.arange(3 * parts + 1, dtype=np.uint64))
-        sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mixed(features ^ U(0x5851F42D4C957F2D)))))
+        sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(values)))
         sums = (sums[cuts[1:]] - sums[cuts[:-1]]).reshape(parts, 3)
         filled = (np.diff(cuts) > 0).reshape(parts, 3)
-        part = np.arange(parts, dtype=np.uint64)
+        number = np.arange(3 * parts, dtype=np.uint64)
         spare = int((filled.sum(axis=1) >= 2).sum()) - differ(min(size, highest)) // 2
-        made = []
-        for which, (a, b) in enumerate(PAIRS):
-            sign = mixed(sums[:, a] * U(3) + sums[:, b] * U(0x9FB21C651E98DF25) + (part * U(3) + U(which)) * U(0xD6E8FEB86659FD93) + U(tag << 48))
-            made.append(sign if spare < 1 else sign[filled[:, a] | filled[:, b]])
-        yield tag, np.concatenate(made), max(0, spare)
+        sign = mixed(sums[:, LEFT] * U(3) + sums[:, RIGHT] * U(0x9FB21C651E98DF25) + number.reshape(parts, 3) * U(0xD6E8FEB86659FD93) + U(tag << 48))
+        yield tag, sign.ravel() if spare < 1 else sign[filled[:, LEFT] | filled[:, RIGHT]], max(0, spare)
 
 
 def set_keys(length: int):
