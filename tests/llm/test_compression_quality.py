@@ -1,3 +1,9 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from skyledger.llm import compression_quality as quality
@@ -8,18 +14,19 @@ from tests.llm.conftest import corpus, prose
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     rows = queries.op1_compression_quality(spark, sf).join(queries.table(spark, sf, "labels"), "doc_id").where("held_out").collect()
-    good, bad = [r.score for r in rows if r.quality == 1], [r.score for r in rows if r.quality == 0]
-    wins = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
-    assert wins > 0.85 and sum(r.predicted for r in rows if r.quality == 1) / len(good) > 0.97
+    good, bad = [r for r in rows if r.quality == 1], [r for r in rows if r.quality == 0]
+    wins = sum((g.score > b.score) + 0.5 * (g.score == b.score) for g in good for b in bad) / (len(good) * len(bad))
+    assert wins > 0.95 and sum(r.predicted for r in good) / len(good) >= 0.95
+    assert sum(1 - r.predicted for r in bad) / len(bad) >= 0.5 and all(r.predicted == (r.score >= 0.3) for r in rows)
 
 
 def test_nulls_order_and_other_columns(spark):
     texts = [prose(i, 80) for i in range(60)] + ["zz!! " * 40 + str(i) for i in range(60)] + [None, "", "x" * 500_000]
     docs = corpus(spark, texts)
     labels = docs.select("doc_id", (F.col("doc_id") < 60).cast("int").alias("quality")).unionByName(
-        spark.createDataFrame([(None, 1), (3, None), (9999, 0)], "doc_id long, quality int"))
+        spark.createDataFrame([(None, 1), (3, None), (9999, 0), (4, 2)], "doc_id long, quality int"))
     model = quality.fit(docs, labels)
-    assert list(model.scores) == sorted(model.scores) and model == quality.fit(docs.repartition(5), labels)
+    assert model.slope > 0 and model == quality.fit(docs.repartition(5).union(docs), labels)
     got = quality.scored(docs.withColumnRenamed("source", "labels"), model)
     assert got.columns == ["doc_id", "text", "lang", "labels", "n_chars", "score"]
     scores = {r.doc_id: r.score for r in got.collect()}
@@ -28,21 +35,56 @@ def test_nulls_order_and_other_columns(spark):
     assert quality.scored(docs.limit(0), model).count() == 0
 
 
-def test_one_class_or_no_labels(spark):
+def test_one_class_few_or_no_labels(spark):
     docs = corpus(spark, ["a b", "c d"])
-    one = quality.fit(docs, spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int"))
-    none = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
-    assert one.score(0.0) == 1.0 and none.score(0.0) == 0.5
+    label = lambda *rows: quality.fit(docs, spark.createDataFrame(list(rows), "doc_id long, quality int"))
+    assert label((0, 1), (1, 1)).score(0.0) == 1.0 and label((0, 0)).score(3.0) < 1e-300 and label().score(0.0) == 0.5
+    assert abs(label((0, 1), (1, 0)).score(9.0) - 0.5) < 1e-12  # too few to calibrate: the share of the good ones
+
+
+@pytest.mark.parametrize(("n", "count", "size"), [(24, 8, 100), (90, 64, 256)])
+def test_model_against_plain_version(spark, n, count, size):
+    texts = {i: " ".join(f"{'good' if i % 3 else 'bad'}{(i * 7 + j * j) % 50}" for j in range(40 * (1 + i % 7))) for i in range(n)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in texts], "doc_id long, quality int")
+    model = quality.fit(docs, labels, dictionary_bytes=count * size, chunk_bytes=size)
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", F.pmod(F.hash("doc_id"), F.lit(5)).alias("f")).collect()}
+    places = docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(200))).alias("at")).select("*", F.xxhash64("doc_id", "at").alias("h"))
+    at = {(r.doc_id, r.at): r.h for r in places.collect()}
+
+    def pair(without):
+        cut = {y: sorted((at[i, k], texts[i].encode()[k * size:(k + 1) * size]) for i in texts if int(i % 3 > 0) == y and fold[i] != without
+                         for k in range(math.ceil(len(texts[i]) / size))) for y in (0, 1)}
+        least = min(count, len(cut[0]), len(cut[1]))
+        return [b"".join(c for _, c in cut[y][:least]) for y in (1, 0)]
+
+    assert [model.good, model.bad] == pair(None)
+    points = []
+    for i, text in texts.items():
+        sizes = [len(zstandard.ZstdCompressor(level=quality.LEVEL, write_content_size=False, write_dict_id=False, dict_data=zstandard.ZstdCompressionDict(
+            d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)).compress(text.encode())) for d in pair(fold[i])]
+        points.append(((sizes[1] - sizes[0]) / math.sqrt(len(text) + 1), int(i % 3 > 0)))
+    parts = quality.chunks(quality.labelled(docs, labels, 3000, 5), count, size)
+    got = quality.differences(quality.labelled(docs, labels, 3000, 5), [quality.dictionaries(parts, count, without=k) for k in range(5)])
+    assert [y for _, y in got] == [y for _, y in sorted(points)] and np.allclose([d for d, _ in got], [d for d, _ in sorted(points)], atol=0.5)
+    assert (model.intercept, model.slope) == quality.logistic(got, Counter({0: 1.0, 1: 1.0}))
+
+
+def test_logistic_recovers_a_curve_and_weights():
+    rng = np.random.default_rng(5)
+    x = rng.normal(1, 2, 20000)
+    y = (rng.random(20000) < 1 / (1 + np.exp(-(0.5 + 1.5 * x)))).astype(int)
+    intercept, slope = quality.logistic(list(zip(x.tolist(), y.tolist(), strict=True)), {0: 1.0, 1: 1.0})
+    assert abs(intercept - 0.5) < 0.1 and abs(slope - 1.5) < 0.1
+    heavier, same = quality.logistic(list(zip(x.tolist(), y.tolist(), strict=True)), {0: 3.0, 1: 1.0})
+    assert abs(heavier - (intercept - math.log(3))) < 0.1 and abs(same - slope) < 0.1
+    assert quality.logistic([(1.0, 0), (0.0, 1)], {0: 1.0, 1: 1.0}) == (0.0, 0.0)
 
 
-def test_calibrated_on_whole_texts(spark):
-    texts = {i: " ".join(f"{'good' if i % 2 else 'bad'}{(i * 7 + j) % 50}" for j in range(3000)) for i in range(80)}
+def test_chunks_come_from_whole_texts(spark):
+    texts = {0: "a" * 1000 + "z" * 1000, 1: "b" * 2000}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
-    model = quality.fit(docs, labels, text_bytes=500)
-    pair = quality.compressors(model.good, model.bad)
-    rows = quality.sample(docs, labels, 3000, 500)
-    held = [(doc_id, y) for label in (0, 1) for doc_id, _, y in [r for r in rows if r[2] == label][1::2]]
-    known = [(quality.difference(texts[doc_id].encode(), *pair), y) for doc_id, y in held]
-    assert sorted(quality.differences(docs, held, model.good, model.bad)) == sorted(known)
-    assert model.knots == quality.isotonic(known, 0.5)[0]
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    parts = quality.chunks(quality.labelled(docs, labels, 10, 5), 1000, 64)
+    for label, doc in ((1, 0), (0, 1)):
+        assert b"".join(c for *_, c in sorted((p[4], p[5]) for p in parts if p[0] == label)).decode() == texts[doc]
