@@ -246,8 +246,16 @@ def components(links: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2,
          bucket_bytes: int = 16 << 20) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` per row of ``docs``.
+    """``(doc_id, n_shingles, component_id)`` per row of ``docs``, as ``classes`` finds them."""
+    return classes(docs, length, percent, id_col, text_col, rounds, bucket_bytes).select(
+        public_id(), "n_shingles", public_id("component_id"))
 
+
+def classes(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2,
+            bucket_bytes: int = 16 << 20) -> DataFrame:
+    """``(doc_id, text_key, n_shingles, class, component_id)`` per row of ``docs``, ids as ``documents`` has them.
+
+    ``text_key`` tells rows apart that share an id; ``class`` is one number per group of linked texts, null without words.
     Words are separated by ASCII white space, with A-Z lowered. Two documents link when their sets of ``length``-word shingles have
     a Jaccard similarity of ``percent`` % or more; a text of fewer words is one shingle, a text without words links with nothing.
     ``component_id`` is the least id that links reach from a document, itself included. Repeated rows are copies of each other.
@@ -299,4 +307,4 @@ def join(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "doc
         "class", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     least = joined.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     return joined.join(least, "class", "left").select(
-        public_id(), "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("component_id", public_id("component_id"))
+        "doc_id", "text_key", "n_shingles", "class", F.coalesce("component_id", "doc_id").alias("component_id"))

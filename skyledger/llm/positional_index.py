@@ -85,7 +85,14 @@ def proximity_matches(postings: DataFrame, tests: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``, one row per document.
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``, one row per document, as ``hits`` finds them."""
+    found = hits(docs, items, size, id_col, text_col, item_col, item_text_col)
+    return found.select(public_id(), *[name for name in found.columns if name not in DOC])
+
+
+def hits(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text",
+         item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``(doc_id, text_key, n_words, n_hit, n_items, items_sha256, contaminated)``, ids as ``documents`` has them.
 
     A word is hit if it lies in any occurrence of a window. A row repeated whole (same id and text) is one document; rows that
     share an id but not the text are separate. Null and empty texts have no words; items without words have no window.
@@ -97,9 +104,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str
     # Copies of a window in a document have one start each; a repeated row repeats them, which adds nothing to a union.
     order = W.partitionBy(*DOC).orderBy("start", "stop").rowsBetween(W.unboundedPreceding, -1)
     fresh = F.greatest(F.col("stop") - F.greatest(F.col("start"), F.coalesce(F.max("stop").over(order), F.lit(0))), F.lit(0))
-    hits = phrase_matches(postings, tests).withColumn("fresh", fresh).groupBy(*DOC).agg(
+    covered = phrase_matches(postings, tests).withColumn("fresh", fresh).groupBy(*DOC).agg(
         F.sum("fresh").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     items_of = F.coalesce("items", F.array().cast("array<string>"))
-    return lengths.join(hits, DOC, "left").select(
-        public_id(), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
+    return lengths.join(covered, DOC, "left").select(
+        *DOC, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
