@@ -27,11 +27,10 @@ def fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
-def matched(docs: DataFrame, verdict: DataFrame, how: str) -> DataFrame:
-    """The rows of ``docs`` whose id is, or is not, in ``verdict``; all their columns."""
-    name = fresh(docs, "_id")
-    ids = verdict.select(row_id().alias(name)).distinct()
-    return docs.withColumn(name, row_id()).join(ids, name, how).select(*docs.columns)
+def keyed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with two columns that name a row as the operators do, by its id and a hash of its text, and their names."""
+    key = [fresh(docs, "_id"), fresh(docs, "_text")]
+    return docs.withColumns({key[0]: row_id(), key[1]: F.xxhash64(F.coalesce("text", F.lit("")))}), key
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,16 +50,24 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked texts the document with the smallest id stays."""
-    groups = part_enum.join(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return matched(docs, kept, "left_semi")
+    """Of every group of linked texts one row stays, that with the smallest id, and of several with this id that of the least hash.
+
+    Rows that share an id but not the text are judged apart. Texts without words all stay; of a row repeated whole, one.
+    """
+    groups = part_enum.classes(docs).select("doc_id", "text_key", "class")
+    first = groups.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    alone = groups.where("class IS NULL").select("doc_id", "text_key")
+    rows, key = keyed(docs)
+    kept = first.select("first.doc_id", "first.text_key").unionByName(alone).toDF(*key)
+    return rows.dropDuplicates(key).join(kept, key, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go; all others stay."""
-    found = positional_index.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
-    return matched(docs, found.where("contaminated"), "left_anti")
+    """Rows that hold a window of a benchmark item go; all others stay, also those that share an id with one that goes."""
+    found = positional_index.hits(docs, queries.table(spark, sf_dir, "benchmark"))
+    rows, key = keyed(docs)
+    gone = found.where("contaminated").select("doc_id", "text_key").distinct().toDF(*key)
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
