@@ -57,3 +57,18 @@ def test_nulls_repeats_ties_and_names(spark, small):
     assert pipeline.decontaminate(spark, near, small).count() == 4
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), small).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_apart(spark, small):
+    from tests.llm.conftest import prose
+    item = next(r.text for r in queries.table(spark, small, "benchmark").orderBy("item_id").collect() if len(split(r.text)) >= 10)
+    rng = random.Random(3)
+    one, two = prose(11, 120, 4000), prose(12, 120, 4000)
+    texts = ["before " + item + " after", "clean words only", one, edited(rng, one, 1), two, edited(rng, two, 1), two, "", None, "again a b", "again a b"]
+    ids = [1, 1, 2, 5, 2, 2, 9, 3, None, 4, 4]
+    docs = corpus(spark, texts, ids)
+    clean = sorted(((r.doc_id or 0), r.text or "") for r in pipeline.decontaminate(spark, docs, small).collect())
+    assert clean == sorted(((i or 0), t or "") for i, t in list(zip(ids, texts, strict=True))[1:])
+    near = [(r.doc_id, r.text) for r in pipeline.near_dedup(spark, docs, small).collect()]
+    assert sum(t in texts[4:7] for _, t in near) == 1 and (2, one) in near and (5, texts[3]) not in near
+    assert sorted((i or 0, t or "") for i, t in near if t not in texts[4:7]) == sorted([(1, texts[0]), (1, texts[1]), (2, one), (3, ""), (0, ""), (4, "again a b")])
