@@ -147,15 +147,17 @@ def ranked(items: DataFrame, salts: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, path: str, size: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-         salts: int = 64) -> DataFrame:
+         part_rows: int = 100_000) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``, one row per piece.
 
     ``path`` is a tokenizer file that driver and executors both have. A null or empty text is the end id alone; repeated rows
     are packed as often as they stand there. A sequence is padded to ``size`` unless its tokens are a power of two already.
+    Pieces of the commonest length are numbered in parts of about ``part_rows``, however many there are.
     """
     cut = stored(pieces(documents(docs, id_col, text_col), path, size, end_id), "pieces")
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `size` rows
     placed = plan(counts, size)
+    salts = -(-max(counts.values(), default=1) // part_rows) + 7
     schema = "length long, first_rank long, items long, first_window long, offset long"
     where = cut.sparkSession.createDataFrame(placed, schema)
     # The plan has a bounded number of rows: its size depends on `size` alone, not on the corpus.

@@ -50,7 +50,7 @@ def test_round_trip(spark, docs, small):
     tokens = Tokenizer.from_file(PATH)
     table = spark.read.parquet(f"{small}/documents.parquet")
     texts = [r.text for r in docs.collect()] + [r.text for r in table.collect()] + ["a<|endoftext|>b", "x" * 3000, " " * 5000, "'S it's\r\n\t z"]
-    rows = packing.pack(corpus(spark, texts), PATH, salts=3).collect()
+    rows = packing.pack(corpus(spark, texts), PATH, part_rows=50).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
@@ -74,7 +74,7 @@ def test_round_trip(spark, docs, small):
 
 
 def test_hot_length_repeated_and_empty(spark):
-    rows = packing.pack(corpus(spark, ["same text"] * 500 + [None, ""], [1] * 500 + [2, None]), PATH, salts=4).collect()
+    rows = packing.pack(corpus(spark, ["same text"] * 500 + [None, ""], [1] * 500 + [2, None]), PATH, part_rows=7).collect()
     assert len(rows) == 502 and len({(r.sequence_id, r.offset) for r in rows}) == 502
     empty = packing.pack(corpus(spark, []), PATH)
     assert empty.count() == 0 and empty.columns[:2] == ["doc_id", "start"]
