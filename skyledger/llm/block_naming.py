@@ -2,8 +2,9 @@
 
 A text is cut into fixed-size byte blocks. All blocks of the corpus are sorted, and equal blocks get one integer name.
 Adjacent names are then paired, the pairs are sorted and named in turn, and so on until every document has one name. Two
-texts of the same number of blocks have the same last name if and only if they are byte for byte equal: no step relies on a
-hash being free of collisions. Names depend on the texts alone, so a recomputed task gives the same ones.
+texts of the same number of blocks have the same last name if and only if they are byte for byte equal: names rely on no
+hash being free of collisions (rows go back to their names by id, a hash of the text and length, which matters only where one id
+has several texts). Names depend on the texts alone, so a recomputed task gives the same ones.
 
 Hot blocks: rows are dealt over ``salts`` copies of a bucket before they are sorted; only one row per copy and distinct block
 goes on to the sort that settles the names, which go back by a join on small integers.
@@ -34,21 +35,24 @@ def named(rows: DataFrame, keys: list[str], buckets: int, salts: int) -> DataFra
              .withColumn("first", F.rank().over(inside.orderBy(*keys))))
     heads = local.where("nth = first").select("bucket", "salt", "local", *keys)
     place = F.dense_rank().over(W.partitionBy("bucket").orderBy(*keys)).cast("long")
-    names = heads.withColumn("name", F.col("bucket") * F.lit(1 << 40) + place).select("bucket", "salt", "local", "name")
+    names = heads.withColumn("name", F.col("bucket") * F.lit(1 << 36) + place).select("bucket", "salt", "local", "name")
     return local.select("bucket", "salt", "local", *DOC, "i").join(names, ["bucket", "salt", "local"]).select(
         *DOC, "i", "name")
 
 
-def identities(docs: DataFrame, block_bytes: int = 4096, buckets: int = 1024, salts: int = 16) -> DataFrame:
+def identities(docs: DataFrame, block_bytes: int = 4096, bucket_bytes: int = 8 << 20, salts: int = 16) -> DataFrame:
     """``(*DOC, n_blocks, name)``: one identity per document; equal ``(n_blocks, name)`` means equal texts.
 
+    There is a bucket for every ``bucket_bytes`` of text, so what one sort holds does not grow with the corpus.
+
     ``docs`` is ``(doc_id, text)`` without nulls. A row repeated whole appears once. ``text_key`` only tells rows apart that
     share an id; it takes no part in naming.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.octet_length("text").alias("n_bytes"),
                        F.col("text").cast("binary").alias("bytes"))
     count = F.greatest(F.ceil(F.col("n_bytes") / block_bytes), F.lit(1)).cast("int")
-    longest = docs.agg(F.max(F.octet_length("text"))).first()[0] or 0
+    longest, total = (n or 0 for n in docs.agg(F.max(F.octet_length("text")), F.sum(F.octet_length("text"))).first())
+    buckets = math.ceil(total / bucket_bytes) + 7
     blocks = rows.select("*", F.explode(F.sequence(F.lit(0), count - 1)).alias("i")).select(
         *DOC, "i", F.substring("bytes", F.col("i") * block_bytes + 1, F.lit(block_bytes)).alias("block"))
     level = stored(named(blocks, ["block"], buckets, salts).withColumn("n_blocks", count), "block-names")
@@ -66,7 +70,7 @@ def identities(docs: DataFrame, block_bytes: int = 4096, buckets: int = 1024, sa
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4096,
-                     buckets: int = 1024, salts: int = 16) -> DataFrame:
+                     bucket_bytes: int = 8 << 20, salts: int = 16) -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256)``, one row per document.
 
     Of equal texts the row with the largest id stays. A row repeated whole (same id and text) is reported once and counts in
@@ -74,7 +78,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     are equal to empty ones.
     """
     texts = documents(docs, id_col, text_col)
-    name = identities(texts, block_bytes, buckets, salts)
+    name = identities(texts, block_bytes, bucket_bytes, salts)
     rows = texts.groupBy("doc_id", F.xxhash64("text").alias("text_key"), F.octet_length("text").alias("n_bytes")).agg(
         F.min(F.sha2("text", 256)).alias("text_sha256"), F.count(F.lit(1)).alias("copies"))
     members = rows.join(name, DOC)

@@ -18,8 +18,8 @@ def expected(rows):
 
 def test_against_brute_force(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    for size in (3, 64, 4096):
-        got = {tuple(r) for r in block_naming.exact_duplicates(docs, block_bytes=size, buckets=3, salts=2).collect()}
+    for size, step in ((3, 1 << 30), (64, 500), (4096, 8 << 20)):
+        got = {tuple(r) for r in block_naming.exact_duplicates(docs, block_bytes=size, bucket_bytes=step, salts=2).collect()}
         assert got == expected(rows)
 
 
