@@ -194,13 +194,17 @@ def smaller(found: DataFrame) -> DataFrame:
     return down.withColumn("left", total).where(~leaves).select("gid", "node", "tag", "size", "n", "spare", "left")
 
 
+def near(percent: int, a: str = "_a", b: str = "_b"):
+    """Whether the bitmaps ``bits<a>`` and ``bits<b>`` of sets of sizes ``size<a>`` and ``size<b>`` allow them to be similar."""
+    differ = sum((F.bit_count(F.col(f"bits{a}")[n].bitwiseXOR(F.col(f"bits{b}")[n])) for n in range(1, BITS // 64)),
+                 F.bit_count(F.col(f"bits{a}")[0].bitwiseXOR(F.col(f"bits{b}")[0])))
+    return differ * (100 + percent) <= (F.col(f"size{a}") + F.col(f"size{b}")) * (100 - percent)
+
+
 def possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """The pairs that their bitmaps do not rule out."""
     a, b = (maps.select(F.col("node").alias(n), F.col("size").alias(f"size_{n}"), F.col("bits").alias(f"bits_{n}")) for n in ("a", "b"))
-    differ = sum((F.bit_count(F.col("bits_a")[n].bitwiseXOR(F.col("bits_b")[n])) for n in range(1, BITS // 64)),
-                 F.bit_count(F.col("bits_a")[0].bitwiseXOR(F.col("bits_b")[0])))
-    return pairs.join(b, "b").join(a, "a").where(
-        differ * (100 + percent) <= (F.col("size_a") + F.col("size_b")) * (100 - percent)).select("a", "b")
+    return pairs.join(b, "b").join(a, "a").where(near(percent)).select("a", "b")
 
 
 def similar(length: int, percent: int):
@@ -291,9 +295,11 @@ def classes(docs: DataFrame, length: int = 5, percent: int = 80, id_col: str = "
                 "gid", F.col("p.node").alias("node_"), F.col("p.size").alias("size_"), F.col("p.component").alias("component_"))
             pairs = members.join(pivot, "gid").where(apart & close).groupBy("node").agg(F.min("node_").alias("node_"))
         else:
-            # What is left: members of one group that are in different components.
-            other = members.select("gid", *[F.col(name).alias(f"{name}_") for name in ("node", "size", "component", "spare", "left")])
-            pairs = members.join(other, "gid").where((F.col("node") < F.col("node_")) & apart & close).groupBy("node", "node_", "tag").agg(
+            # What is left: members of one group that are in different components and whose bitmaps allow them to be similar.
+            # The bitmap test is part of the join, so that large groups of sets that are not similar make no rows.
+            held = members.join(maps.select("node", "bits"), "node")
+            other = held.select("gid", *[F.col(name).alias(f"{name}_") for name in ("node", "size", "component", "spare", "left", "bits")])
+            pairs = held.join(other, "gid").where((F.col("node") < F.col("node_")) & apart & close & near(percent, "", "_")).groupBy("node", "node_", "tag").agg(
                 F.sum("n").alias("shared"), 
                 F.max(F.greatest("spare", "spare_") - F.greatest("left", "left_")).alias("least")).where("shared >= least")
         pairs = pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()

@@ -124,3 +124,21 @@ def test_similar_sets_stay_in_a_group_they_share(spark):
             one, two = kept[tag, 0], kept[tag, 1]
             same = {r.gid for r in one} & {r.gid for r in two}
             assert same and len(same) >= max(one[0].spare, two[0].spare) - max(one[0].left, two[0].left)
+
+
+def test_last_round_pairs_only_sets_that_bitmaps_allow(spark, monkeypatch):
+    # Texts sharing a long passage meet in large groups without being similar; the last round must not pair them all.
+    passage = prose(1234, 40, 5000)
+    texts = [prose(7000 + n, 30, 5000) + " " + passage for n in range(60)] + [passage, passage + " end"]
+    handed, kept = [], []
+    real = part_enum.possible
+
+    def counted(pairs, maps, percent):
+        out = real(pairs, maps, percent)
+        handed.append(pairs.count())
+        kept.append(out.count())
+        return out
+    monkeypatch.setattr(part_enum, "possible", counted)
+    df = corpus(spark, texts)
+    assert result(df, rounds=0) == expected(list(zip(range(len(texts)), texts, strict=True)))
+    assert handed == kept
