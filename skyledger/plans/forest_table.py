@@ -53,6 +53,9 @@ def classified(features: DataFrame, table: DataFrame, key: str, depth: int) -> D
     nominal = F.array_contains("left_values", value) | F.coalesce(value >= F.col("unseen_left"), F.lit(False))
     goes_left = F.when(F.col("threshold").isNotNull(), value <= F.col("threshold")).otherwise(nominal)
     trees = table.groupBy("tree").agg(F.min("node").alias("node"))
+    # Rows are spread over all cores before they stand once per tree: a table read as one file would walk every tree in one task.
+    spark = features.sparkSession
+    features = features.repartition(max(spark.sparkContext.defaultParallelism, features.rdd.getNumPartitions()), key)
     # A row stands once per tree, of which there are a few.
     at = features.select(key, "features", F.explode(trees.agg(F.collect_list(F.struct("tree", "node"))).scalar()).alias("at")).select(key, "features", "at.*")
     for _ in range(depth):

@@ -302,3 +302,18 @@ def test_a_day_that_became_empty_leaves_no_old_rows(spark, sample, trained, tmp_
         daily.load_results(spark, results, table, "2016-12-26")
         loaded = spark.read.schema(daily.result_schema()).parquet(table)
         assert loaded.count() == asked.count()
+
+
+def test_forest_table_spreads_rows_of_one_partition(spark):
+    """Rows read as one partition walk the trees in several tasks, with the same classes."""
+    classes = len(aggregates.DELAY_SPLITS) - 1
+    vote = lambda place: [1.0 if i == place else 0.0 for i in range(classes)]
+    table = spark.createDataFrame(
+        [(0, 0, False, 0, 1.0, None, None, 1, 2, vote(0)), (0, 1, True, None, None, None, None, -1, -1, vote(1)),
+         (0, 2, True, None, None, None, None, -1, -1, vote(2))],
+        "tree int, node int, leaf boolean, feature int, threshold double, left_values array<double>, unseen_left double, left int, "
+        "right int, votes array<double>")
+    asked = spark.createDataFrame([(i, [float(i % 3)]) for i in range(40)], "id long, features array<double>").coalesce(1)
+    got = forest_table.classified(asked, table, "id", forest_table.levels(table))
+    assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(rows(got)) == [(i, 1.0 if i % 3 <= 1 else 2.0) for i in range(40)]
