@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from skyledger.operators.search import PAGE_SIZE, order_columns
 
 _WORDS = r"[\p{L}\p{N}_]+"
+# Up to this many distinct criteria are broadcast: a row's keys, one per mask, then never leave the task that reads it.
+FEW_CRITERIA = 100_000
 
 
 def tokens(value: Column) -> Column:
@@ -80,11 +82,13 @@ def _all_keys(masks: list[int], fields: tuple[str, ...], words: tuple[str, ...],
     return F.array_distinct(F.flatten(F.array(*[F.coalesce(_keys(mask, fields, words, hashed), none) for mask in masks])))
 
 
-def matched(table: DataFrame, criteria: DataFrame, masks: list[int], fields: tuple[str, ...], words: tuple[str, ...] = ()) -> DataFrame:
+def matched(table: DataFrame, criteria: DataFrame, masks: list[int], fields: tuple[str, ...], words: tuple[str, ...] = (),
+            few: bool = False) -> DataFrame:
     """``(criterion, *table.columns)`` for every row and criterion that meet, each pair once.
 
     ``criteria`` has ``criterion`` and the fields, null where they are not given. A field in ``words`` meets when it shares a word.
-    Several shared words are several keys; the pair is kept for the one of smallest hash.
+    Several shared words are several keys; the pair is kept for the one of smallest hash. ``few`` criteria are sent to every task,
+    so a row's keys for all masks meet them where the row is read and are never shuffled.
     """
     of_row, row_hash = (lambda name: F.col(name).cast("string")), (lambda name: F.col(f"_row_{name}"))
     of_request, request_hash = (lambda name: F.col(f"_want_{name}")), (lambda name: F.col(f"_asked_{name}"))
@@ -96,7 +100,7 @@ def matched(table: DataFrame, criteria: DataFrame, masks: list[int], fields: tup
     by_mask = lambda keys: reduce(lambda rest, mask: F.when(F.col("_mask") == mask, keys(mask)).otherwise(rest), masks, F.lit(None))
     asked = asked.withColumn("_key", F.explode(F.array_distinct(by_mask(lambda mask: _keys(mask, fields, words, request_hash)))))
 
-    pairs = rows.join(asked, "_key")
+    pairs = rows.join(F.broadcast(asked) if few else asked, "_key")
     for name in fields:
         meets = F.arrays_overlap(tokens(of_row(name)), tokens(of_request(name))) if name in words else of_request(name) == of_row(name)
         pairs = pairs.where(of_request(name).isNull() | meets)
@@ -124,10 +128,11 @@ def search_many(table: DataFrame, requests: DataFrame, fields: tuple[str, ...],
                             *[(given(F.col(name)) if name in requests.columns else absent).alias(name) for name in fields])
     # The text of the given fields names a criterion exactly; null fields are left out of it.
     asked = asked.withColumn("_mask", _mask(fields)).withColumn("criterion", F.to_json(F.struct(*fields)))
-    # At most two to the power of the fields, and one number.
-    shape = asked.groupBy("_mask").agg(F.max("_start").alias("deepest")).collect()
+    # At most two to the power of the fields, and two numbers each.
+    shape = asked.groupBy("_mask").agg(F.max("_start").alias("deepest"), F.countDistinct("criterion").alias("criteria")).collect()
     depth = max((row.deepest for row in shape), default=0) + size
-    hits = matched(table, asked.select("criterion", *fields).distinct(), sorted(row["_mask"] for row in shape) or [0], fields, words)
+    few = sum(row.criteria for row in shape) <= FEW_CRITERIA
+    hits = matched(table, asked.select("criterion", *fields).distinct(), sorted(row["_mask"] for row in shape) or [0], fields, words, few)
 
     counts = hits.groupBy("criterion").agg(F.count(F.lit(1)).alias("_hits"))
     rank = F.row_number().over(W.partitionBy("criterion").orderBy(*order_columns(table, order, ties)))

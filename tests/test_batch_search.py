@@ -87,3 +87,19 @@ def test_tokens(spark):
     df = spark.createDataFrame([("Brand#7, brand é_x",), (None,), ("--",)], "t string")
     assert [r[0] for r in df.select(bs.tokens(F.col("t"))).collect()] == [["brand", "7", "é_x"], None, []]
     assert rows(df.select(bs.given(F.lit("")).alias("g")))[0] == (None,)
+
+
+def test_few_criteria_meet_the_rows_where_they_are_read(spark, tmp_path, table):
+    """A row's keys for all masks are never shuffled when the criteria are few, however the session sizes its broadcasts."""
+    table.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    asked = requests(spark, [(a, b, c, 0) for a, b, c in product((None, "x1"), (None, "One 2 two"), (None, "3"))])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = bs.search_many(stored, asked, FIELDS, ("o",), ("id",), size=4)
+        physical = found._jdf.queryExecution().executedPlan().toString()
+        assert any("BroadcastHashJoin [_key" in line for line in physical.splitlines())
+        assert got(found) == expected(table, asked)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
