@@ -24,6 +24,7 @@ from skyledger.session import work_folder
 NUMERIC = ["DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "DayOfYear"]
 NOMINAL = ["Carrier", "Origin", "Dest", "Route"]
 LABEL, VECTOR, PREDICTION = "ArrDelayBucket", "Features_vec", "Prediction"
+BROADCAST_LABELS = 100_000  # label tables of at most this many rows per column are sent to the rows, not the rows to them
 
 
 def index_name(column: str) -> str:
@@ -97,6 +98,9 @@ def indexed(rows: DataFrame, labels: DataFrame, sizes: dict[str, int], hashed: d
             found = F.pmod(F.xxhash64(F.coalesce(F.col(name).cast("string"), F.lit(""))), F.lit(values)).cast("double")
         else:
             known = labels.where(F.col("column_name") == name).select(F.col("label").alias("_label"), F.col("index").alias("_index"))
+            if sizes.get(name, 0) <= BROADCAST_LABELS:
+                # Few labels meet the rows where they are read; a join dealt by label puts all rows of one label in one task.
+                known = F.broadcast(known)
             rows = rows.join(known, F.col(name).cast("string") == F.col("_label"), "left").drop("_label")
             found = F.col("_index")
             if handle_invalid == "keep":

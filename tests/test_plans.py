@@ -317,3 +317,13 @@ def test_forest_table_spreads_rows_of_one_partition(spark):
     got = forest_table.classified(asked, table, "id", forest_table.levels(table))
     assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(rows(got)) == [(i, 1.0 if i % 3 <= 1 else 2.0) for i in range(40)]
+
+
+def test_indexed_sends_few_labels_to_the_rows(spark):
+    """Rows of a frequent label are not dealt into one task by a join on the label; their indexes stay the same."""
+    flights = spark.createDataFrame([(i, "AA" if i % 4 else "HA") for i in range(40)], "id long, Carrier string")
+    labels = training.label_index(flights, ["Carrier"]).select("column_name", "label", "index")
+    got = training.indexed(flights, labels, {"Carrier": 2}, {}, "error", ["Carrier"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan and "Join LeftOuter" in plan
+    assert sorted(rows(got)) == [(i, "AA" if i % 4 else "HA", 0.0 if i % 4 else 1.0) for i in range(40)]
