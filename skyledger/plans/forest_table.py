@@ -50,23 +50,44 @@ def classified(features: DataFrame, table: DataFrame, key: str, depth: int) -> D
     The class is the one with the greatest sum of votes, the smaller of equal ones. Votes of a row are added in the order of trees.
     """
     value = F.get("features", "feature")
-    nominal = F.array_contains("left_values", value) | F.coalesce(value >= F.col("unseen_left"), F.lit(False))
+    nominal = _in_left_bits(value) | F.coalesce(value >= F.col("unseen_left"), F.lit(False))
     goes_left = F.when(F.col("threshold").isNotNull(), value <= F.col("threshold")).otherwise(nominal)
     trees = table.groupBy("tree").agg(F.min("node").alias("node"))
+    # The nodes are those of a model that every task can hold: they meet the rows where these are, whatever the planner guesses of their size.
+    steps = F.broadcast(table.select("tree", "node", "leaf", "feature", "threshold", _left_bits().alias("left_bits"), "unseen_left", "left", "right"))
     # Rows are spread over all cores before they stand once per tree: a table read as one file would walk every tree in one task.
     spark = features.sparkSession
     features = features.repartition(max(spark.sparkContext.defaultParallelism, features.rdd.getNumPartitions()), key)
     # A row stands once per tree, of which there are a few.
     at = features.select(key, "features", F.explode(trees.agg(F.collect_list(F.struct("tree", "node"))).scalar()).alias("at")).select(key, "features", "at.*")
     for _ in range(depth):
-        step = at.join(table.drop("votes"), ["tree", "node"])
-        at = step.select(key, "features", "tree", F.when(F.col("leaf"), F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"))
-    voted = at.join(table.select("tree", "node", "votes"), ["tree", "node"])
+        step = at.join(steps, ["tree", "node"])
+        child = F.when(F.col("leaf"), F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right"))
+        at = step.select(key, "features", "tree", F.coalesce(child, F.lit(-1)).alias("node"))  # never null, so the next join need not ask
+    voted = at.join(F.broadcast(table.select("tree", "node", "votes")), ["tree", "node"])
     ballots = voted.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("tree", "votes"))).alias("ballots"))
     sums = F.array(*[_sum_of(place) for place in range(len(DELAY_SPLITS) - 1)])
     return ballots.select(key, (F.array_position(sums, F.array_max(sums)) - 1).cast("double").alias(PREDICTION))
 
 
+def _left_bits() -> Column:
+    """``left_values``, indices from 0, as bits of whole numbers: a row asks for one bit and does not run through the values."""
+    place = lambda value: value.cast("int")
+    word = lambda number: F.aggregate(
+        F.filter("left_values", lambda value: F.shiftright(place(value), 6) == number), F.lit(0).cast("bigint"),
+        lambda bits, value: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place(value).bitwiseAND(F.lit(63)))))
+    words = F.sequence(F.lit(0), F.shiftright(place(F.array_max("left_values")), 6))
+    return F.when(F.size("left_values") > 0, F.transform(words, word))
+
+
+def _in_left_bits(value: Column) -> Column:
+    """Whether the value is one of ``left_values``; null only where ``value`` or they are missing."""
+    place = value.try_cast("int")
+    word = F.get("left_bits", F.shiftright(place, 6))
+    bit = F.call_function("shiftright", word, place.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    return (place >= 0) & (place == value) & F.coalesce(bit, F.lit(False))
+
+
 def feature_rows(requests: DataFrame, model: Model, key: str) -> DataFrame:
     """``(key, features)`` of requests, numbers and indices in the order of the chain; unseen labels get one index more."""
     rows = indexed(with_route(requests), model.labels, model.sizes, model.hashed, "keep", encoded=model.encoded)

@@ -327,3 +327,27 @@ def test_indexed_sends_few_labels_to_the_rows(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan and "Join LeftOuter" in plan
     assert sorted(rows(got)) == [(i, "AA" if i % 4 else "HA", 0.0 if i % 4 else 1.0) for i in range(40)]
+
+
+def test_forest_table_sends_nodes_to_the_rows_and_asks_nominal_values_by_bit(spark):
+    """Rows meet the nodes where they are, also where the planner would not broadcast; every nominal value goes where its list says."""
+    classes = len(aggregates.DELAY_SPLITS) - 1
+    vote = lambda place: [1.0 if i == place else 0.0 for i in range(classes)]
+    left = [0.0, 5.0, 63.0, 64.0, 127.0, 130.0]
+    table = spark.createDataFrame(
+        [(0, 0, False, 0, None, left, 140.0, 1, 2, vote(0)), (0, 1, True, None, None, None, None, -1, -1, vote(1)),
+         (0, 2, True, None, None, None, None, -1, -1, vote(2)), (1, 0, False, 0, None, [], None, 1, 2, vote(0)),
+         (1, 1, True, None, None, None, None, -1, -1, vote(0)), (1, 2, True, None, None, None, None, -1, -1, [0.1] * classes)],
+        "tree int, node int, leaf boolean, feature int, threshold double, left_values array<double>, unseen_left double, left int, "
+        "right int, votes array<double>")
+    values = [*map(float, range(160)), 63.5, -1.0, 1e300]
+    asked = spark.createDataFrame(list(enumerate([value] for value in values)), "id long, features array<double>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = forest_table.classified(asked, table, "id", forest_table.levels(table))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("strategy=broadcast") == 2 and "array_contains" not in plan
+        assert dict(map(tuple, got.collect())) == {i: 1.0 if v in left or v >= 140.0 else 2.0 for i, v in enumerate(values)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
