@@ -75,9 +75,9 @@ def _keys(mask: int, fields: tuple[str, ...], words: tuple[str, ...], hashed) ->
 
 
 def _all_keys(masks: list[int], fields: tuple[str, ...], words: tuple[str, ...], hashed) -> Column:
-    """The keys of a row for all masks."""
+    """The keys of a row for all masks; a mask with a missing field gives none."""
     if not words:
-        return F.array(*[F.get(_keys(mask, fields, words, hashed), F.lit(0)) for mask in masks])
+        return F.array_compact(F.array(*[F.get(_keys(mask, fields, words, hashed), F.lit(0)) for mask in masks]))
     none = F.array().cast("array<bigint>")
     return F.array_distinct(F.flatten(F.array(*[F.coalesce(_keys(mask, fields, words, hashed), none) for mask in masks])))
 
@@ -88,11 +88,18 @@ def matched(table: DataFrame, criteria: DataFrame, masks: list[int], fields: tup
 
     ``criteria`` has ``criterion`` and the fields, null where they are not given. A field in ``words`` meets when it shares a word.
     Several shared words are several keys; the pair is kept for the one of smallest hash. ``few`` criteria are sent to every task,
-    so a row's keys for all masks meet them where the row is read and are never shuffled.
+    so a row's keys for all masks meet them where the row is read and are never shuffled. A value that none of the few gives counts
+    as missing there: a row then has keys for those masks only in which each of its values is asked for by some criterion.
     """
     of_row, row_hash = (lambda name: F.col(name).cast("string")), (lambda name: F.col(f"_row_{name}"))
     of_request, request_hash = (lambda name: F.col(f"_want_{name}")), (lambda name: F.col(f"_asked_{name}"))
-    rows = table.withColumns({f"_row_{name}": value for name, value in _hashes(fields, words, of_row).items()})
+    hashes, rows = _hashes(fields, words, of_row), table
+    if few:
+        for name in [name for place, name in enumerate(fields) if name not in words and any(mask >> place & 1 for mask in masks)]:
+            asked_values = criteria.where(F.col(name).isNotNull()).select(F.col(name).alias(f"_any_{name}")).distinct()
+            rows = rows.join(F.broadcast(asked_values), of_row(name) == F.col(f"_any_{name}"), "left")
+            hashes[name] = F.when(F.col(f"_any_{name}").isNotNull(), hashes[name])
+    rows = rows.withColumns({f"_row_{name}": value for name, value in hashes.items()})
     rows = rows.withColumn("_key", F.explode(_all_keys(masks, fields, words, row_hash)))
 
     asked = criteria.select("criterion", _mask(fields).alias("_mask"), *[F.col(name).alias(f"_want_{name}") for name in fields])

@@ -103,3 +103,16 @@ def test_few_criteria_meet_the_rows_where_they_are_read(spark, tmp_path, table):
         assert got(found) == expected(table, asked)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_row_has_keys_for_asked_values_only(spark, table):
+    """With few criteria a row whose values nobody asks for has no key but that of the request without fields; hits stay the same."""
+    asked = requests(spark, [("x1", None, None, 0), (None, None, "3", 0), ("x1", None, "3", 0), (None, None, None, 0), ("nobody", None, None, 0)])
+    found = bs.search_many(table, asked, FIELDS, ("o",), ("id",), size=4)
+    assert got(found) == expected(table, asked)
+    criteria = spark.createDataFrame([("m", "x1", None), ("n", None, "3"), ("o", "x1", "3")], "criterion string, a string, c string")
+    pairs = bs.matched(table.select("id", "a", "c"), criteria, [1, 2, 3], ("a", "c"), few=True)
+    exploded = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert exploded.count("strategy=broadcast") == 3  # the criteria and the values of either field
+    per_row = {row.id: (row.a == "x1", row.c == 3) for row in table.collect()}
+    assert pairs.count() == sum(a + c + (a and c) for a, c in per_row.values())
