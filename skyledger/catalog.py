@@ -145,8 +145,7 @@ def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     def make() -> str:
         path = session.work_folder(spark, "on_time_performance")
-        wide = fixtures.with_page_columns(fixtures.flights(spark, sf_dir))
-        wide.hint("rebalance", "FlightDate").sortWithinPartitions("FlightDate", "Carrier", "row_key").write.parquet(path)
+        fixtures.with_page_columns(fixtures.flights_by_date(spark, sf_dir)).write.parquet(path)
         return path
     return spark.read.parquet(_once(spark, sf_dir, "flights", make))
 

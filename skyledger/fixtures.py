@@ -15,30 +15,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def flights(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = FLIGHT_COLUMNS) -> DataFrame:
-    """One flight per line item.
+def _line_items(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+    """The line items with what the asked columns need of the other tables: keys, codes and a day, no derived text.
 
-    Only the joins the asked columns need are made: the foreign keys of these tables always have their row, so leaving
-    a join out neither drops nor repeats a flight. Orders and customers are joined with each other first, which moves
-    the line items through one exchange for both.
+    Orders and customers are joined with each other first, which moves the line items through one exchange for both. Every exchange
+    moves what the joins before it have added, so the texts of suppliers come last. Each table is joined on its own: the product of two
+    is too large in the planner's eyes to be sent to the rows, also where either is small.
     """
-    wanted = set(columns)
-    nation = table(spark, sf_dir, "nation")
-    rows = table(spark, sf_dir, "lineitem")
-    if wanted & {"Origin", "TailNum", "Distance"}:
-        supplier = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        rows = rows.join(supplier.select("s_suppkey", "s_nationkey", F.col("s_name").alias("TailNum"),
-                                         F.col("n_name").alias("Origin")), F.col("l_suppkey") == F.col("s_suppkey"))
+    day = F.col("l_shipdate").cast("date")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", day.alias("_day"))
     if wanted & {"Dest", "Distance"}:
-        customer = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         order = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        rows = rows.join(order.select("o_orderkey", "c_nationkey", F.col("n_name").alias("Dest")),
-                         F.col("l_orderkey") == F.col("o_orderkey"))
+        rows = rows.join(order.select("o_orderkey", "c_nationkey"), F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
     if "Carrier" in wanted:
         part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("Carrier"))
-        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+    if wanted & {"Origin", "TailNum", "Distance"}:
+        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", F.col("s_name").alias("TailNum"))
+        rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).drop("s_suppkey")
+    return rows
 
-    day = F.col("l_shipdate").cast("date")
+
+def _named(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Joined line items with the names of nations, a fixed list of some dozen rows: they are sent to the rows, which stay where they are."""
+    for key, name in (("s_nationkey", "Origin"), ("c_nationkey", "Dest")):
+        if key in rows.columns:
+            nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("_nation"), F.col("n_name").alias(name))
+            rows = rows.join(F.broadcast(nation), F.col(key) == F.col("_nation")).drop("_nation")
+    return rows
+
+
+def _made(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The asked columns of joined line items."""
+    wanted = set(columns)
+    day = F.col("_day")
     delay = F.expr("CAST((l_orderkey * 31 + l_partkey * 17 + l_linenumber * 7) % 180 AS DOUBLE) - 30")
     departure = F.expr("CAST((l_orderkey % 24) * 100 + l_partkey % 60 AS STRING)")
     arrival = F.expr("CAST(((l_orderkey + 1 + l_suppkey % 5) % 25) * 100 + (l_partkey + 17) % 60 AS STRING)")
@@ -63,6 +74,25 @@ def flights(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = FLIGHT_
     return rows.select(*[made[name].alias(name) if name in made else F.col(name) for name in columns])
 
 
+def flights(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = FLIGHT_COLUMNS) -> DataFrame:
+    """One flight per line item.
+
+    Only the joins the asked columns need are made: the foreign keys of these tables always have their row, so leaving
+    a join out neither drops nor repeats a flight.
+    """
+    return _made(_named(spark, sf_dir, _line_items(spark, sf_dir, set(columns))), columns)
+
+
+def flights_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All flights with the flights of a date together, by carrier and key.
+
+    The line items are gathered and sorted while they are narrow; the columns, most of them text, are made from them afterwards.
+    """
+    dated = _named(spark, sf_dir, _line_items(spark, sf_dir, set(FLIGHT_COLUMNS)).hint("rebalance", "_day"))
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return _made(dated.sortWithinPartitions("_day", "Carrier", *keys), FLIGHT_COLUMNS)
+
+
 def with_page_columns(flights_: DataFrame) -> DataFrame:
     """Columns the pages show besides: actual times and air time."""
     return flights_.withColumns({

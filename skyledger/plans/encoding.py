@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.session import work_folder
+
 FOLDS, WEIGHT = 5, 20.0
 
 
@@ -55,8 +57,14 @@ def fold_means(parts: DataFrame, weight: float = WEIGHT) -> DataFrame:
 
 def encoded_by_fold(rows: DataFrame, columns: list[str], target: str, fold: Column, names: dict[str, str], weight: float = WEIGHT,
                     parts: DataFrame | None = None) -> DataFrame:
-    """Training rows with ``names[column]``, encoded out of fold. Rows without a target are encoded like the others of their fold."""
-    table = fold_means(sums(rows, columns, target, fold) if parts is None else parts, weight)
+    """Training rows with ``names[column]``, encoded out of fold. Rows without a target are encoded like the others of their fold.
+
+    Sums and means are written once: the rows are summed in one pass, and the planner knows how large the means are. Where they are
+    small, as with few labels, they are sent to the rows, and no row is moved.
+    """
+    spark = rows.sparkSession
+    kept = lambda made, name: (made.write.parquet(path := work_folder(spark, name)), spark.read.parquet(path))[1]
+    table = kept(fold_means(kept(sums(rows, columns, target, fold), "target-sums") if parts is None else parts, weight), "fold-means")
     out = rows.withColumn("_fold", fold)
     for name in columns:
         known = table.where(F.col("column_name") == name).select(F.col("label").alias("_label"), F.col("fold").alias("_of"), F.col("mean").alias(names[name]))

@@ -351,3 +351,24 @@ def test_forest_table_sends_nodes_to_the_rows_and_asks_nominal_values_by_bit(spa
         assert dict(map(tuple, got.collect())) == {i: 1.0 if v in left or v >= 140.0 else 2.0 for i, v in enumerate(values)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_means_of_few_labels_are_sent_to_the_rows(spark, tmp_path):
+    """Encoding moves no row: the written means are small, whatever the product of the sums they are joined from is estimated at."""
+    made = spark.range(3000).selectExpr("id", "concat('L', id % 7) AS label", "CAST(id % 13 AS DOUBLE) AS delay")
+    made.write.parquet(str(tmp_path / "rows"))
+    known, fold = spark.read.parquet(str(tmp_path / "rows")), F.col("id") % 5
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        got = encoding.encoded_by_fold(known, ["label"], "delay", fold, {"label": "mean"})
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        found = {row.id: row["mean"] for row in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    delays = [(i, i % 7, i % 5, float(i % 13)) for i in range(3000)]
+    for i, label, of, _ in delays[:40]:
+        others = [d for _, _, f, d in delays if f != of]
+        same = [d for _, n, f, d in delays if f != of and n == label]
+        assert found[i] == pytest.approx((sum(same) + sum(others) / len(others) * encoding.WEIGHT) / (len(same) + encoding.WEIGHT))
