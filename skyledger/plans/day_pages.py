@@ -4,8 +4,8 @@ What a page needs is kept as one mergeable state per day: counts, which are adde
 of distinct tail numbers, which are merged. A day that arrives, is corrected or becomes empty replaces its own state and touches
 nothing else; pages are merged from the states, which are far smaller than the flights.
 
-States lie by month. An update rewrites the months of its days: the days it does not name stay as they are. It is written aside
-first and moved in by Spark's dynamic partition overwrite, so it may be repeated.
+States lie by month. An update rewrites the months of its days: the days it does not name stay as they are. Where there are states
+it is written aside first. It is moved in by Spark's dynamic partition overwrite, so it may be repeated.
 """
 
 from __future__ import annotations
@@ -61,11 +61,12 @@ def update(spark: SparkSession, base: str, flights: DataFrame, days: DataFrame |
         if _exists(spark, target):
             old = spark.read.schema(made.schema).parquet(target)
             kept = old.join(periods, PERIOD, "left_semi").join(replaced.select(DAY), DAY, "left_anti")
-            rows = made.unionByName(kept.select(*made.columns))
-        rows.write.parquet(f"{aside}/{name}")
+            # What is overwritten is not read meanwhile. Where there is no state yet, nothing is, and the new one need not be written twice.
+            made.unionByName(kept.select(*made.columns)).write.parquet(f"{aside}/{name}")
+            rows = spark.read.schema(made.schema).parquet(f"{aside}/{name}")
         # A month that has lost all its rows is overwritten too, by one row without a day, which merging leaves out.
         markers = periods.select(*[F.col(PERIOD) if c == PERIOD else F.lit(None).cast(made.schema[c].dataType).alias(c) for c in made.columns])
-        (spark.read.schema(made.schema).parquet(f"{aside}/{name}").unionByName(markers).hint("rebalance", PERIOD)
+        (rows.unionByName(markers).hint("rebalance", PERIOD)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(target))
 
 

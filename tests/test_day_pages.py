@@ -64,3 +64,15 @@ def test_sketch_error_holds(spark, tmp_path):
     for row in day_pages.fleet_estimates(spark, base).collect():
         assert row.estimate == pytest.approx(15_000, rel=day_pages.sketch_error())
     assert 0.04 < day_pages.sketch_error() < 0.05
+
+
+def test_a_first_state_is_written_once(spark, tmp_path, monkeypatch):
+    """Without a state nothing is read that is overwritten, so nothing is written aside but what several tables are made of."""
+    base, turns = str(tmp_path / "s"), iter(("first", "second"))
+    monkeypatch.setattr(day_pages, "work_folder", lambda spark, name: str(tmp_path / next(turns)))
+    day_pages.update(spark, base, flights(spark, *DAYS))
+    assert sorted(p.rsplit("/", 1)[1] for p in glob.glob(str(tmp_path / "first" / "*"))) == ["days", "flights"]
+    same_as_recomputed(spark, base, flights(spark, *DAYS))
+    day_pages.update(spark, base, flights(spark, *DAYS))
+    assert len(glob.glob(str(tmp_path / "second" / "*"))) == 6
+    same_as_recomputed(spark, base, flights(spark, *DAYS))
