@@ -70,14 +70,13 @@ def score_stream(source: DataFrame, model: Model, sinks: Iterable[Sink], checkpo
                  index_source: str = "request", schema: StructType = STREAM_MESSAGE) -> StreamingQuery:
     """Parse, score and fan out: every micro-batch is scored once and written to all sinks from the executors.
 
-    Messages without an id go to ``reject_sink``. Sinks keyed by batch id stay right when a batch is replayed.
+    Messages without an id go to ``reject_sink``; they are read from the source once more, where only their id is parsed, rather than
+    keeping every message as text and as fields. Sinks keyed by batch id stay right when a batch is replayed.
     """
     targets = list(sinks)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         parsed = messages.parsed(batch, schema)
-        if reject_sink is not None:
-            parsed = parsed.persist()
         accepted = messages.requests(parsed, with_indices=index_source == "message")
         scored = score(accepted, model, handle_invalid, index_source).persist()
         try:
@@ -88,7 +87,6 @@ def score_stream(source: DataFrame, model: Model, sinks: Iterable[Sink], checkpo
                 reject_sink(messages.rejects(parsed), batch_id)
         finally:
             scored.unpersist()
-            parsed.unpersist()
 
     return per_batch(source, run, checkpoint, interval)
 

@@ -292,3 +292,22 @@ def test_parsed_request_fields(spark):
     assert messages.requests(parsed, with_indices=True).first().Carrier_index == 2.0
     assert flat.select(times.iso_text(F.col("Timestamp"))).first()[0] == "2016-12-25T00:00:03.000000"
     assert message_functions.render("UUID") is not None
+
+
+def test_messages_are_not_kept_beside_their_scores(spark, model, tmp_path):
+    """Only scored rows are held while the sinks write; every odd message is either scored or rejected, never both."""
+    odd = ["{bad", '{"Carrier":"AA"}', '{"UUID":null}', '[{"UUID":"in"}]', '{"UUID":"x1","DepDelay":"abc"}', '{"UUID":"x2","DepDelay":{"a":1}}', "", "7",
+           '{"UUID":"x3","Timestamp":"nope","FlightDate":"nope"}', '{"UUID":"x4","Origin":"AT', '{"UUID":5}', '{"UUID":"x5"} tail', '{"UUID":{"a":1}}']
+    inbox, log, held = str(tmp_path / "inbox"), str(tmp_path / "log"), []
+    message_files(spark, inbox, [request(i) for i in range(20)] + odd)
+    at_start, rejects = spark.sparkContext._jsc.getPersistentRDDs().size(), writers.row_log(str(tmp_path / "rejects"))
+
+    def rejected(batch, batch_id):
+        rejects(batch, batch_id)
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size() - at_start)
+
+    wait(jobs.score_stream(source(spark, inbox), model, [writers.row_log(log)], str(tmp_path / "checkpoint"), reject_sink=rejected, interval=None))
+    assert held == [1]
+    kept = messages.parsed(spark.read.parquet(inbox)).localCheckpoint()  # every message parsed with all its fields
+    assert rows(spark.read.parquet(str(tmp_path / "rejects")).select("value")) == rows(kept.where("flight.UUID IS NULL").select("value"))
+    assert rows(spark.read.parquet(log).select("UUID")) == rows(kept.where("flight.UUID IS NOT NULL").select("flight.UUID"))
